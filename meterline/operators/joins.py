@@ -17,13 +17,21 @@ from ..config import EXCLUDED_ZONE_IDS, EXCLUDED_ZONE_NAMES, FLAG_META, FLAG_NOT
 BROADCAST_MAX_ROWS = 1_000_000
 
 
+_SIZE_CHECKS: dict[tuple[int, int], bool] = {}
+
+
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
 
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan early).
+    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan early); its outcome is remembered
+    per logical plan (``semanticHash``) so repeated joins against the same dimension check it once.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (df.semanticHash(), max_rows)
+    small = _SIZE_CHECKS.get(key)
+    if small is None:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        _SIZE_CHECKS[key] = small
+    return F.broadcast(df) if small else df
 
 
 def known_zone(zones_alias: str = "z", check_zone_name: bool = True) -> Column:
@@ -55,24 +63,26 @@ def exists_in(df: DataFrame, other: DataFrame, left_key: str, right_key: str, fl
     return out.withColumn(flag, F.coalesce(F.col("_ml_hit"), F.lit(False))).drop("_ml_k", "_ml_hit")
 
 
-def referential_check(trips: DataFrame, zones: DataFrame, columns=("pickup_zone", "dropoff_zone")):
-    """(valid, orphans). A NULL reference is valid; a non-NULL id missing from ``zones`` is an orphan.
-
-    One broadcast left join per checked column marks the row; both outputs are filters of that frame.
-    """
+def mark_orphans(trips: DataFrame, zones: DataFrame, columns=("pickup_zone", "dropoff_zone"),
+                 flag: str = "orphan") -> DataFrame:
+    """Adds boolean ``flag``: some checked column holds a non-NULL id missing from ``zones``.
+    One size-checked broadcast left join per checked column; no shuffle of the trips."""
     ids = sized_broadcast(zones.select(F.col("id").alias("_ml_ref")).distinct())
     marked = trips
     bad = F.lit(False)
     for i, col in enumerate(columns):
-        hit = f"_ml_hit{i}"
-        marked = marked.join(ids.withColumn(hit, F.lit(True)).withColumnRenamed("_ml_ref", f"_ml_ref{i}"),
-                             F.col(col) == F.col(f"_ml_ref{i}"), "left").drop(f"_ml_ref{i}")
+        ref, hit = f"_ml_ref{i}", f"_ml_hit{i}"
+        marked = marked.join(ids.withColumnRenamed("_ml_ref", ref).withColumn(hit, F.lit(True)),
+                             F.col(col) == F.col(ref), "left").drop(ref)
         bad = bad | (F.col(col).isNotNull() & F.col(hit).isNull())
-    marked = marked.withColumn("_ml_orphan", bad)
-    hits = [f"_ml_hit{i}" for i in range(len(columns))]
-    valid = marked.where(~F.col("_ml_orphan")).drop("_ml_orphan", *hits)
-    orphans = marked.where(F.col("_ml_orphan")).drop("_ml_orphan", *hits)
-    return valid, orphans
+    return marked.withColumn(flag, bad).drop(*[f"_ml_hit{i}" for i in range(len(columns))])
+
+
+def referential_check(trips: DataFrame, zones: DataFrame, columns=("pickup_zone", "dropoff_zone")):
+    """(valid, orphans). A NULL reference is valid; a non-NULL id missing from ``zones`` is an orphan."""
+    marked = mark_orphans(trips, zones, columns, "_ml_orphan")
+    return (marked.where(~F.col("_ml_orphan")).drop("_ml_orphan"),
+            marked.where(F.col("_ml_orphan")).drop("_ml_orphan"))
 
 
 def map_lookup(key: Column, mapping: Mapping, default: Column | str | None = None) -> Column:

@@ -20,38 +20,54 @@ from ..operators.anomalies import with_post_flags
 from ..operators.dedup import dedup_keep_first
 from ..operators.errorlog import error_log as build_error_log
 from ..operators.features import enrich
-from ..operators.joins import referential_check
+from ..operators.joins import mark_orphans
 from ..operators.normalise import hard_exclusion, normalise
 
+DEFAULT_CREATED_AT = "2019-02-01 00:00:00"
 TRIP_COLUMNS = (
     "row_num", "vendor", "pickup_time", "dropoff_time", "passengers", "distance", "rate_id", "store_fwd",
     "pickup_zone", "dropoff_zone", "payment_type", "fare", "extra", "tax", "tip", "tolls", "surcharge", "total",
     "congestion", "duration_min", "speed_mph", "money_per_min", "tip_pct", "cost_per_mile", "hour_of_day",
     "day_of_week", "is_peak",
 )
-DEFAULT_CREATED_AT = "2019-02-01 00:00:00"
 
 
 @dataclass
 class Loaded:
     norm: DataFrame        # every raw row, normalised, with raw_flags and hard_code
     kept: DataFrame        # first occurrence of each key among non-excluded rows, enriched, with post_flags
-    trips: DataFrame
-    quarantine: DataFrame
-    error_log: DataFrame
+                           # and the referential mark ``orphan``
+    created_at: object = DEFAULT_CREATED_AT
+
+    @property
+    def trips(self) -> DataFrame:
+        return self.kept.where(~F.col("orphan")).select(*TRIP_COLUMNS)
+
+    @property
+    def quarantine(self) -> DataFrame:
+        return self.kept.where(F.col("orphan")).select(*TRIP_COLUMNS)
+
+    @property
+    def error_log(self) -> DataFrame:
+        return build_error_log(self.norm, self.kept, self.created_at)
 
     @property
     def summary(self) -> DataFrame:
         return load_summary(self)
 
+    def staged(self, path: str) -> "Loaded":
+        """Write the deduplicated, enriched, marked frame once and continue from the written table: the
+        dedup shuffle runs once for all outputs and the lineage is cut at a durable table."""
+        self.kept.write.mode("overwrite").parquet(path)
+        kept = self.kept.sparkSession.read.parquet(path)
+        return Loaded(norm=self.norm, kept=kept, created_at=self.created_at)
+
 
 def load(raw: DataFrame, zones: DataFrame, *, created_at=DEFAULT_CREATED_AT, timestamp_formats=TIMESTAMP_FORMATS,
          max_speed: float = MAX_SPEED_MPH, max_tip_pct: float = MAX_TIP_PERCENTAGE) -> Loaded:
     norm = normalise(raw, timestamp_formats)
     kept = with_post_flags(enrich(dedup_keep_first(hard_exclusion(norm))), max_speed, max_tip_pct)
-    valid, orphans = referential_check(kept, zones)
-    return Loaded(norm=norm, kept=kept, trips=valid.select(*TRIP_COLUMNS),
-                  quarantine=orphans.select(*TRIP_COLUMNS), error_log=build_error_log(norm, kept, created_at))
+    return Loaded(norm=norm, kept=mark_orphans(kept, zones), created_at=created_at)
 
 
 def load_summary(loaded: Loaded) -> DataFrame:
@@ -59,9 +75,9 @@ def load_summary(loaded: Loaded) -> DataFrame:
     raw_counts = loaded.norm.agg(F.count(F.lit(1)).alias("total_raw_rows"),
                                  F.count_if(F.col("hard_code").isNotNull()).alias("excluded"))
     kept_counts = loaded.kept.agg(F.count(F.lit(1)).alias("kept"),
-                                  F.count_if(F.size("post_flags") > 0).alias("flagged"))
-    inserted = loaded.trips.agg(F.count(F.lit(1)).alias("inserted"))
-    out = raw_counts.crossJoin(kept_counts).crossJoin(inserted)
+                                  F.count_if(F.size("post_flags") > 0).alias("flagged"),
+                                  F.count_if(~F.col("orphan")).alias("inserted"))
+    out = raw_counts.crossJoin(kept_counts)
     return out.select(
         "total_raw_rows", "excluded",
         (F.col("total_raw_rows") - F.col("excluded") - F.col("kept")).alias("duplicates"),
