@@ -16,6 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.cache import column_cache
 from ..config import MAX_SPEED_MPH, MAX_TIP_PERCENTAGE
 from ..functions.parsing import js_number_text, parse_float
 from .normalise import collect_flags, flag_if
@@ -25,6 +26,7 @@ def _num_text(x) -> str:
     return str(int(x)) if float(x).is_integer() else str(x)
 
 
+@column_cache
 def post_flags(max_speed: float = MAX_SPEED_MPH, max_tip_pct: float = MAX_TIP_PERCENTAGE) -> Column:
     c = F.col
     speed_t, tip_t, fare_t = js_number_text(c("speed_mph")), js_number_text(c("tip_pct")), js_number_text(c("fare"))

@@ -15,6 +15,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.cache import column_cache
 from ..config import HARD_FLAG_TYPES, RAW_TRIP_COLUMNS
 
 JSON_KEEP_NULLS = {"ignoreNullFields": "false"}
@@ -30,6 +31,7 @@ def _err_id(source: str) -> Column:
     return F.sha2(F.concat_ws("|", F.col("row_num").cast("string"), F.col("flag.err_type"), F.lit(source)), 256)
 
 
+@column_cache
 def _quality_details() -> Column:
     f = F.col("flag")
     return json_build(f.action.alias("action"), f.reason.alias("reason"), f.field_name.alias("field"),
@@ -44,31 +46,52 @@ def _created(created_at) -> Column:
     return created_at
 
 
+def explode_flags(df: DataFrame, flags_col: str, *keep) -> DataFrame:
+    """One row per flag. ``explode_outer`` + a filter on the generated column, rather than ``explode``:
+    with ``explode`` the optimizer infers ``size(flags) > 0`` and pushes it below the projections that
+    define the array, re-evaluating the whole flag expression a second time per row."""
+    out = df.select("row_num", *keep, F.explode_outer(flags_col).alias("flag"))
+    return out.where(F.col("flag").isNotNull())
+
+
 def quality_rows(df: DataFrame, flags_col: str, created_at=None) -> DataFrame:
-    exploded = df.select("row_num", F.explode(flags_col).alias("flag"))
+    exploded = explode_flags(df, flags_col)
     return exploded.select(
         _err_id("quality").alias("err_id"), "row_num", F.col("flag.err_type").alias("err_type"),
         _quality_details().alias("details"), F.lit("{}").alias("raw_data"),
         _created(created_at).alias("created_at"), F.lit("quality").alias("source"))
 
 
-def anomaly_rows(kept: DataFrame, created_at=None) -> DataFrame:
+@column_cache
+def _anomaly_payload():
     raw_json = json_build(*[F.col(f"raw.{c}").alias(c) for c in RAW_TRIP_COLUMNS])
     details = json_build(F.col("distance"), F.col("fare"), F.col("speed_mph"), F.col("duration_min"),
                          F.col("tip_pct"))
-    exploded = kept.select("row_num", F.explode("post_flags").alias("flag"), details.alias("_details"),
-                           raw_json.alias("_raw"))
-    return exploded.select(
-        _err_id("anomaly").alias("err_id"), "row_num", F.col("flag.err_type").alias("err_type"),
-        F.col("_details").alias("details"), F.col("_raw").alias("raw_data"),
-        _created(created_at).alias("created_at"), F.lit("anomaly").alias("source"))
+    return raw_json, details
+
+
+def post_rows(kept: DataFrame, created_at=None) -> DataFrame:
+    """Both records of every post-enrichment flag of a kept trip, from one pass over ``kept``: each flag
+    becomes a quality record and an anomaly record (with the five features and the raw row)."""
+    raw_json, details = _anomaly_payload()
+    exploded = explode_flags(kept, "post_flags", details.alias("_details"), raw_json.alias("_raw"))
+    quality = F.struct(F.lit("quality").alias("source"), _quality_details().alias("details"),
+                       F.lit("{}").alias("raw_data"))
+    anomaly = F.struct(F.lit("anomaly").alias("source"), F.col("_details").alias("details"),
+                       F.col("_raw").alias("raw_data"))
+    both = exploded.select("row_num", "flag", F.inline(F.array(quality, anomaly)))
+    err_id = F.sha2(F.concat_ws("|", F.col("row_num").cast("string"), F.col("flag.err_type"), F.col("source")), 256)
+    return both.select(err_id.alias("err_id"), "row_num", F.col("flag.err_type").alias("err_type"), "details",
+                       "raw_data", _created(created_at).alias("created_at"), "source")
+
+
+def anomaly_rows(kept: DataFrame, created_at=None) -> DataFrame:
+    return post_rows(kept, created_at).where(F.col("source") == "anomaly")
 
 
 def error_log(norm: DataFrame, kept: DataFrame, created_at=None) -> DataFrame:
-    """Union of the error branches (quality flags of all raw rows, post flags of kept trips twice)."""
-    return (quality_rows(norm, "raw_flags", created_at)
-            .unionByName(quality_rows(kept, "post_flags", created_at))
-            .unionByName(anomaly_rows(kept, created_at)))
+    """Union of the error branches: quality flags of all raw rows, and the two records per post flag."""
+    return quality_rows(norm, "raw_flags", created_at).unionByName(post_rows(kept, created_at))
 
 
 def soft_only(errors: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.cache import column_cache
 from ..functions.parsing import parse_float, parse_timestamp
 from ..functions.rounding import to_fixed
 
@@ -38,15 +39,20 @@ def cost_per_mile(total: Column, distance: Column) -> Column:
 
 def enrich(trips: DataFrame) -> DataFrame:
     """Adds duration_min, speed_mph, money_per_min, tip_pct, cost_per_mile to normalised trips."""
+    ms, dur, rest = _enrich_columns()
+    return trips.withColumn("_ml_ms", ms).withColumn("duration_min", dur).drop("_ml_ms").withColumns(rest)
+
+
+@column_cache
+def _enrich_columns():
     c = F.col
-    with_ms = trips.withColumn("_ml_ms", duration_ms(c("pickup_time"), c("dropoff_time")))
-    return (with_ms.withColumn("duration_min", duration_minutes_from_ms(c("_ml_ms"))).drop("_ml_ms")
-            .withColumns({
-                "speed_mph": speed_mph(c("distance"), c("duration_min")),
-                "money_per_min": money_per_minute(c("total"), c("duration_min")),
-                "tip_pct": tip_percentage(c("tip"), c("fare")),
-                "cost_per_mile": cost_per_mile(c("total"), c("distance")),
-            }))
+    rest = {
+        "speed_mph": speed_mph(c("distance"), c("duration_min")),
+        "money_per_min": money_per_minute(c("total"), c("duration_min")),
+        "tip_pct": tip_percentage(c("tip"), c("fare")),
+        "cost_per_mile": cost_per_mile(c("total"), c("distance")),
+    }
+    return duration_ms(c("pickup_time"), c("dropoff_time")), duration_minutes_from_ms(c("_ml_ms")), rest
 
 
 def compute_features(df: DataFrame, pickup="pickup_datetime", dropoff="dropoff_datetime",

@@ -12,6 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.cache import column_cache
 from ..config import PEAK_HOURS, RAW_TRIP_COLUMNS, TIMESTAMP_FORMATS, VALID_RATE_CODES
 from ..functions.parsing import (blank_aware_float, float_or_zero, int_or_null, js_number_text, parse_float,
                                  parse_int, parse_timestamp, string_or_null)
@@ -35,11 +36,16 @@ def collect_flags(candidates: Iterable[Column]) -> Column:
 
 
 def normalise(raw: DataFrame, timestamp_formats: Iterable[str] = TIMESTAMP_FORMATS) -> DataFrame:
+    staged_cols, final_cols = _normalise_columns(tuple(timestamp_formats))
+    return raw.select("*", *staged_cols).select(*final_cols)
+
+
+@column_cache
+def _normalise_columns(timestamp_formats: tuple):
     c = F.col
     pickup = parse_timestamp("tpep_pickup_datetime", timestamp_formats)
     dropoff = parse_timestamp("tpep_dropoff_datetime", timestamp_formats)
-    staged = raw.select(
-        "*",
+    staged = [
         pickup.alias("_pickup"), dropoff.alias("_dropoff"),
         parse_int("passenger_count").alias("_passengers"),
         parse_float("trip_distance").alias("_distance"),
@@ -47,7 +53,7 @@ def normalise(raw: DataFrame, timestamp_formats: Iterable[str] = TIMESTAMP_FORMA
         parse_float("tip_amount").alias("_tip"),
         parse_float("total_amount").alias("_total"),
         parse_int("RatecodeID").alias("_rate"),
-    )
+    ]
     bad_dt = c("_pickup").isNull() | c("_dropoff").isNull()
     before = ~bad_dt & (c("_dropoff") <= c("_pickup"))
     hard = [
@@ -81,8 +87,8 @@ def normalise(raw: DataFrame, timestamp_formats: Iterable[str] = TIMESTAMP_FORMA
     excluded = hard_code.isNotNull()
     kept_ts = F.when(~excluded, c("_pickup"))
     hour = F.hour(kept_ts)
-    return staged.select(
-        "row_num",
+    final = [
+        c("row_num"),
         F.struct(*[c(name) for name in RAW_TRIP_COLUMNS]).alias("raw"),
         int_or_null("VendorID").try_cast("int").alias("vendor"),
         kept_ts.alias("pickup_time"),
@@ -107,7 +113,8 @@ def normalise(raw: DataFrame, timestamp_formats: Iterable[str] = TIMESTAMP_FORMA
         F.when(hour.isNotNull(), hour.isin(*PEAK_HOURS)).alias("is_peak"),
         hard_code.alias("hard_code"),
         collect_flags(hard + soft).alias("raw_flags"),
-    )
+    ]
+    return staged, final
 
 
 def hard_exclusion(norm: DataFrame) -> DataFrame:

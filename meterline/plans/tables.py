@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.geo import zone_shapes
@@ -14,13 +12,32 @@ from ..sources.tables import read_table
 from .pipeline import Loaded, load
 
 
-@dataclass
 class Tables:
-    trips: DataFrame
-    zones: DataFrame
-    error_log: DataFrame
-    zone_shapes: DataFrame | None = None
-    loaded: Loaded | None = None
+    """trips, zones, error_log, zone_shapes (and the pipeline state when built from raw input).
+    Members built from the pipeline are created on first use only."""
+
+    def __init__(self, trips=None, zones=None, error_log=None, zone_shapes=None, loaded: Loaded | None = None,
+                 features: DataFrame | None = None):
+        self._trips, self.zones, self._error_log, self._zone_shapes = trips, zones, error_log, zone_shapes
+        self.loaded, self._features = loaded, features
+
+    @property
+    def trips(self) -> DataFrame:
+        if self._trips is None:
+            self._trips = self.loaded.trips
+        return self._trips
+
+    @property
+    def error_log(self) -> DataFrame:
+        if self._error_log is None:
+            self._error_log = self.loaded.error_log
+        return self._error_log
+
+    @property
+    def zone_shapes(self) -> DataFrame | None:
+        if self._zone_shapes is None and self._features is not None:
+            self._zone_shapes = zone_shapes(self._features)
+        return self._zone_shapes
 
 
 def fixture_inputs(spark: SparkSession, sf_dir: str):
@@ -36,9 +53,7 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Tables:
     """Run the load pipeline over the fixture derived from ``sf_dir`` (lazily; Catalyst prunes what a query
     does not use)."""
     raw, zones, features = fixture_inputs(spark, sf_dir)
-    loaded = load(raw, zones)
-    return Tables(trips=loaded.trips, zones=zones, error_log=loaded.error_log,
-                  zone_shapes=zone_shapes(features), loaded=loaded)
+    return Tables(zones=zones, loaded=load(raw, zones), features=features)
 
 
 def from_store(spark: SparkSession, root: str) -> Tables:

@@ -26,6 +26,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app_nam
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # generated code for wide projections exceeds HotSpot's 8 KB JIT limit; let it be compiled
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
+        .config("spark.executor.extraJavaOptions", "-XX:-DontCompileHugeMethods")
     )
     for key, value in {**REQUIRED_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)

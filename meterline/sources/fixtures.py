@@ -11,6 +11,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.cache import column_cache
+
 # Fixed value: all derived pickup times count seconds from this instant (UTC).
 EPOCH_2019 = int(dt.datetime(2019, 1, 1, tzinfo=dt.timezone.utc).timestamp())
 
@@ -29,6 +31,11 @@ def _ts_text(seconds_since_2019: Column) -> Column:
 
 def raw_trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """One all-string raw trip row per lineitem row, plus the lineage key ``row_num``."""
+    return lineitem.select(*_raw_trip_columns())
+
+
+@column_cache
+def _raw_trip_columns():
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber").cast("bigint")
     pk, sk = F.col("l_partkey"), F.col("l_suppkey")
     q = F.col("l_quantity").cast("bigint")
@@ -45,7 +52,7 @@ def raw_trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     def s(c: Column) -> Column:
         return c.cast("string")
 
-    return lineitem.select(
+    return [
         ((((ok * 8 + ln) * 20000 + pk) * 1000 + sk) * 51 + q).alias("row_num"),
         F.when(sk % 50 == 0, F.lit("")).otherwise(s(1 + sk % 2)).alias("VendorID"),
         F.when(pk % 211 == 0, F.lit("not-a-date")).otherwise(_ts_text(pu)).alias("tpep_pickup_datetime"),
@@ -70,7 +77,7 @@ def raw_trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
         F.lit("0.3").alias("improvement_surcharge"),
         money_text((ok * 131 + ln * 977 + g * 3571) % 9000 - 150).alias("total_amount"),
         F.when(pk % 3 == 0, F.lit("")).otherwise(F.lit("2.5")).alias("congestion_surcharge"),
-    )
+    ]
 
 
 def zones_from_nation(nation: DataFrame, region: DataFrame) -> DataFrame:
