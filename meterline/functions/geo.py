@@ -64,8 +64,10 @@ def lcc_inverse(x_ft: Column, y_ft: Column, k: LccConstants = LCC):
     t = F.pow(rho / lit(k.aF), lit(1.0 / k.n))
     phi = lit(math.pi / 2) - lit(2.0) * F.atan(t)
     for _ in range(LAT_ITERATIONS):
+        # (1 - es) / (1 + es) written as 2 / (1 + es) - 1: the previous latitude appears once, so the
+        # expression grows linearly with the number of steps instead of doubling per step
         es = lit(k.e) * F.sin(phi)
-        phi = lit(math.pi / 2) - lit(2.0) * F.atan(t * F.pow((lit(1.0) - es) / (lit(1.0) + es), lit(k.e / 2)))
+        phi = lit(math.pi / 2) - lit(2.0) * F.atan(t * F.pow(lit(2.0) / (lit(1.0) + es) - lit(1.0), lit(k.e / 2)))
     lon = F.degrees(theta / lit(k.n) + lit(k.lon0))
     return lon, F.degrees(phi)
 

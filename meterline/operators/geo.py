@@ -31,8 +31,8 @@ def to_wkt(multi: Column, digits: int | None = None) -> Column:
     def poly(p):
         return F.concat(F.lit("("), F.array_join(F.transform(p, ring), ", "), F.lit(")"))
 
-    return F.when(multi.isNotNull(),
-                  F.concat(F.lit("MULTIPOLYGON("), F.array_join(F.transform(multi, poly), ", "), F.lit(")")))
+    # NULL geometry gives NULL text (concat / array_join propagate NULL); ``multi`` is referenced once
+    return F.concat(F.lit("MULTIPOLYGON("), F.array_join(F.transform(multi, poly), ", "), F.lit(")"))
 
 
 def shape_location_id(props: str = "properties") -> Column:
@@ -51,10 +51,11 @@ def zone_shapes(features: DataFrame, web_digits: int = 7) -> DataFrame:
         F.coalesce(F.nullif(F.col("properties.Shape_Leng"), F.lit(0.0)), F.lit(0.0)).alias("len"),
         F.col("geometry.type").alias("geom_type"), multi.alias("_multi"))
     ok = F.col("_multi").isNotNull()
+    staged = staged.withColumn("_web", reproject_multipolygon(F.col("_multi")))
     return staged.select(
         "location_id", "area", "len",
         to_wkt(F.col("_multi")).alias("geom"),
-        to_wkt(reproject_multipolygon(F.col("_multi")), web_digits).alias("geom_web"),
+        to_wkt(F.col("_web"), web_digits).alias("geom_web"),
         ok.alias("mappable"),
         F.when(~ok, F.concat(F.lit("unsupported geometry type: "), F.coalesce(F.col("geom_type"), F.lit("null"))))
          .alias("notes"))

@@ -13,13 +13,17 @@ def _path(root: str, name: str) -> str:
     return os.path.join(root, name) if "://" not in root else f"{root.rstrip('/')}/{name}"
 
 
-def write_trips(trips: DataFrame, root: str, name: str = "trips") -> str:
-    """Parquet partitioned by pickup date; dynamic partition overwrite replaces only the days present."""
+def write_trips(trips: DataFrame, root: str, name: str = "trips", writers_per_day: int = 4) -> str:
+    """Parquet partitioned by pickup date; dynamic partition overwrite replaces only the days present.
+
+    Rows are shuffled on (day, a hash bucket of row_num): at most ``writers_per_day`` files per day, and a
+    day holding a large share of all trips is still written by several tasks, not one."""
     path = _path(root, name)
     spark = trips.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    bucket = F.pmod(F.xxhash64("row_num"), F.lit(writers_per_day))
     (trips.withColumn("pickup_date", F.to_date("pickup_time"))
-          .repartition("pickup_date")   # one writer task per day: no small-file explosion
+          .repartition("pickup_date", bucket)
           .write.mode("overwrite").partitionBy("pickup_date").parquet(path))
     return path
 
@@ -44,7 +48,7 @@ def write_loaded(loaded, zones: DataFrame, root: str, zone_shapes: DataFrame | N
     """Persist one load: trips, quarantine, error_log, zones, summary (and zone_shapes).
 
     The deduplicated frame is staged first (one dedup shuffle for all outputs, lineage cut at a table)."""
-    loaded = loaded.staged(_path(root, "_staged_kept"))
+    loaded = loaded.staged(_path(root, "_staged"), zones)
     out = {
         "trips": write_trips(loaded.trips, root),
         "quarantine": write_table(loaded.quarantine, root, "quarantine"),

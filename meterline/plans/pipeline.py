@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..config import MAX_SPEED_MPH, MAX_TIP_PERCENTAGE, TIMESTAMP_FORMATS
@@ -38,6 +38,8 @@ class Loaded:
     kept: DataFrame        # first occurrence of each key among non-excluded rows, enriched, with post_flags
                            # and the referential mark ``orphan``
     created_at: object = DEFAULT_CREATED_AT
+    params: tuple = (MAX_SPEED_MPH, MAX_TIP_PERCENTAGE)
+    raw_counts: tuple | None = None   # (total_raw_rows, excluded) when observed during staging
 
     @property
     def trips(self) -> DataFrame:
@@ -55,25 +57,45 @@ class Loaded:
     def summary(self) -> DataFrame:
         return load_summary(self)
 
-    def staged(self, path: str) -> "Loaded":
-        """Write the deduplicated, enriched, marked frame once and continue from the written table: the
-        dedup shuffle runs once for all outputs and the lineage is cut at a durable table."""
-        self.kept.write.mode("overwrite").parquet(path)
-        kept = self.kept.sparkSession.read.parquet(path)
-        return Loaded(norm=self.norm, kept=kept, created_at=self.created_at)
+    def staged(self, path: str, zones: DataFrame) -> "Loaded":
+        """Materialise ``kept`` (read by trips, quarantine, the post-flag records and the counters) as a
+        written table under ``path`` and continue from it: the dedup shuffle runs once and lineage is cut
+        at a durable table. The raw-row counters are observed during that same pass (no extra scan of the
+        raw input); ``norm`` itself stays a cheap map-only recomputation for the raw-flag records."""
+        spark = self.norm.sparkSession
+        observation = Observation("raw_rows")
+        observed = self.norm.observe(observation, F.count(F.lit(1)).alias("total_raw_rows"),
+                                     F.count_if(F.col("hard_code").isNotNull()).alias("excluded"))
+        build_kept(observed, zones, self.params).write.mode("overwrite").parquet(f"{path}/kept")
+        counts = observation.get
+        return Loaded(norm=self.norm, kept=spark.read.parquet(f"{path}/kept"), created_at=self.created_at,
+                      params=self.params, raw_counts=(counts["total_raw_rows"], counts["excluded"]))
 
 
 def load(raw: DataFrame, zones: DataFrame, *, created_at=DEFAULT_CREATED_AT, timestamp_formats=TIMESTAMP_FORMATS,
          max_speed: float = MAX_SPEED_MPH, max_tip_pct: float = MAX_TIP_PERCENTAGE) -> Loaded:
     norm = normalise(raw, timestamp_formats)
-    kept = with_post_flags(enrich(dedup_keep_first(hard_exclusion(norm))), max_speed, max_tip_pct)
-    return Loaded(norm=norm, kept=mark_orphans(kept, zones), created_at=created_at)
+    params = (max_speed, max_tip_pct)
+    return Loaded(norm=norm, kept=build_kept(norm, zones, params), created_at=created_at, params=params)
+
+
+def build_kept(norm: DataFrame, zones: DataFrame, params=(MAX_SPEED_MPH, MAX_TIP_PERCENTAGE)) -> DataFrame:
+    """Non-excluded rows → keep-first dedup → features → post flags → orphan mark. Only the columns used
+    afterwards enter the dedup shuffle (the raw-flag array stays behind)."""
+    candidates = hard_exclusion(norm).drop("raw_flags", "hard_code")
+    kept = with_post_flags(enrich(dedup_keep_first(candidates)), *params)
+    return mark_orphans(kept, zones)
 
 
 def load_summary(loaded: Loaded) -> DataFrame:
     """total_raw_rows, excluded, duplicates, flagged, clean, inserted, quarantined (one row)."""
-    raw_counts = loaded.norm.agg(F.count(F.lit(1)).alias("total_raw_rows"),
-                                 F.count_if(F.col("hard_code").isNotNull()).alias("excluded"))
+    if loaded.raw_counts is not None:
+        total, excluded = loaded.raw_counts
+        raw_counts = loaded.kept.sparkSession.range(1).select(F.lit(total).cast("bigint").alias("total_raw_rows"),
+                                                              F.lit(excluded).cast("bigint").alias("excluded"))
+    else:
+        raw_counts = loaded.norm.agg(F.count(F.lit(1)).alias("total_raw_rows"),
+                                     F.count_if(F.col("hard_code").isNotNull()).alias("excluded"))
     kept_counts = loaded.kept.agg(F.count(F.lit(1)).alias("kept"),
                                   F.count_if(F.size("post_flags") > 0).alias("flagged"),
                                   F.count_if(~F.col("orphan")).alias("inserted"))

@@ -213,7 +213,7 @@ def _shapes_cte() -> str:
         phi = f"({pi2} - 2.0 * atan({t}))"
         for _ in range(LAT_ITERATIONS):
             es = f"({k.e!r} * sin({phi}))"
-            phi = f"({pi2} - 2.0 * atan({t} * pow((1.0 - {es}) / (1.0 + {es}), {k.e / 2!r})))"
+            phi = f"({pi2} - 2.0 * atan({t} * pow(2.0 / (1.0 + {es}) - 1.0, {k.e / 2!r})))"
         return f"degrees({theta} / {k.n!r} + {k.lon0!r})", f"degrees({phi})"
 
     lon, lat = inv("p[1]", "p[2]")
