@@ -66,3 +66,11 @@ def paginate(df: DataFrame, order: Sequence[Column], limit: int, offset: int = 0
         F.greatest(F.least(F.col("total") - offset, F.lit(limit)), F.lit(0)).cast("bigint").alias("count"))
     meta = meta.withColumn("has_more", (F.lit(offset) + F.col("count")) < F.col("total"))
     return page, meta
+
+
+def result_with_meta(df: DataFrame, **extra):
+    """(rows, one-row meta): ``count`` of the rows plus fixed fields such as limit or granularity."""
+    meta = df.agg(F.count(F.lit(1)).alias("count"))
+    for k, v in extra.items():
+        meta = meta.withColumn(k, F.lit(v))
+    return df, meta

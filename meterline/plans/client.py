@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import BOROUGH_ORDER, FLAG_META
-from ..functions.formats import fmt_hr, fmt_usd
+from ..functions.formats import fixed_text, fmt_hr, fmt_num, fmt_pct, fmt_rpm, fmt_usd
 from ..functions.rounding import exact_sum, to_fixed
 from ..operators.errorlog import json_extract_num
 from ..operators.joins import flag_meta_table, lookup_flag_note
@@ -113,3 +113,35 @@ def flag_legend(t: Tables) -> DataFrame:
 
 
 FLAG_CODES = tuple(FLAG_META)
+
+
+def top_zones_table(t: Tables, rows: int = 10) -> DataFrame:
+    """The first ``rows`` of the top-100 pickup zones, ranked, with display text ('—' for missing values)."""
+    top = overview.top_zones(t, 100)
+    ranked = rank_column(top, [F.desc_nulls_first("trip_count"), F.asc("location_id")]).where(F.col("rank") <= rows)
+    dash = F.lit("—")
+    return ranked.select(
+        "rank", "location_id",
+        F.coalesce(F.nullif(F.col("zone_name"), F.lit("")), dash).alias("zone_name"),
+        F.coalesce(F.nullif(F.col("borough"), F.lit("")), dash).alias("borough"),
+        fmt_num(F.col("trip_count")).alias("trips_text"),
+        F.when(F.coalesce(F.col("avg_fare"), F.lit(0.0)) != 0, fmt_usd(F.col("avg_fare"))).otherwise(dash).alias("fare_text"),
+        F.when(F.coalesce(F.col("avg_tip_percentage"), F.lit(0.0)) != 0, fmt_pct(F.col("avg_tip_percentage")))
+         .otherwise(dash).alias("tip_text"))
+
+
+def kpi_cards(t: Tables) -> DataFrame:
+    """Overview cards: trips, average fare, revenue per minute, average speed (1 dp + ' mph')."""
+    k = overview.overview_kpis(t)
+    return k.select(fmt_num(F.col("total_trips")).alias("total_trips_text"), fmt_usd(F.col("avg_fare")).alias("avg_fare_text"),
+                    fmt_rpm(F.col("avg_revenue_per_minute")).alias("rev_per_min_text"),
+                    F.concat(fixed_text(F.col("avg_speed_mph"), 1), F.lit(" mph")).alias("avg_speed_text"))
+
+
+def anomaly_cards(t: Tables) -> DataFrame:
+    """Anomaly cards: flagged trips, share of all trips, most common flag with underscores as spaces."""
+    s = anomalies.summary(t)
+    top = top_flag(t)
+    return s.crossJoin(top).select(fmt_num(F.col("unique_flagged_rows")).alias("flagged_text"),
+                                   fmt_pct(F.col("flag_rate_percent")).alias("rate_text"),
+                                   F.col("top_flag_label"))

@@ -214,6 +214,9 @@ def queries() -> dict[str, Query]:
         "client_flag_table": _t(client.flag_table),
         "client_top_flag": _t(client.top_flag),
         "client_flag_legend": _t(client.flag_legend),
+        "client_top_zones_table": _t(client.top_zones_table),
+        "client_kpi_cards": _t(client.kpi_cards),
+        "client_anomaly_cards": _t(client.anomaly_cards),
         "display_formats_by_hour": _t(_formats_by_hour),
         "display_formats_by_day": _t(_formats_by_day),
         # other given tables

@@ -279,6 +279,26 @@ def oracle_sql() -> dict[str, str]:
     s["client_flag_legend"] = with_ctes(f"""
       SELECT m.action, b.err_type, m.label, m.description, CAST(b.count AS BIGINT) AS count
       FROM ({BY_TYPE}) b JOIN (VALUES {meta_rows}) m(err_type, label, description, action) ON b.err_type = m.err_type""")
+    s["client_top_zones_table"] = with_ctes(f"""
+      SELECT rank, location_id, coalesce(NULLIF(zone_name, ''), '—') AS zone_name, coalesce(NULLIF(borough, ''), '—') AS borough,
+             {_fmt_num('trip_count')} AS trips_text,
+             CASE WHEN coalesce(avg_fare, 0.0) <> 0 THEN '$' || {_fmt_fixed('avg_fare', 2)} ELSE '—' END AS fare_text,
+             CASE WHEN coalesce(avg_tip_percentage, 0.0) <> 0 THEN {_fmt_fixed('avg_tip_percentage', 1)} || '%' ELSE '—' END AS tip_text
+      FROM (SELECT *, CAST(row_number() OVER (ORDER BY trip_count DESC NULLS FIRST, location_id ASC) AS BIGINT) AS rank
+            FROM ({TOP_ZONES.format(n=100)})) WHERE rank <= 10""")
+    s["client_kpi_cards"] = with_ctes(f"""
+      SELECT {_fmt_num('total_trips')} AS total_trips_text, '$' || {_fmt_fixed('avg_fare', 2)} AS avg_fare_text,
+             '$' || {_fmt_fixed('avg_revenue_per_minute', 2)} || '/min' AS rev_per_min_text,
+             {_fmt_fixed('avg_speed_mph', 1)} || ' mph' AS avg_speed_text
+      FROM (SELECT COUNT(*) AS total_trips, {tofixed(xavg('total'), 2)} AS avg_fare, {tofixed(xavg('speed_mph'), 2)} AS avg_speed_mph,
+                   {tofixed(xavg('money_per_min'), 4)} AS avg_revenue_per_minute FROM trips)""")
+    s["client_anomaly_cards"] = with_ctes(f"""
+      SELECT {_fmt_num('unique_flagged_rows')} AS flagged_text, {_fmt_fixed('flag_rate_percent', 1)} || '%' AS rate_text,
+             top_flag_label
+      FROM (SELECT COUNT(DISTINCT row_num) AS unique_flagged_rows FROM soft),
+           (SELECT CASE WHEN n > 0 THEN {tofixed('f / n * 100', 2)} ELSE 0.0 END AS flag_rate_percent
+            FROM (SELECT COUNT(*) AS n FROM trips), (SELECT COUNT(DISTINCT row_num) AS f FROM soft)),
+           (SELECT replace(err_type, '_', ' ') AS top_flag_label FROM ({BY_TYPE}) ORDER BY count DESC, err_type ASC LIMIT 1)""")
     s["display_formats_by_hour"] = with_ctes(f"""
       SELECT hour_of_day, lpad(CAST(hour_of_day AS VARCHAR), 2, '0') || ':00' AS hour_label, {_fmt_num('trip_count')} AS trips_text,
              '$' || {_fmt_fixed('avg_fare', 2)} AS fare_text, '$' || {_fmt_fixed('avg_revenue_per_minute', 2)} || '/min' AS rpm_text,
