@@ -37,5 +37,5 @@ def dedup_with_count(df: DataFrame, keys: Sequence[str] = TRIP_KEY, order_col: s
     unique = dedup_keep_first(df, keys, order_col)
     total = df.agg(F.count(F.lit(1)).alias("_n"))
     kept = unique.agg(F.count(F.lit(1)).alias("unique_count"))
-    counts = total.crossJoin(kept).select("unique_count", (F.col("_n") - F.col("unique_count")).alias("duplicate_count"))
+    counts = kept.select("unique_count", (total.scalar() - F.col("unique_count")).alias("duplicate_count"))
     return unique, counts

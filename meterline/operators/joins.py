@@ -109,9 +109,13 @@ def flag_meta_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "err_type string, label string, description string, action string")
 
 
-def cross_scalar(*one_row_frames: DataFrame) -> DataFrame:
-    """Side-by-side combination of one-row aggregates (each input must have exactly one row)."""
-    out = one_row_frames[0]
-    for f in one_row_frames[1:]:
-        out = out.crossJoin(f)
-    return out
+def scalar_fields(one_row: DataFrame, prefix: str = "") -> list[Column]:
+    """The columns of a one-row aggregate as scalar-subquery Columns (one subquery for all fields)."""
+    packed = one_row.select(F.struct(*one_row.columns).alias("_ml_s")).scalar()
+    return [packed.getField(c).alias(prefix + c) for c in one_row.columns]
+
+
+def cross_scalar(base: DataFrame, *one_row_frames: DataFrame) -> DataFrame:
+    """``base`` with the fields of one-row aggregates appended as scalar subqueries (no join operator)."""
+    extra = [c for f in one_row_frames for c in scalar_fields(f)]
+    return base.select("*", *extra)

@@ -9,6 +9,7 @@ from ..config import ANOMALY_LIST_DEFAULT_LIMIT, ANOMALY_LIST_MAX_LIMIT
 from ..functions.formats import iso_timestamp
 from ..functions.rounding import to_fixed
 from ..operators.errorlog import json_extract_num, soft_only
+from ..operators.joins import cross_scalar
 from ..operators.sorting import clamp_limit, clamp_offset, paginate
 from .tables import Tables
 
@@ -30,15 +31,15 @@ def summary(t: Tables) -> DataFrame:
     trips = t.trips.agg(F.count(F.lit(1)).alias("_trips"))
     rate = F.when(F.col("_trips") > 0,
                   to_fixed(F.col("unique_flagged_rows") / F.col("_trips") * F.lit(100), 2)).otherwise(F.lit(0.0))
-    return totals.crossJoin(trips).select("total_error_records", "unique_flagged_rows",
-                                          rate.alias("flag_rate_percent"))
+    return cross_scalar(totals, trips).select("total_error_records", "unique_flagged_rows",
+                                              rate.alias("flag_rate_percent"))
 
 
 def summary_with_types(t: Tables) -> DataFrame:
     """The summary plus ``by_type`` as an array (bounded by the number of flag codes)."""
     types = by_type(t).agg(F.sort_array(F.collect_list(F.struct(F.col("count"), F.col("err_type"))), False)
                            .alias("by_type"))
-    return summary(t).crossJoin(types)
+    return cross_scalar(summary(t), types)
 
 
 def _filtered(t: Tables, flag_type: str | None) -> DataFrame:

@@ -12,7 +12,7 @@ from ..config import BOROUGH_ORDER, FLAG_META
 from ..functions.formats import fixed_text, fmt_hr, fmt_num, fmt_pct, fmt_rpm, fmt_usd
 from ..functions.rounding import exact_sum, to_fixed
 from ..operators.errorlog import json_extract_num
-from ..operators.joins import flag_meta_table, lookup_flag_note
+from ..operators.joins import cross_scalar, flag_meta_table, lookup_flag_note
 from ..operators.sorting import rank_column
 from . import anomalies, overview, profitability, tips
 from .tables import Tables
@@ -68,7 +68,7 @@ def tip_payment_split(t: Tables) -> DataFrame:
     mid = (F.col("card_avg") + F.col("cash_avg")) / F.lit(2)
     cc = cc.withColumn("mid", F.when(mid == 0, F.lit(1.0)).otherwise(mid))
     boroughs = tips.tips_by_borough(t).where(F.col("borough").isNotNull())
-    return boroughs.crossJoin(cc).select(
+    return cross_scalar(boroughs, cc).select(
         "borough",
         to_fixed(F.col("avg_tip_percentage") * F.col("card_avg") / F.col("mid"), 2).alias("card"),
         to_fixed(F.col("avg_tip_percentage") * F.col("cash_avg") / F.col("mid"), 2).alias("cash"))
@@ -82,7 +82,7 @@ def tip_insight(t: Tables) -> DataFrame:
              .select(F.col("borough").alias("top_borough"), F.col("avg_tip_percentage").alias("top_borough_tip_pct")))
     peak = (tips.tips_by_hour(t).orderBy(F.desc_nulls_last("avg_tip_percentage"), F.desc("hour_of_day")).limit(1)
             .select(F.col("hour_of_day").alias("peak_hour"), fmt_hr(F.col("hour_of_day")).alias("peak_hour_label")))
-    out = cc.join(top_b, how="left").join(peak, how="left")  # one-row frames
+    out = cross_scalar(cc, top_b, peak)   # one-row frames; an empty top frame gives NULL fields
     return out.select("card_avg", "cash_avg",
                       to_fixed(F.col("card_avg") - F.col("cash_avg"), 1).alias("premium_pp"),
                       "top_borough", "top_borough_tip_pct", "peak_hour", "peak_hour_label")
@@ -142,6 +142,6 @@ def anomaly_cards(t: Tables) -> DataFrame:
     """Anomaly cards: flagged trips, share of all trips, most common flag with underscores as spaces."""
     s = anomalies.summary(t)
     top = top_flag(t)
-    return s.crossJoin(top).select(fmt_num(F.col("unique_flagged_rows")).alias("flagged_text"),
+    return cross_scalar(s, top).select(fmt_num(F.col("unique_flagged_rows")).alias("flagged_text"),
                                    fmt_pct(F.col("flag_rate_percent")).alias("rate_text"),
                                    F.col("top_flag_label"))

@@ -9,7 +9,7 @@ from ..config import TOP_ZONES_DEFAULT_LIMIT, TOP_ZONES_MAX_LIMIT
 from ..functions.formats import iso_timestamp
 from ..functions.rounding import exact_avg, exact_sum, to_fixed
 from ..operators.errorlog import soft_only
-from ..operators.joins import join_zone_inner, known_zone
+from ..operators.joins import cross_scalar, join_zone_inner, known_zone
 from ..operators.sorting import clamp_limit, top_n
 from .tables import Tables
 
@@ -30,7 +30,7 @@ def overview_kpis(t: Tables) -> DataFrame:
         F.count_distinct("dropoff_zone").alias("unique_dropoff_zones"),
     )
     flagged = soft_only(t.error_log).agg(F.count_distinct("row_num").alias("flag_rows"))
-    return kpis.crossJoin(flagged)
+    return cross_scalar(kpis, flagged)
 
 
 def trips_over_time(t: Tables, granularity: str = "day") -> DataFrame:

@@ -20,7 +20,7 @@ from ..operators.anomalies import with_post_flags
 from ..operators.dedup import dedup_keep_first
 from ..operators.errorlog import error_log as build_error_log
 from ..operators.features import enrich
-from ..operators.joins import mark_orphans
+from ..operators.joins import cross_scalar, mark_orphans
 from ..operators.normalise import hard_exclusion, normalise
 
 DEFAULT_CREATED_AT = "2019-02-01 00:00:00"
@@ -99,7 +99,7 @@ def load_summary(loaded: Loaded) -> DataFrame:
     kept_counts = loaded.kept.agg(F.count(F.lit(1)).alias("kept"),
                                   F.count_if(F.size("post_flags") > 0).alias("flagged"),
                                   F.count_if(~F.col("orphan")).alias("inserted"))
-    out = raw_counts.crossJoin(kept_counts)
+    out = cross_scalar(kept_counts, raw_counts)
     return out.select(
         "total_raw_rows", "excluded",
         (F.col("total_raw_rows") - F.col("excluded") - F.col("kept")).alias("duplicates"),

@@ -18,7 +18,7 @@ from ..operators.anomalies import detect_anomalies, partition_trips
 from ..operators.dedup import dedup_keep_first, dedup_with_count, trip_key_text
 from ..operators.errorlog import soft_only
 from ..operators.features import compute_features
-from ..operators.joins import exists_in, join_zone_inner, lookup_flag_note, lookup_payment_label
+from ..operators.joins import cross_scalar, exists_in, join_zone_inner, lookup_flag_note, lookup_payment_label
 from ..operators.normalise import hard_exclusion
 from ..operators.sorting import rank_column, sort_by_any_column, stable_sort
 from ..sources.tables import read_table
@@ -94,7 +94,7 @@ def _count_distinct(t: Tables) -> DataFrame:
     a = t.trips.agg(F.count_distinct("pickup_zone").alias("unique_pickup_zones"),
                     F.count_distinct("dropoff_zone").alias("unique_dropoff_zones"))
     b = soft_only(t.error_log).agg(F.count_distinct("row_num").alias("unique_flagged_rows"))
-    return a.crossJoin(b)
+    return cross_scalar(a, b)
 
 
 def _aggregate_groups(t: Tables) -> DataFrame:
