@@ -22,6 +22,7 @@ from ..operators.errorlog import error_log as build_error_log
 from ..operators.features import enrich
 from ..operators.joins import cross_scalar, mark_orphans
 from ..operators.normalise import hard_exclusion, normalise
+from ..sources.csv import cap_rows
 
 DEFAULT_CREATED_AT = "2019-02-01 00:00:00"
 TRIP_COLUMNS = (
@@ -73,7 +74,11 @@ class Loaded:
 
 
 def load(raw: DataFrame, zones: DataFrame, *, created_at=DEFAULT_CREATED_AT, timestamp_formats=TIMESTAMP_FORMATS,
-         max_speed: float = MAX_SPEED_MPH, max_tip_pct: float = MAX_TIP_PERCENTAGE) -> Loaded:
+         max_speed: float = MAX_SPEED_MPH, max_tip_pct: float = MAX_TIP_PERCENTAGE,
+         row_limit: int | None = None) -> Loaded:
+    """``row_limit`` reproduces the loader's optional row cap (first N rows by row number); default: all rows."""
+    if row_limit is not None:
+        raw = cap_rows(raw, row_limit)
     norm = normalise(raw, timestamp_formats)
     params = (max_speed, max_tip_pct)
     return Loaded(norm=norm, kept=build_kept(norm, zones, params), created_at=created_at, params=params)

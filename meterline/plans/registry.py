@@ -158,6 +158,14 @@ def _stream_trips(spark, sf):
     return _iso_trips(stream_fixture_trips(spark, sf))
 
 
+def _stream_hourly(spark, sf):
+    from ..streaming.ingest import hourly_stats_from_partials, stream_fixture
+    merged = hourly_stats_from_partials(spark, stream_fixture(spark, sf))
+    return merged.select(iso_timestamp("hour_block_ts").alias("hour_block"), "hour_of_day",
+                         F.col("total_trips").cast("bigint").alias("total_trips"), "avg_price", "avg_tip",
+                         "avg_tip_pct", "avg_duration", "avg_speed", "revenue", "earnings_per_min")
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         # sources / fixtures
@@ -224,6 +232,7 @@ def queries() -> dict[str, Query]:
         "events_by_hour": _events_by_hour,
         # streaming (availableNow run, result read back as a table)
         "stream_trips": _stream_trips,
+        "stream_hourly_stats": _stream_hourly,
     }
     for code in FLAG_META:
         q[f"flag_{code.lower()}"] = _flag_query(code)

@@ -92,8 +92,8 @@ def start_ingest(raw_stream: DataFrame, zones: DataFrame, root: str, checkpoint:
     return writer.start()
 
 
-def stream_fixture_trips(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
-    """Stream the lineitem-derived fixture through the ingest (availableNow) and return the trips table."""
+def stream_fixture(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
+    """Stream the lineitem-derived fixture through the ingest (availableNow); returns the output root."""
     ensure_conf(spark)
     root = root or _p(shared_dir(spark), f"stream-{uuid.uuid4().hex}")
     lineitem_schema = read_table(spark, sf_dir, "lineitem").schema
@@ -104,4 +104,8 @@ def stream_fixture_trips(spark: SparkSession, sf_dir: str, root: str | None = No
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return spark.read.parquet(_p(root, "trips")).drop("epoch")
+    return root
+
+
+def stream_fixture_trips(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
+    return spark.read.parquet(_p(stream_fixture(spark, sf_dir, root), "trips")).drop("epoch")

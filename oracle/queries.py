@@ -315,6 +315,7 @@ def oracle_sql() -> dict[str, str]:
                            f"COUNT(*) AS events, CAST(SUM(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS value_sum "
                            f"FROM events GROUP BY 1)")
     s["stream_trips"] = s["trips"]
+    s["stream_hourly_stats"] = s["hourly_stats"]
     for code in FLAG_META:
         s[f"flag_{code.lower()}"] = with_ctes(f"SELECT {ERROR_SELECT} FROM error_log WHERE err_type = {q(code)}")
     return s
