@@ -85,10 +85,13 @@ def load(raw: DataFrame, zones: DataFrame, *, created_at=DEFAULT_CREATED_AT, tim
 
 
 def build_kept(norm: DataFrame, zones: DataFrame, params=(MAX_SPEED_MPH, MAX_TIP_PERCENTAGE)) -> DataFrame:
-    """Non-excluded rows → keep-first dedup → features → post flags → orphan mark. Only the columns used
-    afterwards enter the dedup shuffle (the raw-flag array stays behind)."""
-    candidates = hard_exclusion(norm).drop("raw_flags", "hard_code")
-    kept = with_post_flags(enrich(dedup_keep_first(candidates)), *params)
+    """Non-excluded rows → features → keep-first dedup → post flags → orphan mark.
+
+    Features are computed before the dedup window, so downstream filters on them (``money_per_min IS NOT
+    NULL`` …) are predicates on window outputs and are not re-expanded into the feature formulas. Only the
+    columns used afterwards enter the dedup shuffle (the raw-flag array stays behind)."""
+    candidates = enrich(hard_exclusion(norm).drop("raw_flags", "hard_code"))
+    kept = with_post_flags(dedup_keep_first(candidates), *params)
     return mark_orphans(kept, zones)
 
 
