@@ -43,9 +43,9 @@ class Tables:
 def fixture_inputs(spark: SparkSession, sf_dir: str):
     """(raw_trips, zones, zone polygon features) derived from the given tables of ``sf_dir``."""
     ensure_conf(spark)
-    raw = raw_trips_from_lineitem(read_table(spark, sf_dir, "lineitem"))
+    raw = raw_trips_from_lineitem(read_table(spark, sf_dir, "lineitem", spread=True))
     zones = zones_from_nation(read_table(spark, sf_dir, "nation"), read_table(spark, sf_dir, "region"))
-    features = zone_polygons_from_part(read_table(spark, sf_dir, "part"))
+    features = zone_polygons_from_part(read_table(spark, sf_dir, "part", spread=True))
     return raw, zones, features
 
 

@@ -21,7 +21,9 @@ from ..operators.dedup import trip_key_text
 from ..plans.pipeline import Loaded, load
 from ..session import ensure_conf, shared_dir
 from ..sources.fixtures import raw_trips_from_lineitem, zones_from_nation
+from ..sources.csv import number_rows
 from ..sources.tables import read_table
+from ..config import RAW_TRIP_COLUMNS
 
 
 def _p(root: str, *parts: str) -> str:
@@ -41,8 +43,20 @@ def _seen_before(spark: SparkSession, root: str, epoch: int) -> DataFrame | None
     return seen.where(F.col("epoch") < epoch).select("trip_key")
 
 
+def _rows_before(spark: SparkSession, root: str, epoch: int) -> int:
+    try:
+        done = spark.read.parquet(_p(root, "load_summary")).where(F.col("epoch") < epoch)
+    except Exception:  # first epoch
+        return 0
+    return int(done.agg(F.coalesce(F.sum("total_raw_rows"), F.lit(0))).first()[0])
+
+
 def process_batch(batch: DataFrame, epoch: int, zones: DataFrame, root: str) -> None:
     spark = batch.sparkSession
+    if "row_num" not in batch.columns:
+        # file order across micro-batches: continue the numbering after the rows of earlier epochs
+        offset = _rows_before(spark, root, epoch)
+        batch = number_rows(batch).withColumn("row_num", F.col("row_num") + F.lit(offset))
     loaded = load(batch, zones)
     kept = loaded.kept.withColumn("trip_key", trip_key_text())
     seen = _seen_before(spark, root, epoch)
@@ -85,13 +99,24 @@ def start_ingest(raw_stream: DataFrame, zones: DataFrame, root: str, checkpoint:
                  available_now: bool = True, processing_time: str | None = None):
     """Start the streaming load; returns the StreamingQuery."""
     ckpt = checkpoint or _p(root, "_checkpoint")
-    writer = (raw_stream.writeStream
+    # progress counters per micro-batch, reported in StreamingQuery.lastProgress["observedMetrics"]
+    observed = raw_stream.observe("ingest_counters", F.count(F.lit(1)).alias("rows"))
+    writer = (observed.writeStream
               .foreachBatch(lambda df, epoch: process_batch(df, epoch, zones, root))
               .option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time or "30 seconds")
     return writer.start()
 
 
+def trips_csv_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
+    """Streaming reader of a directory of trip CSV files (header, trimmed, empty fields as '')."""
+    schema = ", ".join(f"`{c}` string" for c in RAW_TRIP_COLUMNS)
+    stream = (spark.readStream.schema(schema).option("header", True)
+              .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
+              .option("maxFilesPerTrigger", max_files_per_trigger).csv(path))
+    return stream.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in RAW_TRIP_COLUMNS])
+
+
 def stream_fixture(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
     """Stream the lineitem-derived fixture through the ingest (availableNow); returns the output root."""
     ensure_conf(spark)
