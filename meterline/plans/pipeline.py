@@ -90,8 +90,12 @@ def build_kept(norm: DataFrame, zones: DataFrame, params=(MAX_SPEED_MPH, MAX_TIP
     Features are computed before the dedup window, so downstream filters on them (``money_per_min IS NOT
     NULL`` …) are predicates on window outputs and are not re-expanded into the feature formulas. Only the
     columns used afterwards enter the dedup shuffle (the raw-flag array stays behind)."""
-    candidates = enrich(hard_exclusion(norm).drop("raw_flags", "hard_code"))
-    kept = with_post_flags(dedup_keep_first(candidates), *params)
+    # Excluded rows carry NULL pickup/dropoff times in the trip key, so they never share a key with a valid
+    # trip: excluding them after the window gives the same survivors, and the exclusion stays a predicate
+    # on a window output (not pushed down and re-expanded into the timestamp parsing at the scan).
+    candidates = enrich(norm.drop("raw_flags"))
+    first = hard_exclusion(dedup_keep_first(candidates)).drop("hard_code")
+    kept = with_post_flags(first, *params)
     return mark_orphans(kept, zones)
 
 
