@@ -9,8 +9,8 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -19,7 +19,7 @@ from meterline.plans import anomalies, client, overview, profitability, stats, t
 from meterline.plans.pipeline import load  # noqa: E402
 from meterline.plans.tables import fixture_inputs, from_store  # noqa: E402
 from meterline.operators.geo import zone_shapes  # noqa: E402
-from meterline.session import build_session  # noqa: E402
+from meterline.session import build_session, shared_dir  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
@@ -46,9 +46,8 @@ API_QUERIES = {
 
 def main() -> None:
     spark = build_session(f"local[{CPUS}]", shuffle_partitions=CPUS * 2, app_name="meterline-bench")
-    root = tempfile.mkdtemp(prefix="meterline-bench-")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", root)
+    # outputs go under the cluster's shared folder (spark.checkpoint.dir); a private one only when unset
+    root = f"{shared_dir(spark)}/bench-{uuid.uuid4().hex}"
     times: dict[str, float] = {}
 
     # JVM warm-up (class loading, JIT of the generated code) on the smallest fixture, reported separately
@@ -57,7 +56,7 @@ def main() -> None:
     if os.path.isdir(warm_dir):
         t0 = time.time()
         w_raw, w_zones, w_features = fixture_inputs(spark, warm_dir)
-        write_loaded(load(w_raw, w_zones), w_zones, tempfile.mkdtemp(prefix="meterline-warm-"), zone_shapes(w_features))
+        write_loaded(load(w_raw, w_zones), w_zones, f"{root}-warmup", zone_shapes(w_features))
         cold = round(time.time() - t0, 3)
 
     raw, zones, features = fixture_inputs(spark, SF_DIR)
