@@ -58,4 +58,9 @@ def write_loaded(loaded, zones: DataFrame, root: str, zone_shapes: DataFrame | N
     }
     if zone_shapes is not None:
         out["zone_shapes"] = write_table(zone_shapes, root, "zone_shapes")
+    # refresh the two summary tables from what was just written (the loader's final step)
+    from ..plans.stats import refresh_stats
+    from ..plans.tables import from_store
+    refresh_stats(from_store(loaded.kept.sparkSession, root), root)
+    out["hourly_stats"], out["zone_stats"] = _path(root, "hourly_stats"), _path(root, "zone_stats")
     return out

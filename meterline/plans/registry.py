@@ -166,11 +166,27 @@ def _stream_hourly(spark, sf):
                          "avg_tip_pct", "avg_duration", "avg_speed", "revenue", "earnings_per_min")
 
 
+def _scan_csv(spark, sf):
+    """The fixture written as CSV files (header, in row order, several files) under the shared folder and read
+    back with the trip CSV reader: row numbers are the 1-based positions in file order."""
+    import uuid
+
+    from ..config import RAW_TRIP_COLUMNS
+    from ..session import shared_dir
+    from ..sources.csv import scan_trips_csv
+    raw, _, _ = fixture_inputs(spark, sf)
+    path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    (raw.repartitionByRange(4, "row_num").sortWithinPartitions("row_num").select(*RAW_TRIP_COLUMNS)
+        .write.option("header", True).csv(path))
+    return scan_trips_csv(spark, path)
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         # sources / fixtures
         "scan_raw_trips": lambda spark, sf: fixture_inputs(spark, sf)[0],
         "scan_zones": lambda spark, sf: fixture_inputs(spark, sf)[1],
+        "scan_trips_csv": _scan_csv,
         # pipeline outputs
         "trips": _t(lambda t: _iso_trips(t.trips)),
         "referential_orphans": _t(lambda t: _iso_trips(t.loaded.quarantine)),

@@ -30,22 +30,26 @@ def scan_trips_csv(spark: SparkSession, path: str, numbered: bool = True) -> Dat
 
 
 def number_rows(df: DataFrame, col: str = "row_num") -> DataFrame:
-    """1-based row number in input order, contiguous across partitions.
+    """1-based row number in input order — file name, then offset inside the file — contiguous across files.
 
-    Two passes instead of a global ``row_number()`` window (which would pull every row into one task):
-    per-partition counts (one row per input partition) give each partition its offset, and the position
-    inside a partition comes from ``monotonically_increasing_id`` (partition id in the upper 31 bits).
+    Two passes instead of a global ``row_number()`` window (which would pull every row into one task): rows
+    are grouped by the block they were read from (file, block start, partition), the per-block counts (one
+    row per block, bounded by the number of splits) give each block its offset, and the position inside a
+    block comes from ``monotonically_increasing_id``. Apply it directly on a file scan; for other inputs the
+    partition order is used.
     """
-    tagged = (df.withColumn("_ml_pid", F.spark_partition_id())
+    blk = ["_ml_file", "_ml_start", "_ml_pid"]
+    tagged = (df.withColumn("_ml_file", F.input_file_name())
+                .withColumn("_ml_start", F.input_file_block_start())
+                .withColumn("_ml_pid", F.spark_partition_id())
                 .withColumn("_ml_mid", F.monotonically_increasing_id()))
-    counts = tagged.groupBy("_ml_pid").agg(F.count(F.lit(1)).alias("_ml_n"))
-    before = Window.orderBy("_ml_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_ml_pid", F.coalesce(F.sum("_ml_n").over(before), F.lit(0)).alias("_ml_off"))
-    numbered = tagged.join(F.broadcast(offsets), "_ml_pid")  # one row per partition: bounded by construction
-    pos = F.col("_ml_mid") - F.shiftleft(F.col("_ml_pid").cast("bigint"), 33)
+    blocks = tagged.groupBy(*blk).agg(F.count(F.lit(1)).alias("_ml_n"), F.min("_ml_mid").alias("_ml_first"))
+    before = Window.orderBy(*blk).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select(*blk, "_ml_first", F.coalesce(F.sum("_ml_n").over(before), F.lit(0)).alias("_ml_off"))
+    numbered = tagged.join(F.broadcast(offsets), blk)  # one row per block: bounded by the number of splits
+    pos = F.col("_ml_mid") - F.col("_ml_first")
     return (numbered.withColumn(col, (F.col("_ml_off") + pos + 1).cast("bigint"))
-            .drop("_ml_pid", "_ml_mid", "_ml_off")
-            .select(col, *[c for c in df.columns]))
+            .select(col, *[c for c in df.columns if c != col]))
 
 
 def cap_rows(df: DataFrame, limit: int = ROW_LIMIT, col: str = "row_num") -> DataFrame:

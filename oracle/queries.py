@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from meterline.config import (EXCLUDED_ZONE_IDS, EXCLUDED_ZONE_NAMES, FLAG_META, FLAG_NOTES, PAYMENT_LABELS)
+from meterline.config import RAW_TRIP_COLUMNS
 from meterline.plans.pipeline import TRIP_COLUMNS
 
 from .duckdb_sql import in_list, iso, js_text, pct, q, tofixed, with_ctes, xavg, xsum
@@ -134,6 +135,8 @@ def oracle_sql() -> dict[str, str]:
     s: dict[str, str] = {}
     s["scan_raw_trips"] = with_ctes("SELECT * FROM raw")
     s["scan_zones"] = with_ctes("SELECT * FROM zones")
+    raw_cols = ", ".join(RAW_TRIP_COLUMNS)
+    s["scan_trips_csv"] = with_ctes(f"SELECT CAST(row_number() OVER (ORDER BY row_num) AS BIGINT) AS row_num, {raw_cols} FROM raw")
     s["trips"] = with_ctes(f"SELECT {TRIP_SELECT} FROM trips")
     s["referential_orphans"] = with_ctes(f"SELECT {TRIP_SELECT} FROM quarantine")
     s["error_log"] = with_ctes(f"SELECT {ERROR_SELECT} FROM error_log")
