@@ -26,23 +26,25 @@ def scan_trips_csv(spark: SparkSession, path: str, numbered: bool = True) -> Dat
     cols = [F.coalesce(F.col(c), F.lit("")).alias(c) if c in present else F.lit("").alias(c)
             for c in RAW_TRIP_COLUMNS]
     df = raw.select(*cols)
-    return number_rows(df) if numbered else df
+    return number_rows(df, file_order=True) if numbered else df
 
 
-def number_rows(df: DataFrame, col: str = "row_num") -> DataFrame:
+def number_rows(df: DataFrame, col: str = "row_num", file_order: bool = False) -> DataFrame:
     """1-based row number in input order — file name, then offset inside the file — contiguous across files.
 
     Two passes instead of a global ``row_number()`` window (which would pull every row into one task): rows
     are grouped by the block they were read from (file, block start, partition), the per-block counts (one
     row per block, bounded by the number of splits) give each block its offset, and the position inside a
-    block comes from ``monotonically_increasing_id``. Apply it directly on a file scan; for other inputs the
-    partition order is used.
+    block comes from ``monotonically_increasing_id``. ``file_order`` (for a frame that is a bare file scan)
+    orders blocks by file name and offset; otherwise blocks are partitions in partition order (e.g. the ranges
+    of a sorted frame).
     """
-    blk = ["_ml_file", "_ml_start", "_ml_pid"]
-    tagged = (df.withColumn("_ml_file", F.input_file_name())
-                .withColumn("_ml_start", F.input_file_block_start())
-                .withColumn("_ml_pid", F.spark_partition_id())
-                .withColumn("_ml_mid", F.monotonically_increasing_id()))
+    tagged = df
+    blk = ["_ml_pid"]
+    if file_order:
+        tagged = tagged.withColumn("_ml_file", F.input_file_name()).withColumn("_ml_start", F.input_file_block_start())
+        blk = ["_ml_file", "_ml_start", "_ml_pid"]
+    tagged = tagged.withColumn("_ml_pid", F.spark_partition_id()).withColumn("_ml_mid", F.monotonically_increasing_id())
     blocks = tagged.groupBy(*blk).agg(F.count(F.lit(1)).alias("_ml_n"), F.min("_ml_mid").alias("_ml_first"))
     before = Window.orderBy(*blk).rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(*blk, "_ml_first", F.coalesce(F.sum("_ml_n").over(before), F.lit(0)).alias("_ml_off"))

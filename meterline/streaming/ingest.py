@@ -56,7 +56,7 @@ def process_batch(batch: DataFrame, epoch: int, zones: DataFrame, root: str) ->
     if "row_num" not in batch.columns:
         # file order across micro-batches: continue the numbering after the rows of earlier epochs
         offset = _rows_before(spark, root, epoch)
-        batch = number_rows(batch).withColumn("row_num", F.col("row_num") + F.lit(offset))
+        batch = number_rows(batch, file_order=True).withColumn("row_num", F.col("row_num") + F.lit(offset))
     loaded = load(batch, zones)
     kept = loaded.kept.withColumn("trip_key", trip_key_text())
     seen = _seen_before(spark, root, epoch)
