@@ -13,17 +13,18 @@ def _path(root: str, name: str) -> str:
     return os.path.join(root, name) if "://" not in root else f"{root.rstrip('/')}/{name}"
 
 
-def write_trips(trips: DataFrame, root: str, name: str = "trips", writers_per_day: int = 4) -> str:
+def write_trips(trips: DataFrame, root: str, name: str = "trips", writers: int | None = None) -> str:
     """Parquet partitioned by pickup date; dynamic partition overwrite replaces only the days present.
 
-    Rows are shuffled on (day, a hash bucket of row_num): at most ``writers_per_day`` files per day, and a
-    day holding a large share of all trips is still written by several tasks, not one."""
+    Rows are range-partitioned on (day, row_num) over ``writers`` tasks (default: the shuffle partitions):
+    the sampled boundaries give a day holding a large share of all trips many writer tasks and a small day
+    one, so files per day follow the data volume and no task holds a whole hot day."""
     path = _path(root, name)
     spark = trips.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    bucket = F.pmod(F.xxhash64("row_num"), F.lit(writers_per_day))
+    n = writers or int(spark.conf.get("spark.sql.shuffle.partitions"))
     (trips.withColumn("pickup_date", F.to_date("pickup_time"))
-          .repartition("pickup_date", bucket)
+          .repartitionByRange(n, "pickup_date", "row_num")
           .write.mode("overwrite").partitionBy("pickup_date").parquet(path))
     return path
 
