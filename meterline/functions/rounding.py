@@ -25,12 +25,20 @@ def round_half_away(c, digits: int) -> Column:
     return to_fixed(c, digits)
 
 
-def exact_sum(c, scale: int = 4, precision: int = 38) -> Column:
-    """Sum in exact decimal arithmetic, returned as double (order-independent, engine-independent)."""
-    return F.sum(_col(c).cast(f"decimal({precision - 10},{scale})")).cast("double")
+def _units(x: Column, scale: int) -> Column:
+    """x in integer units of 10^-scale (exact for values with at most ``scale`` decimals)."""
+    return F.round(x * F.lit(float(10 ** scale))).cast("bigint")
 
 
-def exact_avg(c, scale: int = 4, precision: int = 38) -> Column:
-    """AVG computed as exact decimal sum / count, so that the result does not depend on row order."""
+def exact_sum(c, scale: int = 4) -> Column:
+    """Exact, order-independent sum of values with at most ``scale`` decimals, as double.
+
+    Summed as 64-bit integers of 10^-scale units (codegen'd primitive adds, unlike a wide-decimal buffer);
+    ANSI mode raises on overflow instead of wrapping (|sum| must stay below 9.2e18 units)."""
+    return F.sum(_units(_col(c), scale)) / F.lit(float(10 ** scale))
+
+
+def exact_avg(c, scale: int = 4) -> Column:
+    """AVG as exact sum / count: independent of row order and partitioning."""
     x = _col(c)
-    return F.try_divide(F.sum(x.cast(f"decimal({precision - 10},{scale})")).cast("double"), F.count(x))
+    return F.try_divide(F.sum(_units(x, scale)) / F.lit(float(10 ** scale)), F.count(x))

@@ -76,7 +76,7 @@ def process_batch(batch: DataFrame, epoch: int, zones: DataFrame, root: str) ->
 
 def hourly_partials(trips: DataFrame) -> DataFrame:
     """Exact, mergeable partial aggregates per (hour block, hour of day)."""
-    dec = lambda c: F.sum(F.col(c).cast("decimal(28,4)"))
+    dec = lambda c: F.sum(F.round(F.col(c) * F.lit(10000.0)).cast("bigint"))  # noqa: E731  exact 1e-4 units
     cnt = lambda c: F.count(c)
     metrics = ["total", "tip", "tip_pct", "duration_min", "speed_mph", "money_per_min"]
     aggs = [F.count(F.lit(1)).alias("n")]
@@ -87,11 +87,11 @@ def hourly_partials(trips: DataFrame) -> DataFrame:
 
 def hourly_stats_from_partials(spark: SparkSession, root: str) -> DataFrame:
     parts = spark.read.parquet(_p(root, "hourly_partials"))
-    avg = lambda m: (F.sum(f"s_{m}").cast("double") / F.nullif(F.sum(f"c_{m}"), F.lit(0)))
+    avg = lambda m: (F.sum(f"s_{m}") / F.lit(10000.0) / F.nullif(F.sum(f"c_{m}"), F.lit(0)))
     return (parts.groupBy("hour_block_ts", "hour_of_day")
             .agg(F.sum("n").alias("total_trips"), avg("total").alias("avg_price"), avg("tip").alias("avg_tip"),
                  avg("tip_pct").alias("avg_tip_pct"), avg("duration_min").alias("avg_duration"),
-                 avg("speed_mph").alias("avg_speed"), F.sum("s_total").cast("double").alias("revenue"),
+                 avg("speed_mph").alias("avg_speed"), (F.sum("s_total") / F.lit(10000.0)).alias("revenue"),
                  avg("money_per_min").alias("earnings_per_min")))
 
 

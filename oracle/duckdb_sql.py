@@ -43,11 +43,11 @@ def iso(ts: str) -> str:
 
 
 def xavg(c: str) -> str:
-    return f"(CAST(SUM(CAST({c} AS DECIMAL(28,4))) AS DOUBLE) / NULLIF(COUNT({c}), 0))"
+    return f"(SUM(CAST(round({c} * 10000.0) AS BIGINT)) / 10000.0 / NULLIF(COUNT({c}), 0))"
 
 
 def xsum(c: str) -> str:
-    return f"CAST(SUM(CAST({c} AS DECIMAL(28,4))) AS DOUBLE)"
+    return f"(SUM(CAST(round({c} * 10000.0) AS BIGINT)) / 10000.0)"
 
 
 def pct(c: str, p: float) -> str:
