@@ -74,11 +74,11 @@ def post_rows(kept: DataFrame, created_at=None) -> DataFrame:
     """Both records of every post-enrichment flag of a kept trip, from one pass over ``kept``: each flag
     becomes a quality record and an anomaly record (with the five features and the raw row)."""
     raw_json, details = _anomaly_payload()
-    exploded = explode_flags(kept, "post_flags", details.alias("_details"), raw_json.alias("_raw"))
+    # explode first: the JSON payloads are built only for trips that have a post flag
+    exploded = explode_flags(kept, "post_flags", "raw", "distance", "fare", "speed_mph", "duration_min", "tip_pct")
     quality = F.struct(F.lit("quality").alias("source"), _quality_details().alias("details"),
                        F.lit("{}").alias("raw_data"))
-    anomaly = F.struct(F.lit("anomaly").alias("source"), F.col("_details").alias("details"),
-                       F.col("_raw").alias("raw_data"))
+    anomaly = F.struct(F.lit("anomaly").alias("source"), details.alias("details"), raw_json.alias("raw_data"))
     both = exploded.select("row_num", "flag", F.inline(F.array(quality, anomaly)))
     err_id = F.sha2(F.concat_ws("|", F.col("row_num").cast("string"), F.col("flag.err_type"), F.col("source")), 256)
     return both.select(err_id.alias("err_id"), "row_num", F.col("flag.err_type").alias("err_type"), "details",
