@@ -62,7 +62,8 @@ def main() -> None:
     raw, zones, features = fixture_inputs(spark, SF_DIR)
     t0 = time.time()
     loaded = load(raw, zones)
-    write_loaded(loaded, zones, root, zone_shapes(features))
+    etl_steps: dict = {}
+    write_loaded(loaded, zones, root, zone_shapes(features), timings=etl_steps)
     times["etl_load"] = round(time.time() - t0, 3)
     raw_rows = spark.read.parquet(os.path.join(root, "load_summary")).first()["total_raw_rows"]
 
@@ -77,7 +78,7 @@ def main() -> None:
         "metric": "total_sec", "value": total, "unit": "sec", "queries": times,
         "sf": os.path.basename(SF_DIR.rstrip("/")).replace("sf", ""),
         "etl_rows_per_sec": round(raw_rows / times["etl_load"], 1), "raw_rows": raw_rows, "cpus": CPUS,
-        "warmup_sec_smallest_sf": cold,
+        "warmup_sec_smallest_sf": cold, "etl_steps": etl_steps,
     }))
     spark.stop()
 

@@ -45,23 +45,35 @@ def zones_if_absent(new: DataFrame, existing: DataFrame | None) -> DataFrame:
     return existing.unionByName(first.join(existing.select("id"), "id", "left_anti").select(*existing.columns))
 
 
-def write_loaded(loaded, zones: DataFrame, root: str, zone_shapes: DataFrame | None = None) -> dict:
-    """Persist one load: trips, quarantine, error_log, zones, summary (and zone_shapes).
+def write_loaded(loaded, zones: DataFrame, root: str, zone_shapes: DataFrame | None = None,
+                 timings: dict | None = None) -> dict:
+    """Persist one load: trips, quarantine, error_log, zones, summary (and zone_shapes), then refresh the
+    two summary tables. The deduplicated frame is staged first (one dedup shuffle for all outputs, lineage
+    cut at a table). ``timings`` (optional dict) receives seconds per step."""
+    import time
 
-    The deduplicated frame is staged first (one dedup shuffle for all outputs, lineage cut at a table)."""
-    loaded = loaded.staged(_path(root, "_staged"), zones)
+    from ..plans.stats import refresh_stats
+    from ..plans.tables import from_store
+
+    t = timings if timings is not None else {}
+
+    def step(name, fn):
+        t0 = time.time()
+        result = fn()
+        t[name] = round(time.time() - t0, 3)
+        return result
+
+    loaded = step("stage_kept", lambda: loaded.staged(_path(root, "_staged"), zones))
     out = {
-        "trips": write_trips(loaded.trips, root),
-        "quarantine": write_table(loaded.quarantine, root, "quarantine"),
-        "error_log": write_table(loaded.error_log, root, "error_log"),
-        "zones": write_table(zones, root, "zones"),
-        "load_summary": write_table(loaded.summary, root, "load_summary"),
+        "trips": step("trips", lambda: write_trips(loaded.trips, root)),
+        "quarantine": step("quarantine", lambda: write_table(loaded.quarantine, root, "quarantine")),
+        "error_log": step("error_log", lambda: write_table(loaded.error_log, root, "error_log")),
+        "zones": step("zones", lambda: write_table(zones, root, "zones")),
+        "load_summary": step("load_summary", lambda: write_table(loaded.summary, root, "load_summary")),
     }
     if zone_shapes is not None:
-        out["zone_shapes"] = write_table(zone_shapes, root, "zone_shapes")
+        out["zone_shapes"] = step("zone_shapes", lambda: write_table(zone_shapes, root, "zone_shapes"))
     # refresh the two summary tables from what was just written (the loader's final step)
-    from ..plans.stats import refresh_stats
-    from ..plans.tables import from_store
-    refresh_stats(from_store(loaded.kept.sparkSession, root), root)
+    step("refresh_stats", lambda: refresh_stats(from_store(loaded.kept.sparkSession, root), root))
     out["hourly_stats"], out["zone_stats"] = _path(root, "hourly_stats"), _path(root, "zone_stats")
     return out

@@ -85,7 +85,7 @@ def load(raw: DataFrame, zones: DataFrame, *, created_at=DEFAULT_CREATED_AT, tim
 
 
 def build_kept(norm: DataFrame, zones: DataFrame, params=(MAX_SPEED_MPH, MAX_TIP_PERCENTAGE)) -> DataFrame:
-    """Non-excluded rows → features → keep-first dedup → post flags → orphan mark.
+    """Non-excluded rows → features → post flags → keep-first dedup → orphan mark.
 
     Features are computed before the dedup window, so downstream filters on them (``money_per_min IS NOT
     NULL`` …) are predicates on window outputs and are not re-expanded into the feature formulas. Only the
@@ -93,10 +93,13 @@ def build_kept(norm: DataFrame, zones: DataFrame, params=(MAX_SPEED_MPH, MAX_TIP
     # Excluded rows carry NULL pickup/dropoff times in the trip key, so they never share a key with a valid
     # trip: excluding them after the window gives the same survivors, and the exclusion stays a predicate
     # on a window output (not pushed down and re-expanded into the timestamp parsing at the scan).
-    candidates = enrich(norm.drop("raw_flags"))
+    # Post flags depend only on the row's own features, so they are computed before the window as well; the
+    # raw text (needed only for the anomaly records) is kept only on rows that have a post flag, which keeps
+    # it out of the shuffle and the staged table for the other ~93% of trips.
+    candidates = with_post_flags(enrich(norm.drop("raw_flags")), *params)
+    candidates = candidates.withColumn("raw", F.when(F.size("post_flags") > 0, F.col("raw")))
     first = hard_exclusion(dedup_keep_first(candidates)).drop("hard_code")
-    kept = with_post_flags(first, *params)
-    return mark_orphans(kept, zones)
+    return mark_orphans(first, zones)
 
 
 def load_summary(loaded: Loaded) -> DataFrame:
