@@ -27,3 +27,17 @@ def test_scan_reads_only_needed_columns(spark):
     t = from_testdata(spark, SF_SMALL)
     p = _plan(t.trips.select("row_num"))
     assert "l_tax" not in p and "l_returnflag" not in p and "l_shipdate" not in p
+
+
+def test_no_cartesian_or_python_in_registered_plans(spark):
+    import __spark_entry__ as entry
+    offending = {}
+    for key, build in entry.queries().items():
+        if key.startswith("stream_") or key == "scan_trips_csv":   # these run a job while being built
+            continue
+        plan = _plan(build(spark, SF_SMALL))
+        hits = [w for w in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
+                if w in plan]
+        if hits:
+            offending[key] = hits
+    assert offending == {}
