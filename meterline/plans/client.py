@@ -12,7 +12,7 @@ from ..config import BOROUGH_ORDER, FLAG_META
 from ..functions.formats import fixed_text, fmt_hr, fmt_num, fmt_pct, fmt_rpm, fmt_usd
 from ..functions.rounding import exact_sum, to_fixed
 from ..operators.errorlog import json_extract_num
-from ..operators.joins import cross_scalar, flag_meta_table, lookup_flag_note
+from ..operators.joins import cross_scalar, flag_meta_table, lookup_flag_note, sized_broadcast
 from ..operators.sorting import rank_column
 from . import anomalies, overview, profitability, tips
 from .tables import Tables
@@ -35,7 +35,7 @@ def borough_volume(t: Tables, order: DataFrame | None = None, top: int = 100) ->
     order = order if order is not None else borough_order_table(t.trips.sparkSession)
     per = (zones.where(F.col("borough").isNotNull()).groupBy("borough")
            .agg(F.sum("trip_count").cast("bigint").alias("trips")))
-    return (per.join(F.broadcast(order), "borough", "inner").where(F.col("trips") > 0)
+    return (per.join(sized_broadcast(order), "borough", "inner").where(F.col("trips") > 0)
             .orderBy("display_order").select("borough", "trips", "display_order"))
 
 
@@ -107,7 +107,7 @@ def flag_legend(t: Tables) -> DataFrame:
     retained-then-excluded (codes without metadata are left out)."""
     meta = flag_meta_table(t.trips.sparkSession)
     counts = anomalies.by_type(t)
-    joined = counts.join(F.broadcast(meta), "err_type", "inner")
+    joined = counts.join(F.broadcast(meta), "err_type", "inner")   # fixed 13-row table
     return (joined.select("action", "err_type", "label", "description", F.col("count").cast("bigint").alias("count"))
             .orderBy(F.when(F.col("action") == "retained", 0).otherwise(1), F.desc("count"), F.asc("err_type")))
 

@@ -83,7 +83,9 @@ def _raw_trip_columns():
 def zones_from_nation(nation: DataFrame, region: DataFrame) -> DataFrame:
     """Zone lookup rows (id, borough, zone_name, service_zone) from nation ⋈ region (25 rows)."""
     nk = F.col("n_nationkey")
-    joined = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey, "left")
+    from ..operators.joins import sized_broadcast
+    region = sized_broadcast(region)
+    joined = nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
     return joined.select(
         F.when(nk == 23, 264).when(nk == 24, 265).otherwise(nk + 1).cast("int").alias("id"),
         F.when(nk == 23, F.lit("Unknown")).when(nk == 24, F.lit("N/A")).otherwise(F.col("r_name")).alias("borough"),
