@@ -231,7 +231,7 @@ def calibrate(model: LanguageModels, texts: list[str], truth: list[str]) -> Lang
         centre = np.average(x, weights=np.sqrt(m))
         square = (x - centre) ** 2
         fit = np.linalg.lstsq(np.stack([np.ones(len(m)), 1 / m], 1), square, rcond=None)[0]
-        model.limits[k] = centre, max(fit[0], np.quantile(square, 0.95) / 9, 1e-4), max(fit[1], 1.0)
+        model.limits[k] = centre, max(fit[0], np.quantile(square, 0.95) / 9, 0.02), max(fit[1], 2.0)  # floors: texts that mix languages stay
     best, scale = np.inf, 1.0
     for t in (0.25, 0.5, 1, 2, 4, 8):
         z = -t * np.sqrt(n)[:, None] * (ce - ce.min(axis=1, keepdims=True))

@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html_crf, langid, neardup_vectors, packing, quality, simhash, topk, urlfilter
+from . import chat, html_crf, langid, neardup_vectors, packing, pieces_scan, quality, simhash, topk, urlfilter
 from .common import id_crc, read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 RULES = [urlfilter.Rule("allow", "com", "/"), urlfilter.Rule("block", "example.com", "/en/"), urlfilter.Rule("allow", "www.example.com", "/en/"),
@@ -63,6 +64,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= quality.KEEP_AT).cast("int"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces_scan.encode(read_table(spark, sf_dir, "documents"), PIECES)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.hex_print(F.col("fp")).alias("fingerprint"), "component_id")
@@ -78,7 +83,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_embedding_near_dedup, op3_html_text, op4_pack, op5_chat_format, op6_quality, op8_simhash, op9_url_filter, op10_exact_top_k)}
+    return {f.__name__: f for f in (op1_language_id, op2_embedding_near_dedup, op3_html_text, op4_pack, op5_chat_format, op6_quality, op7_sentencepiece, op8_simhash, op9_url_filter, op10_exact_top_k)}
 
 
 #: Inner products as SQL: every query row against all rows, with the same floor and tie rule.
