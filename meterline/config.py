@@ -5,7 +5,6 @@ Everything here is a plain value table; the logic that uses it lives in operator
 
 # --- fixed values: load behaviour -------------------------------------------------------------
 PEAK_HOURS = (7, 8, 9, 16, 17, 18, 19)
-ROW_LIMIT = 1_000_000            # the reference loader processes at most this many rows
 MAX_SPEED_MPH = 80               # anomaly threshold: speed strictly above
 MAX_TIP_PERCENTAGE = 100         # anomaly threshold: tip percentage strictly above
 VALID_RATE_CODES = (1, 2, 3, 4, 5, 6)
@@ -63,7 +62,7 @@ FLAG_META = {
     "DROPOFF_BEFORE_PICKUP": ("DROPOFF_BEFORE_PICKUP", "Dropoff time is earlier than or equal to pickup time. Excluded — negative durations make all derived features nonsensical.", "excluded"),
 }
 
-# Boroughs in the dashboard's fixed display order.
+# --- fixed values: boroughs in the dashboard's display order ----------------------------------------
 BOROUGH_ORDER = ("Manhattan", "Brooklyn", "Queens", "Bronx", "Staten Island", "EWR")
 
 # --- fixed values: source projection of the zone polygons (US survey feet, Lambert conformal conic) --
@@ -79,6 +78,7 @@ LCC_2263 = {
     "to_meter": 0.3048006096012192,
 }
 
+# --- fixed values: columns of the trip file ---------------------------------------------------------
 RAW_TRIP_COLUMNS = (
     "VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count", "trip_distance",
     "RatecodeID", "store_and_fwd_flag", "PULocationID", "DOLocationID", "payment_type", "fare_amount",

@@ -21,24 +21,23 @@ def to_fixed(c, digits: int) -> Column:
     return F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
-def round_half_away(c, digits: int) -> Column:
-    return to_fixed(c, digits)
-
-
-def _units(x: Column, scale: int) -> Column:
-    """x in integer units of 10^-scale (exact for values with at most ``scale`` decimals)."""
-    return F.round(x * F.lit(float(10 ** scale))).cast("bigint")
-
-
-def exact_sum(c, scale: int = 4) -> Column:
-    """Exact, order-independent sum of values with at most ``scale`` decimals, as double.
-
-    Summed as 64-bit integers of 10^-scale units (codegen'd primitive adds, unlike a wide-decimal buffer);
-    ANSI mode raises on overflow instead of wrapping (|sum| must stay below 9.2e18 units)."""
-    return F.sum(_units(_col(c), scale)) / F.lit(float(10 ** scale))
-
-
-def exact_avg(c, scale: int = 4) -> Column:
+def exact_sum(c) -> Column:
+    """Order-independent sum as double, without cutting digits or raising.
+
+    Values that are whole numbers of 1e-4 (money, loaded features) are added as 64-bit integers; all others as
+    decimal(38,18). Where neither holds a value (beyond 1e20, not finite) or a sum overflows, the plain double sum
+    is the result."""
+    x = _col(c).cast("double")
+    units = F.floor(x * F.lit(1e4) + F.lit(0.5))
+    whole = (F.abs(x) < F.lit(9e11)) & (units / F.lit(1e4) == x)
+    rest = F.when(~whole, x.try_cast("decimal(38,18)"))
+    lost = F.count(F.when(~whole & rest.isNull(), 1))
+    whole_sum, rest_sum = F.try_sum(F.when(whole, units.try_cast("bigint"))), F.try_sum(rest)
+    overflown = (whole_sum.isNull() & (F.count(F.when(whole, 1)) > 0)) | (rest_sum.isNull() & (F.count(rest) > 0))
+    total = F.coalesce(whole_sum, F.lit(0)) / F.lit(1e4) + F.coalesce(rest_sum.cast("double"), F.lit(0.0))
+    return F.when(F.count(x) == 0, F.lit(None)).when((lost > 0) | overflown, F.sum(x)).otherwise(total)
+
+
+def exact_avg(c) -> Column:
     """AVG as exact sum / count: independent of row order and partitioning."""
-    x = _col(c)
-    return F.try_divide(F.sum(_units(x, scale)) / F.lit(float(10 ** scale)), F.count(x))
+    return F.try_divide(exact_sum(c), F.count(_col(c)))

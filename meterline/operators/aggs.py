@@ -2,29 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, GroupedData
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from ..functions.parsing import parse_float
 from ..functions.rounding import exact_avg, exact_sum, to_fixed
 
-PERCENTILE_DIGITS = 6
-
-
-def avg_(c: str) -> Column:
-    return exact_avg(c)
-
-
-def sum_(c: str) -> Column:
-    return exact_sum(c)
-
-
-def percentile_cont(c: str, p: float, approx: bool = False, accuracy: int = 100000) -> Column:
-    """``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY c)``: exact linear interpolation (``F.percentile`` keeps a
-    value → count map per group, so its size is bounded by the distinct values, not the rows). ``approx``
-    switches to the bounded-memory ``percentile_approx`` sketch for very high-cardinality groups."""
-    v = F.percentile_approx(c, p, accuracy).cast("double") if approx else F.percentile(F.col(c), F.lit(p))
-    return to_fixed(v, PERCENTILE_DIGITS)
+#: Rank error of the bracket is at most rows / BRACKET_ACCURACY; the bracket is twice as wide on either side.
+BRACKET_ACCURACY = 5000
+
+
+def with_percentiles(aggregated: DataFrame, rows: DataFrame, keys: dict[str, Column], wanted: dict[str, tuple[Column, float]]) -> DataFrame:
+    """``aggregated`` (one row per group, key columns named as in ``keys``) with ``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY c)``
+    for each ``wanted`` name: (c, p), over the ``rows`` of the group. Exact linear interpolation; NULL values don't count.
+
+    No group's values meet in one task: a sketch brackets both order statistics by value; rows are counted by value, with
+    one count for all below the bracket; only the distinct values inside it, about 4 / BRACKET_ACCURACY of the rows,
+    are ranked."""
+    own, of = [f"_ml_k_{n}" for n in keys], [f"_ml_b_{n}" for n in keys]
+    margin, shares = 2.0 / BRACKET_ACCURACY, [p for _, p in wanted.values()]
+    edges = [max(0.0, p - margin) for p in shares] + [min(1.0, p + margin) for p in shares]
+    which = F.col("_ml_i")  # the number of the wanted percentile: all share both passes
+    long = rows.select(*[k.alias(n) for n, k in zip(own, keys.values())], F.posexplode(F.array(*[c.cast("double") for c, _ in wanted.values()])).alias("_ml_i", "_ml_v"))
+    long = long.where(F.col("_ml_v").isNotNull())
+    n, sketch = F.count(F.lit(1)), F.percentile_approx("_ml_v", F.array(*map(F.lit, edges)), BRACKET_ACCURACY)
+    stats = long.groupBy(*own, "_ml_i").agg(n.alias("_ml_n"), F.min("_ml_v").alias("_ml_min"), F.max("_ml_v").alias("_ml_max"), sketch.alias("_ml_s"))
+    few = F.col("_ml_n") <= BRACKET_ACCURACY  # beyond that the margin holds at least two rows
+    of_which = lambda values: F.get(F.array(*map(F.lit, values)), which)
+    bracket = stats.select(
+        *[F.col(x).alias(y) for x, y in zip(own, of)], which.alias("_ml_j"), "_ml_n", (of_which(shares) * (F.col("_ml_n") - 1)).alias("_ml_at"),
+        F.when(few | (of_which(edges) == 0), F.col("_ml_min")).otherwise(F.get("_ml_s", which)).alias("_ml_lo"),
+        F.when(few | (of_which(edges[len(shares):]) == 1), F.col("_ml_max")).otherwise(F.get("_ml_s", which + len(shares))).alias("_ml_hi"))
+    place = F.when(F.col("_ml_v") < F.col("_ml_lo"), F.lit(None).cast("double")).otherwise(F.col("_ml_v"))
+    same = [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(own, of)] + [F.col("_ml_i") == F.col("_ml_j")]
+    counts = (long.join(bracket, same).where(F.col("_ml_v") <= F.col("_ml_hi"))
+              .select(*own, "_ml_i", "_ml_at", place.alias("_ml_v")).groupBy(*own, "_ml_i", "_ml_at", "_ml_v").agg(F.count(F.lit(1)).alias("_ml_c")))
+    upto = F.sum("_ml_c").over(Window.partitionBy(*own, "_ml_i").orderBy(F.asc_nulls_first("_ml_v")))
+    ranked = counts.withColumn("_ml_upto", upto)
+    at = lambda k: F.min(F.when((F.col("_ml_upto") > k) & F.col("_ml_v").isNotNull(), F.col("_ml_v")))
+    below, above = at(F.floor("_ml_at")), at(F.ceil("_ml_at"))
+    share = F.max(F.col("_ml_at") - F.floor("_ml_at"))
+    found = ranked.groupBy(*own, "_ml_i").agg((below + (above - below) * share).alias("_ml_p"))
+    found = found.groupBy(*own).agg(*[F.max(F.when(which == i, F.col("_ml_p"))).alias(name) for i, name in enumerate(wanted)])
+    return aggregated.join(found, [F.col(n).eqNullSafe(F.col(x)) for n, x in zip(keys, own)], "left").drop(*own)
 
 
 def ratio_pct(num: Column, den: Column, digits: int = 2) -> Column:

@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,17 +97,14 @@ def anomaly_detail(types: Column) -> Column:
     )
 
 
-def partition_trips(featured: DataFrame, rules: Sequence[Rule] = None,
-                    storage_level: StorageLevel | None = StorageLevel.MEMORY_AND_DISK):
-    """(clean, anomalies): anomalies carry ``types`` and a ``detail`` struct.
-
-    The labelled frame is persisted (memory, spilling to disk) because both outputs read it: the labels are
-    computed once, and the two filters on ``types`` do not get pushed down and re-expanded into the feature
-    expressions of every row. Lost cached blocks are recomputed from lineage. Pass ``storage_level=None``
-    to skip caching; call ``unpersist`` on the result's source when done."""
+def label_trips(featured: DataFrame, rules: Sequence[Rule] = None) -> DataFrame:
+    """All rows with ``types`` (labels that hold) and ``detail`` (NULL for clean rows). Callers that read both halves
+    more than once cache or write this frame themselves."""
     labelled = featured.withColumn("types", detect_anomalies(rules))
-    if storage_level is not None:
-        labelled = labelled.persist(storage_level)
-    clean = labelled.where(F.size("types") == 0).drop("types")
-    anomalies = labelled.where(F.size("types") > 0).withColumn("detail", anomaly_detail(F.col("types")))
-    return clean, anomalies
+    return labelled.withColumn("detail", F.when(F.size("types") > 0, anomaly_detail(F.col("types"))))
+
+
+def partition_trips(featured: DataFrame, rules: Sequence[Rule] = None) -> tuple[DataFrame, DataFrame]:
+    """(clean, anomalies): anomalies carry ``types`` and a ``detail`` struct."""
+    labelled = label_trips(featured, rules)
+    return labelled.where(F.size("types") == 0).drop("types", "detail"), labelled.where(F.size("types") > 0)

@@ -101,4 +101,4 @@ def soft_only(errors: DataFrame) -> DataFrame:
 
 def json_extract_num(details: Column, key: str) -> Column:
     """``(details->>'key')::numeric`` as double; NULL when the key is absent."""
-    return F.get_json_object(details, f"$.{key}").try_cast("decimal(18,4)").cast("double")
+    return F.get_json_object(details, f"$.{key}").try_cast("double")

@@ -41,9 +41,10 @@ def shape_location_id(props: str = "properties") -> Column:
     return F.coalesce(F.nullif(p("LocationID"), F.lit(0)), F.nullif(p("location_id"), F.lit(0)), p("OBJECTID"))
 
 
-def zone_shapes(features: DataFrame, web_digits: int = 7) -> DataFrame:
+def zone_shapes(features: DataFrame, web_digits: int | None = None) -> DataFrame:
     """One zone_shapes row per feature: location_id, area, len, geom (WKT, feet), geom_web (WKT, degrees),
-    mappable, notes. Unsupported geometry types give NULL WKT and ``mappable = false`` with a note."""
+    mappable, notes. Coordinates are written in full; ``web_digits`` fixes the decimals of geom_web, for comparisons.
+    Unsupported geometry types give NULL WKT and ``mappable = false`` with a note."""
     multi = ensure_multipolygon(F.col("geometry.type"), F.col("geometry.coordinates"))
     staged = features.select(
         shape_location_id().cast("int").alias("location_id"),

@@ -1,7 +1,7 @@
 """Joins against the zone dimension and small lookups.
 
 Broadcasting is always behind a size check (``sized_broadcast``): a side is broadcast only when it is
-proven to hold at most ``max_rows`` rows; otherwise the plain DataFrame is returned and Catalyst plans a
+estimated to hold at most ``max_bytes`` bytes; otherwise the plain DataFrame is returned and Catalyst plans a
 shuffle join (with AQE skew handling) instead.
 """
 
@@ -14,24 +14,14 @@ from pyspark.sql import functions as F
 
 from ..config import EXCLUDED_ZONE_IDS, EXCLUDED_ZONE_NAMES, FLAG_META, FLAG_NOTES, PAYMENT_LABEL_DEFAULT, PAYMENT_LABELS
 
-BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-_SIZE_CHECKS: dict[tuple[int, int], bool] = {}
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan early); its outcome is remembered
-    per logical plan (``semanticHash``) so repeated joins against the same dimension check it once.
-    """
-    key = (df.semanticHash(), max_rows)
-    small = _SIZE_CHECKS.get(key)
-    if small is None:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        _SIZE_CHECKS[key] = small
-    return F.broadcast(df) if small else df
+def sized_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` if the optimizer's size estimate of ``df`` is at most ``max_bytes``, else ``df`` unchanged. The
+    estimate comes from the plan as it is now; no job runs and nothing is remembered."""
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(df) if int(str(estimate)) <= max_bytes else df
 
 
 def known_zone(zones_alias: str = "z", check_zone_name: bool = True) -> Column:

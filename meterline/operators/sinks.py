@@ -1,60 +1,71 @@
-"""Writers. Every sink is an atomic, idempotent overwrite of a parquet table (or of the affected
-partitions), so a rerun after a lost executor or a failed job converges to the same result."""
+"""Writers. Every load writes its own ``load_id=...`` folder of each table, so loads stay side by side and a rerun of a
+load replaces exactly what that load wrote, also after a lost executor or a failed job."""
 
 from __future__ import annotations
 
-import os
+import datetime as dt
+import time
+import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import join_path, path_exists, remove_path
 
-def _path(root: str, name: str) -> str:
-    return os.path.join(root, name) if "://" not in root else f"{root.rstrip('/')}/{name}"
 
+def load_path(root: str, name: str, load_id: str) -> str:
+    return join_path(root, name, f"load_id={load_id}")
 
-def write_trips(trips: DataFrame, root: str, name: str = "trips", writers: int | None = None) -> str:
-    """Parquet partitioned by pickup date; dynamic partition overwrite replaces only the days present.
 
-    Rows are range-partitioned on (day, row_num) over ``writers`` tasks (default: the shuffle partitions):
-    the sampled boundaries give a day holding a large share of all trips many writer tasks and a small day
-    one, so files per day follow the data volume and no task holds a whole hot day."""
-    path = _path(root, name)
-    spark = trips.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    n = writers or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (trips.withColumn("pickup_date", F.to_date("pickup_time"))
-          .repartitionByRange(n, "pickup_date", "row_num")
-          .write.mode("overwrite").partitionBy("pickup_date").parquet(path))
+def write_trips(trips: DataFrame, root: str, load_id: str, created_at) -> str:
+    """One load's trips by pickup day, with the time of the load. A rebalance on the day sizes the files: a day with a
+    large share of all trips is split over many writers, small days share one."""
+    path = load_path(root, "trips", load_id)
+    (trips.withColumn("created_at", F.lit(created_at).cast("timestamp")).withColumn("pickup_date", F.to_date("pickup_time"))
+          .hint("rebalance", F.col("pickup_date")).write.mode("overwrite").partitionBy("pickup_date").parquet(path))
+    return path
+
+
+def write_part(df: DataFrame, root: str, name: str, load_id: str) -> str:
+    path = load_path(root, name, load_id)
+    df.write.mode("overwrite").parquet(path)
     return path
 
 
 def write_table(df: DataFrame, root: str, name: str) -> str:
-    path = _path(root, name)
+    path = join_path(root, name)
     df.write.mode("overwrite").parquet(path)
     return path
 
 
+def absent_zones(new: DataFrame, existing: DataFrame | None) -> DataFrame:
+    """The rows of ``new`` to insert: ids not present yet. Of several new rows of an id the first in file order, if
+    ``new`` carries ``row_num``, else the one that sorts first by its columns."""
+    columns = [c for c in new.columns if c != "row_num"]
+    rest = F.struct(*[F.col(c) for c in columns if c != "id"])
+    pick = F.min_by(rest, F.col("row_num")) if "row_num" in new.columns else F.min(rest)
+    first = new.groupBy("id").agg(pick.alias("_ml_z")).select("id", "_ml_z.*").select(*columns)
+    return first if existing is None else first.join(existing.select("id"), "id", "left_anti").select(*columns)
+
+
 def zones_if_absent(new: DataFrame, existing: DataFrame | None) -> DataFrame:
-    """Insert zones whose id is not present yet (existing rows win; among new rows the first per id)."""
-    ordered = new.withColumn("_ml_pos", F.monotonically_increasing_id())
-    first = (ordered.withColumn("_ml_rn", F.row_number().over(Window.partitionBy("id").orderBy("_ml_pos")))
-             .where(F.col("_ml_rn") == 1).drop("_ml_rn", "_ml_pos"))
-    if existing is None:
-        return first
-    return existing.unionByName(first.join(existing.select("id"), "id", "left_anti").select(*existing.columns))
+    """``existing`` and the zones of ``new`` that it lacks."""
+    added = absent_zones(new, existing)
+    return added if existing is None else existing.unionByName(added.select(*existing.columns))
 
 
 def write_loaded(loaded, zones: DataFrame, root: str, zone_shapes: DataFrame | None = None,
-                 timings: dict | None = None) -> dict:
-    """Persist one load: trips, quarantine, error_log, zones, summary (and zone_shapes), then refresh the
-    two summary tables. The deduplicated frame is staged first (one dedup shuffle for all outputs, lineage
-    cut at a table). ``timings`` (optional dict) receives seconds per step."""
-    import time
-
+                 timings: dict | None = None, load_id: str | None = None) -> dict:
+    """Persist one load beside earlier ones: trips, quarantine, error_log, load_summary and the zones not stored yet, each
+    under ``load_id`` (a new one by default; a given one replaces that load only). zone_shapes is replaced as a whole.
+    The two summary tables are refreshed from all loads, and the load's staged tables removed. ``timings``
+    (optional dict) receives seconds per step."""
     from ..plans.stats import refresh_stats
     from ..plans.tables import from_store
 
+    spark = loaded.norm.sparkSession
+    load_id = load_id or f"load-{uuid.uuid4().hex}"
+    created = loaded.created_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
     t = timings if timings is not None else {}
 
     def step(name, fn):
@@ -63,17 +74,25 @@ def write_loaded(loaded, zones: DataFrame, root: str, zone_shapes: DataFrame | N
         t[name] = round(time.time() - t0, 3)
         return result
 
-    loaded = step("stage_kept", lambda: loaded.staged(_path(root, "_staged"), zones))
+    def insert_zones():
+        stored = None
+        if path_exists(spark, join_path(root, "zones")):
+            stored = spark.read.parquet(join_path(root, "zones")).where(F.col("load_id") != load_id)
+        return write_part(absent_zones(zones, stored), root, "zones", load_id)
+
+    staging = load_path(root, "_staged", load_id)
+    loaded = step("stage", lambda: loaded.staged(staging, zones))
+    loaded.created_at = created
     out = {
-        "trips": step("trips", lambda: write_trips(loaded.trips, root)),
-        "quarantine": step("quarantine", lambda: write_table(loaded.quarantine, root, "quarantine")),
-        "error_log": step("error_log", lambda: write_table(loaded.error_log, root, "error_log")),
-        "zones": step("zones", lambda: write_table(zones, root, "zones")),
-        "load_summary": step("load_summary", lambda: write_table(loaded.summary, root, "load_summary")),
+        "trips": step("trips", lambda: write_trips(loaded.trips, root, load_id, created)),
+        "quarantine": step("quarantine", lambda: write_part(loaded.quarantine, root, "quarantine", load_id)),
+        "error_log": step("error_log", lambda: write_part(loaded.error_log, root, "error_log", load_id)),
+        "zones": step("zones", insert_zones),
+        "load_summary": step("load_summary", lambda: write_part(loaded.summary, root, "load_summary", load_id)),
     }
     if zone_shapes is not None:
         out["zone_shapes"] = step("zone_shapes", lambda: write_table(zone_shapes, root, "zone_shapes"))
-    # refresh the two summary tables from what was just written (the loader's final step)
-    step("refresh_stats", lambda: refresh_stats(from_store(loaded.kept.sparkSession, root), root))
-    out["hourly_stats"], out["zone_stats"] = _path(root, "hourly_stats"), _path(root, "zone_stats")
+    step("refresh_stats", lambda: refresh_stats(from_store(spark, root), root))
+    out["hourly_stats"], out["zone_stats"] = join_path(root, "hourly_stats"), join_path(root, "zone_stats")
+    remove_path(spark, staging)
     return out

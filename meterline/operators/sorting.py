@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,24 +11,23 @@ from pyspark.sql import functions as F
 from ..sources.csv import number_rows
 
 
+def _leading_int(value) -> int:
+    """The whole number that a text begins with, else 0."""
+    found = re.match(r"\s*([+-]?\d+)", "" if value is None else str(value))
+    return int(found[1]) if found else 0
+
+
 def clamp_limit(value, default: int, maximum: int) -> int:
-    """``min(parseInt(v) || default, maximum)``; a negative limit is rejected."""
-    try:
-        n = int(str(value).strip().split(".")[0]) if value is not None else 0
-    except ValueError:
-        n = 0
-    n = n or default
+    """``min(leading number or default, maximum)``: the API's own limit rule. What was applied is a field of the endpoint's
+    meta row; a negative limit is rejected."""
+    n = _leading_int(value) or default
     if n < 0:
         raise ValueError(f"limit must be positive, got {value!r}")
     return min(n, maximum)
 
 
 def clamp_offset(value) -> int:
-    try:
-        n = int(str(value).strip().split(".")[0]) if value is not None else 0
-    except ValueError:
-        n = 0
-    return max(n, 0)
+    return max(_leading_int(value), 0)
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
@@ -43,7 +43,7 @@ def rank_column(df: DataFrame, order: Sequence[Column], name: str = "rank") -> D
 def stable_sort(df: DataFrame, keys: Sequence[Column], position: str | None = None,
                 tie_col: str = "row_num") -> DataFrame:
     """Sort on ``keys``; equal keys keep input order (tie-break on ``tie_col``). With ``position`` the global
-    1-based position is added via per-partition offsets of the range-partitioned sort (no single-task window)."""
+    1-based position is added from the sorted rows as written once (no single-task window)."""
     ordered = df.orderBy(*keys, F.col(tie_col).asc())
     return number_rows(ordered, position) if position else ordered
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import MAX_SPEED_MPH, MAX_TIP_PERCENTAGE, TIMESTAMP_FORMATS
@@ -22,9 +22,7 @@ from ..operators.errorlog import error_log as build_error_log
 from ..operators.features import enrich
 from ..operators.joins import cross_scalar, mark_orphans
 from ..operators.normalise import hard_exclusion, normalise
-from ..sources.csv import cap_rows
 
-DEFAULT_CREATED_AT = "2019-02-01 00:00:00"
 TRIP_COLUMNS = (
     "row_num", "vendor", "pickup_time", "dropoff_time", "passengers", "distance", "rate_id", "store_fwd",
     "pickup_zone", "dropoff_zone", "payment_type", "fare", "extra", "tax", "tip", "tolls", "surcharge", "total",
@@ -38,9 +36,8 @@ class Loaded:
     norm: DataFrame        # every raw row, normalised, with raw_flags and hard_code
     kept: DataFrame        # first occurrence of each key among non-excluded rows, enriched, with post_flags
                            # and the referential mark ``orphan``
-    created_at: object = DEFAULT_CREATED_AT
+    created_at: object = None   # time of the run; None: now
     params: tuple = (MAX_SPEED_MPH, MAX_TIP_PERCENTAGE)
-    raw_counts: tuple | None = None   # (total_raw_rows, excluded) when observed during staging
 
     @property
     def trips(self) -> DataFrame:
@@ -59,26 +56,19 @@ class Loaded:
         return load_summary(self)
 
     def staged(self, path: str, zones: DataFrame) -> "Loaded":
-        """Materialise ``kept`` (read by trips, quarantine, the post-flag records and the counters) as a
-        written table under ``path`` and continue from it: the dedup shuffle runs once and lineage is cut
-        at a durable table. The raw-row counters are observed during that same pass (no extra scan of the
-        raw input); ``norm`` itself stays a cheap map-only recomputation for the raw-flag records."""
+        """The load continued from written tables under ``path``: the normalised rows (one read and parse of the raw
+        input) and, from them, the kept trips. Every output and counter reads these tables."""
         spark = self.norm.sparkSession
-        observation = Observation("raw_rows")
-        observed = self.norm.observe(observation, F.count(F.lit(1)).alias("total_raw_rows"),
-                                     F.count_if(F.col("hard_code").isNotNull()).alias("excluded"))
-        build_kept(observed, zones, self.params).write.mode("overwrite").parquet(f"{path}/kept")
-        counts = observation.get
-        return Loaded(norm=self.norm, kept=spark.read.parquet(f"{path}/kept"), created_at=self.created_at,
-                      params=self.params, raw_counts=(counts["total_raw_rows"], counts["excluded"]))
-
-
-def load(raw: DataFrame, zones: DataFrame, *, created_at=DEFAULT_CREATED_AT, timestamp_formats=TIMESTAMP_FORMATS,
-         max_speed: float = MAX_SPEED_MPH, max_tip_pct: float = MAX_TIP_PERCENTAGE,
-         row_limit: int | None = None) -> Loaded:
-    """``row_limit`` reproduces the loader's optional row cap (first N rows by row number); default: all rows."""
-    if row_limit is not None:
-        raw = cap_rows(raw, row_limit)
+        self.norm.write.mode("overwrite").parquet(f"{path}/norm")
+        norm = spark.read.schema(self.norm.schema).parquet(f"{path}/norm")
+        kept = build_kept(norm, zones, self.params)
+        kept.write.mode("overwrite").parquet(f"{path}/kept")
+        return Loaded(norm=norm, kept=spark.read.schema(kept.schema).parquet(f"{path}/kept"), created_at=self.created_at, params=self.params)
+
+
+def load(raw: DataFrame, zones: DataFrame, *, created_at=None, timestamp_formats=TIMESTAMP_FORMATS,
+         max_speed: float = MAX_SPEED_MPH, max_tip_pct: float = MAX_TIP_PERCENTAGE) -> Loaded:
+    """All rows of ``raw`` through the pipeline, lazily. ``created_at`` is the run's time on the flags (default: now)."""
     norm = normalise(raw, timestamp_formats)
     params = (max_speed, max_tip_pct)
     return Loaded(norm=norm, kept=build_kept(norm, zones, params), created_at=created_at, params=params)
@@ -104,13 +94,8 @@ def build_kept(norm: DataFrame, zones: DataFrame, params=(MAX_SPEED_MPH, MAX_TIP
 
 def load_summary(loaded: Loaded) -> DataFrame:
     """total_raw_rows, excluded, duplicates, flagged, clean, inserted, quarantined (one row)."""
-    if loaded.raw_counts is not None:
-        total, excluded = loaded.raw_counts
-        raw_counts = loaded.kept.sparkSession.range(1).select(F.lit(total).cast("bigint").alias("total_raw_rows"),
-                                                              F.lit(excluded).cast("bigint").alias("excluded"))
-    else:
-        raw_counts = loaded.norm.agg(F.count(F.lit(1)).alias("total_raw_rows"),
-                                     F.count_if(F.col("hard_code").isNotNull()).alias("excluded"))
+    raw_counts = loaded.norm.agg(F.count(F.lit(1)).alias("total_raw_rows"),
+                                 F.count_if(F.col("hard_code").isNotNull()).alias("excluded"))
     kept_counts = loaded.kept.agg(F.count(F.lit(1)).alias("kept"),
                                   F.count_if(F.size("post_flags") > 0).alias("flagged"),
                                   F.count_if(~F.col("orphan")).alias("inserted"))

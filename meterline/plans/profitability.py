@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import MIN_ZONE_TRIPS, TOP_ZONES_DEFAULT_LIMIT, TOP_ZONES_MAX_LIMIT
 from ..functions.rounding import exact_avg, exact_sum
-from ..operators.aggs import percentile_cont
+from ..operators.aggs import with_percentiles
 from ..operators.joins import join_zone_inner, known_zone
 from ..operators.sorting import clamp_limit, top_n
 from .tables import Tables
@@ -33,18 +33,18 @@ def top_profitable_zones(t: Tables, limit=TOP_ZONES_DEFAULT_LIMIT, min_trips: in
     return top_n(grouped, [F.desc_nulls_first("avg_revenue_per_minute"), F.asc("location_id")], n)
 
 
-def by_borough(t: Tables, approx_percentiles: bool = False) -> DataFrame:
-    return (join_zone_inner(t.trips, t.zones).where(known_borough())
-            .groupBy(F.col("z.borough").alias("borough"))
+def by_borough(t: Tables) -> DataFrame:
+    rows = join_zone_inner(t.trips, t.zones).where(known_borough())
+    grouped = (rows.groupBy(F.col("z.borough").alias("borough"))
             .agg(F.count("t.row_num").alias("trip_count"),
                  exact_sum("t.total").alias("total_revenue"),
                  exact_avg("t.total").alias("avg_fare"),
                  exact_avg("t.money_per_min").alias("avg_revenue_per_minute"),
                  exact_avg("t.duration_min").alias("avg_duration_minutes"),
                  exact_avg("t.speed_mph").alias("avg_speed_mph"),
-                 exact_avg("t.tip_pct").alias("avg_tip_percentage"),
-                 percentile_cont("total", 0.5, approx_percentiles).alias("median_fare"),
-                 percentile_cont("money_per_min", 0.5, approx_percentiles).alias("median_revenue_per_minute"))
+                 exact_avg("t.tip_pct").alias("avg_tip_percentage")))
+    medians = {"median_fare": (F.col("t.total"), 0.5), "median_revenue_per_minute": (F.col("t.money_per_min"), 0.5)}
+    return (with_percentiles(grouped, rows, {"borough": F.col("z.borough")}, medians)
             .orderBy(F.desc_nulls_first("total_revenue"), F.asc("borough")))
 
 

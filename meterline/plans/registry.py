@@ -6,31 +6,39 @@ and applies one operator or named query. Timestamps are returned as ISO-8601 UTC
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import FLAG_META
+from ..config import FLAG_META, RAW_TRIP_COLUMNS
 from ..functions.formats import fmt_date, fmt_hr, fmt_k, fmt_num, fmt_rpm, fmt_usd, iso_timestamp
 from ..operators.aggs import aggregate_groups, group_by_key
 from ..operators.anomalies import detect_anomalies, partition_trips
 from ..operators.dedup import dedup_keep_first, dedup_with_count, trip_key_text
-from ..operators.errorlog import soft_only
+from ..functions.rounding import to_fixed
+from ..operators.errorlog import json_extract_num, soft_only
 from ..operators.features import compute_features
 from ..operators.joins import cross_scalar, exists_in, join_zone_inner, lookup_flag_note, lookup_payment_label
 from ..operators.normalise import hard_exclusion
-from ..operators.sorting import rank_column, sort_by_any_column, stable_sort
+from ..operators.geo import zone_shapes
+from ..operators.sinks import write_loaded
+from ..operators.sorting import sort_by_any_column, stable_sort
+from ..session import shared_dir
+from ..sources.csv import number_rows, scan_trips_csv, scan_zones_csv
+from ..sources.polygons import scan_zone_polygons
 from ..sources.tables import read_table
 from . import anomalies, client, overview, profitability, stats, tips
-from .pipeline import TRIP_COLUMNS
-from .tables import Tables, fixture_inputs, from_testdata
+from .pipeline import TRIP_COLUMNS, load
+from .tables import FIXTURE_CREATED_AT, Tables, fixture_inputs, from_store, from_testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _iso_trips(df: DataFrame) -> DataFrame:
-    return df.select(*[iso_timestamp(c).alias(c) if c in ("pickup_time", "dropoff_time") else F.col(c)
+def _iso_trips(df: DataFrame, *more: str) -> DataFrame:
+    return df.select(*more, *[iso_timestamp(c).alias(c) if c in ("pickup_time", "dropoff_time") else F.col(c)
                        for c in TRIP_COLUMNS])
 
 
@@ -107,23 +115,88 @@ def _group_by_key(t: Tables) -> DataFrame:
 
 
 def _stable_sort(t: Tables) -> DataFrame:
-    return stable_sort(t.trips.select("row_num", "fare"), [F.col("fare").asc()], position="position")
+    return _iso_trips(stable_sort(t.trips, [F.col("fare").asc()], position="position"), "position")
 
 
 def _sort_any(t: Tables) -> DataFrame:
-    ranked = client.profit_ranking(t).drop("rank")
-    return rank_column(sort_by_any_column(ranked, "zone_name", descending=True),
-                       [F.collate(F.col("zone_name"), "UNICODE").desc(), F.asc("location_id")], "position")
+    # every second name in lower case: a code-point order would part them, the locale's order doesn't
+    mixed = F.when(F.col("location_id") % 2 == 0, F.lower("zone_name")).otherwise(F.col("zone_name"))
+    ranked = client.profit_ranking(t).drop("rank").withColumn("zone_name", mixed)
+    return number_rows(sort_by_any_column(ranked, "zone_name", descending=True, tie_col="location_id"), "position")
 
 
 def _detect(spark, sf):
     return _library_features(spark, sf).select("row_num", F.array_join(detect_anomalies(), ",").alias("anomaly_types"))
 
 
+def _rounded(query: Callable[[Tables], DataFrame], *columns: str) -> Query:
+    """Percentiles rounded for the comparison only: engines interpolate with different last bits."""
+    return _t(lambda t: (df := query(t)).select(*[to_fixed(c, 6).alias(c) if c in columns else F.col(c) for c in df.columns]))
+
+
+def _aggregate_long_decimals(spark, sf):
+    """Values with up to 7 decimals, so that any rounding before the sum shows."""
+    li = read_table(spark, sf, "lineitem").select("l_returnflag", (F.col("l_partkey").cast("double") / F.lit(1e7)).alias("v"))
+    return aggregate_groups(li, F.col("l_returnflag"), "v")
+
+
+def _two_loads(spark, sf) -> Tables:
+    """The fixture in two loads that share their days, stored side by side and read back (the store is named by URI).
+    Equal trip keys have equal times, so they fall in the same load."""
+    raw, zones, features = fixture_inputs(spark, sf)
+    root = f"{shared_dir(spark)}/store-{uuid.uuid4().hex}"
+    root = root if ":/" in root else f"file://{root}"
+    half = F.pmod(F.xxhash64("tpep_pickup_datetime", "tpep_dropoff_datetime"), F.lit(2))
+    for n in range(2):
+        write_loaded(load(raw.where(half == n), zones, created_at=FIXTURE_CREATED_AT), zones, root, zone_shapes(features), load_id=f"part{n}")
+    return from_store(spark, root)
+
+
+def _store(fn) -> Query:
+    return lambda spark, sf: fn(_two_loads(spark, sf))
+
+
+def _scan_zones_csv(spark, sf):
+    _, zones, _ = fixture_inputs(spark, sf)
+    path = f"{shared_dir(spark)}/zones-csv-{uuid.uuid4().hex}"
+    named = zones.select(F.col("id").alias("LocationID"), F.col("borough").alias("Borough"), F.col("zone_name").alias("Zone"), "service_zone")
+    named.write.option("header", True).csv(path)
+    return scan_zones_csv(spark, path)
+
+
+def _scan_polygons(spark, sf):
+    _, _, features = fixture_inputs(spark, sf)
+    path = f"{shared_dir(spark)}/polygons-{uuid.uuid4().hex}"
+    features.write.json(path)
+    return zone_shapes(scan_zone_polygons(spark, path), web_digits=7)
+
+
+def _summary_types(t: Tables) -> DataFrame:
+    s = anomalies.summary_with_types(t)
+    text = F.array_join(F.transform("by_type", lambda x: F.concat(x["err_type"], F.lit("="), x["count"].cast("string"))), ",")
+    return s.withColumn("by_type", text)
+
+
+def _limits(t: Tables) -> DataFrame:
+    """The limit rule at its edges, on the list's meta row."""
+    given = ("15abc", "0", None, "x", 7, 10_000)
+    metas = [anomalies.anomaly_list(t, g, 0)[1].select(F.lit(n).alias("case_no"), "limit", "count") for n, g in enumerate(given)]
+    return reduce(DataFrame.union, metas)
+
+
+def _stream_counters(spark, sf):
+    from ..streaming.ingest import stream_fixture
+    done = spark.read.parquet(f"{stream_fixture(spark, sf)}/load_summary")
+    return done.agg(F.count_distinct("epoch").alias("epochs"), F.sum("total_raw_rows").alias("total_raw_rows"), F.sum("excluded").alias("excluded"),
+                    F.sum("inserted").alias("inserted"), F.sum("quarantined").alias("quarantined"))
+
+
 def _partition(spark, sf):
-    _, anomalous = partition_trips(_library_features(spark, sf))
-    return anomalous.select("row_num", F.array_join("types", ",").alias("anomaly_types"),
-                            F.col("detail.trip_duration_minutes").alias("trip_duration_minutes"))
+    clean, anomalous = partition_trips(_library_features(spark, sf))
+    detail = ("trip_distance", "fare_amount", "average_speed_mph", "trip_duration_minutes", "tip_percentage")
+    bad = anomalous.select("row_num", F.lit("anomaly").alias("half"), F.array_join("detail.anomaly_types", ",").alias("anomaly_types"), *[F.col(f"detail.{c}").alias(c) for c in detail])
+    good = clean.select("row_num", F.lit("clean").alias("half"), F.lit(None).cast("string").alias("anomaly_types"), *[F.lit(None).cast(bad.schema[c].dataType).alias(c) for c in detail])
+    return bad.union(good)
 
 
 def _formats_by_hour(t: Tables) -> DataFrame:
@@ -141,7 +214,7 @@ def _formats_by_day(t: Tables) -> DataFrame:
 
 def _events_json(spark, sf):
     ev = read_table(spark, sf, "events")
-    k = F.get_json_object("props", "$.k").try_cast("bigint")
+    k = json_extract_num(F.col("props"), "k").try_cast("bigint")
     return ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"), F.sum(k).alias("k_sum"),
                                        F.count(k).alias("k_present"))
 
@@ -169,11 +242,6 @@ def _stream_hourly(spark, sf):
 def _scan_csv(spark, sf):
     """The fixture written as CSV files (header, in row order, several files) under the shared folder and read
     back with the trip CSV reader: row numbers are the 1-based positions in file order."""
-    import uuid
-
-    from ..config import RAW_TRIP_COLUMNS
-    from ..session import shared_dir
-    from ..sources.csv import scan_trips_csv
     raw, _, _ = fixture_inputs(spark, sf)
     path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
     (raw.repartitionByRange(4, "row_num").sortWithinPartitions("row_num").select(*RAW_TRIP_COLUMNS)
@@ -208,7 +276,15 @@ def queries() -> dict[str, Query]:
         "agg_count_distinct": _t(_count_distinct),
         "aggregate_groups": _t(_aggregate_groups),
         "group_by_key": _t(_group_by_key),
+        "aggregate_groups_long_decimals": _aggregate_long_decimals,
         "stable_sort": _t(_stable_sort),
+        "scan_zones_csv": _scan_zones_csv,
+        "scan_zone_polygons": _scan_polygons,
+        # two loads stored side by side
+        "store_two_loads_trips": _store(lambda t: _iso_trips(t.trips)),
+        "store_two_loads_error_log": _store(lambda t: _error_rows(t.error_log)),
+        "store_zone_stats": _store(stats.zone_stats),
+        "store_zones": _store(lambda t: t.zones.select("id", "borough", "zone_name", "service_zone")),
         "sort_by_any_column": _t(_sort_any),
         # named queries
         "overview_kpis": _t(overview.overview_kpis),
@@ -217,12 +293,14 @@ def queries() -> dict[str, Query]:
         "overview_top_zones": _t(lambda t: overview.top_zones(t)),
         "overview_top_zones_100": _t(lambda t: overview.top_zones(t, 100)),
         "profitability_top_zones": _t(lambda t: profitability.top_profitable_zones(t)),
-        "profitability_by_borough": _t(profitability.by_borough),
+        "profitability_by_borough": _rounded(profitability.by_borough, "median_fare", "median_revenue_per_minute"),
         "profitability_by_hour": _t(profitability.by_hour),
-        "tips_by_borough": _t(tips.tips_by_borough),
-        "tips_by_hour": _t(tips.tips_by_hour),
-        "tips_payment_comparison": _t(tips.payment_comparison),
+        "tips_by_borough": _rounded(tips.tips_by_borough, "median_tip_percentage"),
+        "tips_by_hour": _rounded(tips.tips_by_hour, "median_tip_percentage"),
+        "tips_payment_comparison": _rounded(tips.payment_comparison, "median_tip_percentage", "p90_tip_percentage"),
         "anomalies_summary": _t(anomalies.summary),
+        "anomalies_summary_with_types": _t(_summary_types),
+        "clamp_limit": _t(_limits),
         "anomalies_by_type": _t(anomalies.by_type),
         "anomalies_list": _t(lambda t: anomalies.anomaly_list(t)[0]),
         "anomalies_list_meta": _t(lambda t: anomalies.anomaly_list(t)[1]),
@@ -230,7 +308,7 @@ def queries() -> dict[str, Query]:
         "anomalies_list_typed_page2_meta": _t(lambda t: anomalies.anomaly_list(t, 50, 50, "HIGH_SPEED")[1]),
         "hourly_stats": _t(stats.hourly_stats),
         "zone_stats": _t(stats.zone_stats),
-        "zone_shapes": _t(lambda t: t.zone_shapes),
+        "zone_shapes": lambda spark, sf: zone_shapes(fixture_inputs(spark, sf)[2], web_digits=7),
         "client_borough_volume": _t(lambda t: client.borough_volume(t, client.borough_order_from_zones(t.zones))),
         "client_profit_ranking": _t(client.profit_ranking),
         "client_tip_payment_split": _t(client.tip_payment_split),
@@ -249,6 +327,7 @@ def queries() -> dict[str, Query]:
         # streaming (availableNow run, result read back as a table)
         "stream_trips": _stream_trips,
         "stream_hourly_stats": _stream_hourly,
+        "stream_counters": _stream_counters,
     }
     for code in FLAG_META:
         q[f"flag_{code.lower()}"] = _flag_query(code)

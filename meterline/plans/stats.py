@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.formats import iso_timestamp
 from ..functions.rounding import exact_avg, exact_sum
 from ..operators.joins import exists_in, join_zone_left
+from ..session import join_path
 from .tables import Tables
 
 
@@ -43,5 +42,5 @@ def zone_stats(t: Tables) -> DataFrame:
 
 def refresh_stats(t: Tables, root: str) -> None:
     """Recompute both summary tables and replace them (atomic per table via the writer's commit)."""
-    hourly_stats(t).write.mode("overwrite").parquet(os.path.join(root, "hourly_stats"))
-    zone_stats(t).write.mode("overwrite").parquet(os.path.join(root, "zone_stats"))
+    hourly_stats(t).write.mode("overwrite").parquet(join_path(root, "hourly_stats"))
+    zone_stats(t).write.mode("overwrite").parquet(join_path(root, "zone_stats"))

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-import os
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.geo import zone_shapes
-from ..session import ensure_conf
+from ..session import ensure_conf, join_path, path_exists
 from ..sources.fixtures import raw_trips_from_lineitem, zone_polygons_from_part, zones_from_nation
 from ..sources.tables import read_table
 from .pipeline import Loaded, load
 
 
+#: Time of the load in queries over the given tables, whose results must repeat.
+FIXTURE_CREATED_AT = "2019-02-01 00:00:00"
+
+
 class Tables:
     """trips, zones, error_log, zone_shapes (and the pipeline state when built from raw input).
     Members built from the pipeline are created on first use only."""
@@ -53,13 +56,13 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Tables:
     """Run the load pipeline over the fixture derived from ``sf_dir`` (lazily; Catalyst prunes what a query
     does not use)."""
     raw, zones, features = fixture_inputs(spark, sf_dir)
-    return Tables(zones=zones, loaded=load(raw, zones), features=features)
+    return Tables(zones=zones, loaded=load(raw, zones, created_at=FIXTURE_CREATED_AT), features=features)
 
 
 def from_store(spark: SparkSession, root: str) -> Tables:
     """Tables previously written by ``operators.sinks.write_loaded`` under ``root``."""
     ensure_conf(spark)
-    p = lambda name: os.path.join(root, name)
-    shapes = spark.read.parquet(p("zone_shapes")) if os.path.exists(p("zone_shapes")) else None
+    p = lambda name: join_path(root, name)
+    shapes = spark.read.parquet(p("zone_shapes")) if path_exists(spark, p("zone_shapes")) else None
     return Tables(trips=spark.read.parquet(p("trips")), zones=spark.read.parquet(p("zones")),
                   error_log=spark.read.parquet(p("error_log")), zone_shapes=shapes)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: wall-clock fields are read in UTC, ANSI arithmetic, adaptive execution.
 REQUIRED_CONF = {
@@ -49,26 +49,46 @@ def ensure_conf(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    On a cluster this is whatever ``spark.checkpoint.dir`` names. Only when nothing is
-    configured (local tests) do we create a private folder and register it.
+    This is whatever ``spark.checkpoint.dir`` names. A session on one machine without that setting gets a private
+    folder; any other session must name one, because executors don't share local folders.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        try:
-            configured = spark.sparkContext.getCheckpointDir()
-        except Exception:  # pragma: no cover - older API
-            configured = None
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     local = tempfile.mkdtemp(prefix="meterline-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    base = shared_dir(spark)
-    path = os.path.join(base, name) if "://" not in base else f"{base}/{name}"
-    return path
+def join_path(root: str, *parts: str) -> str:
+    return "/".join([root.rstrip("/"), *parts])
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once, written to the shared folder and read back."""
+    path = join_path(shared_dir(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Asked of the file system that holds ``path`` (any URI), not of the driver's disk."""
+    fs, where = _file_system(spark, path)
+    return fs.exists(where)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table of our own."""
+    fs, where = _file_system(spark, path)
+    fs.delete(where, True)

@@ -11,7 +11,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import trip_key_text
 from ..plans.pipeline import Loaded, load
-from ..session import ensure_conf, shared_dir
+from ..session import ensure_conf, join_path, path_exists, remove_path, shared_dir
 from ..sources.fixtures import raw_trips_from_lineitem, zones_from_nation
 from ..sources.csv import number_rows
 from ..sources.tables import read_table
@@ -27,7 +26,7 @@ from ..config import RAW_TRIP_COLUMNS
 
 
 def _p(root: str, *parts: str) -> str:
-    return os.path.join(root, *parts) if "://" not in root else "/".join([root.rstrip("/"), *parts])
+    return join_path(root, *parts)
 
 
 def _write_epoch(df: DataFrame, root: str, table: str, epoch: int) -> None:
@@ -36,42 +35,42 @@ def _write_epoch(df: DataFrame, root: str, table: str, epoch: int) -> None:
 
 def _seen_before(spark: SparkSession, root: str, epoch: int) -> DataFrame | None:
     path = _p(root, "seen_keys")
-    try:
-        seen = spark.read.parquet(path)
-    except Exception:  # nothing written yet
+    if not path_exists(spark, path):  # first batch; any other failure ends the batch
         return None
-    return seen.where(F.col("epoch") < epoch).select("trip_key")
+    return spark.read.parquet(path).where(F.col("epoch") < epoch).select("trip_key", "pickup_day")
 
 
 def _rows_before(spark: SparkSession, root: str, epoch: int) -> int:
-    try:
-        done = spark.read.parquet(_p(root, "load_summary")).where(F.col("epoch") < epoch)
-    except Exception:  # first epoch
+    if not path_exists(spark, _p(root, "load_summary")):
         return 0
+    done = spark.read.parquet(_p(root, "load_summary")).where(F.col("epoch") < epoch)
     return int(done.agg(F.coalesce(F.sum("total_raw_rows"), F.lit(0))).first()[0])
 
 
-def process_batch(batch: DataFrame, epoch: int, zones: DataFrame, root: str) -> None:
+def process_batch(batch: DataFrame, epoch: int, zones: DataFrame, root: str, load_options: dict | None = None) -> None:
     spark = batch.sparkSession
     if "row_num" not in batch.columns:
         # file order across micro-batches: continue the numbering after the rows of earlier epochs
         offset = _rows_before(spark, root, epoch)
         batch = number_rows(batch, file_order=True).withColumn("row_num", F.col("row_num") + F.lit(offset))
-    loaded = load(batch, zones)
-    kept = loaded.kept.withColumn("trip_key", trip_key_text())
+    staging = _p(root, "_staged", f"epoch={epoch}")
+    loaded = load(batch, zones, **(load_options or {})).staged(staging, zones)   # the batch is read once
+    kept = loaded.kept.withColumn("trip_key", trip_key_text()).withColumn("pickup_day", F.to_date("pickup_time"))
     seen = _seen_before(spark, root, epoch)
-    if seen is not None:
-        kept = kept.join(seen, "trip_key", "left_anti")
-    kept_path = _p(root, "_staged_kept", f"epoch={epoch}")
-    kept.write.mode("overwrite").parquet(kept_path)             # lineage cut; every output below reads it
-    staged = Loaded(norm=loaded.norm, kept=spark.read.parquet(kept_path).drop("trip_key"), created_at=loaded.created_at)
-    _write_epoch(spark.read.parquet(kept_path).select("trip_key"), root, "seen_keys", epoch)
-    _write_epoch(staged.trips, root, "trips", epoch)
-    _write_epoch(staged.quarantine, root, "quarantine", epoch)
-    _write_epoch(staged.error_log, root, "error_log", epoch)
-    _write_epoch(hourly_partials(staged.trips), root, "hourly_partials", epoch)
-    counters = staged.summary.observe("batch_counters", F.sum("total_raw_rows").alias("raw_rows"))
+    if seen is not None:   # equal keys have equal days, so only the batch's own days of the history are read
+        days = [r[0] for r in kept.select("pickup_day").distinct().collect()]
+        kept = kept.join(seen.where(F.col("pickup_day").isin(days)), ["trip_key", "pickup_day"], "left_anti")
+    kept.write.mode("overwrite").parquet(f"{staging}/first")
+    first = spark.read.schema(kept.schema).parquet(f"{staging}/first")
+    loaded = Loaded(norm=loaded.norm, kept=first.drop("trip_key", "pickup_day"), created_at=loaded.created_at, params=loaded.params)
+    first.select("trip_key", "pickup_day").write.mode("overwrite").partitionBy("pickup_day").parquet(_p(root, "seen_keys", f"epoch={epoch}"))
+    _write_epoch(loaded.trips, root, "trips", epoch)
+    _write_epoch(loaded.quarantine, root, "quarantine", epoch)
+    _write_epoch(loaded.error_log, root, "error_log", epoch)
+    _write_epoch(hourly_partials(loaded.trips), root, "hourly_partials", epoch)
+    counters = loaded.summary.observe("batch_counters", F.sum("total_raw_rows").alias("raw_rows"))
     _write_epoch(counters, root, "load_summary", epoch)
+    remove_path(spark, staging)
 
 
 def hourly_partials(trips: DataFrame) -> DataFrame:
@@ -96,39 +95,46 @@ def hourly_stats_from_partials(spark: SparkSession, root: str) -> DataFrame:
 
 
 def start_ingest(raw_stream: DataFrame, zones: DataFrame, root: str, checkpoint: str | None = None,
-                 available_now: bool = True, processing_time: str | None = None):
-    """Start the streaming load; returns the StreamingQuery."""
+                 available_now: bool = True, processing_time: str | None = None,
+                 load_options: dict | None = None):
+    """Start the streaming load; returns the StreamingQuery. ``load_options`` are the run parameters of ``load``."""
     ckpt = checkpoint or _p(root, "_checkpoint")
     # progress counters per micro-batch, reported in StreamingQuery.lastProgress["observedMetrics"]
     observed = raw_stream.observe("ingest_counters", F.count(F.lit(1)).alias("rows"))
     writer = (observed.writeStream
-              .foreachBatch(lambda df, epoch: process_batch(df, epoch, zones, root))
+              .foreachBatch(lambda df, epoch: process_batch(df, epoch, zones, root, load_options))
               .option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time or "30 seconds")
     return writer.start()
 
 
 def trips_csv_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Streaming reader of a directory of trip CSV files (header, trimmed, empty fields as '')."""
+    """Streaming reader of a directory of trip CSV files (header, trimmed, empty fields as ''). A file whose header
+    doesn't name these columns in this order ends the stream with an error; nothing is read by position alone."""
     schema = ", ".join(f"`{c}` string" for c in RAW_TRIP_COLUMNS)
-    stream = (spark.readStream.schema(schema).option("header", True)
+    stream = (spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
               .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
               .option("maxFilesPerTrigger", max_files_per_trigger).csv(path))
     return stream.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in RAW_TRIP_COLUMNS])
 
 
 def stream_fixture(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
-    """Stream the lineitem-derived fixture through the ingest (availableNow); returns the output root."""
+    """Stream the lineitem-derived fixture through the ingest (availableNow) as four arrivals in row order, one
+    micro-batch each; returns the output root."""
     ensure_conf(spark)
     root = root or _p(shared_dir(spark), f"stream-{uuid.uuid4().hex}")
-    lineitem_schema = read_table(spark, sf_dir, "lineitem").schema
-    stream = (spark.readStream.schema(lineitem_schema).option("maxFilesPerTrigger", 1)
-              .parquet(os.path.join(sf_dir, "lineitem*.parquet")))
+    raw = raw_trips_from_lineitem(read_table(spark, sf_dir, "lineitem"))
     zones = zones_from_nation(read_table(spark, sf_dir, "nation"), read_table(spark, sf_dir, "region"))
-    query = start_ingest(raw_trips_from_lineitem(stream), zones, root)
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
+    files = _p(shared_dir(spark), f"stream-files-{uuid.uuid4().hex}")
+    cuts = raw.approxQuantile("row_num", [0.25, 0.5, 0.75], 0.01)
+    for low, high in zip([None, *cuts], [*cuts, None]):  # arrivals one after the other, all new files in one batch
+        arrived = raw if low is None else raw.where(F.col("row_num") >= low)
+        arrived = arrived if high is None else arrived.where(F.col("row_num") < high)
+        arrived.write.mode("append").parquet(files)
+        query = start_ingest(spark.readStream.schema(raw.schema).parquet(files), zones, root)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
     return root
 
 

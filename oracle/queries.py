@@ -151,9 +151,10 @@ def oracle_sql() -> dict[str, str]:
     s["compute_features"] = with_ctes(f"SELECT row_num, trip_duration_minutes, average_speed_mph, revenue_per_minute, "
                                       f"tip_percentage FROM ({_library_features()})")
     s["detect_anomalies"] = with_ctes(f"SELECT row_num, {_detect_expr()} AS anomaly_types FROM ({_library_features()})")
-    s["partition_trips"] = with_ctes(f"SELECT row_num, anomaly_types, trip_duration_minutes FROM "
-                                     f"(SELECT row_num, trip_duration_minutes, {_detect_expr()} AS anomaly_types "
-                                     f"FROM ({_library_features()})) WHERE anomaly_types <> ''")
+    fields = ("trip_distance", "fare_amount", "average_speed_mph", "trip_duration_minutes", "tip_percentage")
+    only_bad = ", ".join(f"CASE WHEN types <> '' THEN {c} END AS {c}" for c in fields)
+    s["partition_trips"] = with_ctes(f"SELECT row_num, CASE WHEN types <> '' THEN 'anomaly' ELSE 'clean' END AS half, NULLIF(types, '') AS anomaly_types, "
+                                     f"{only_bad} FROM (SELECT *, {_detect_expr()} AS types FROM ({_library_features()}))")
     key = (f"coalesce(CAST(vendor AS VARCHAR), '') || '|' || coalesce({iso('pickup_time')}, '') || '|' || "
            f"coalesce({iso('dropoff_time')}, '') || '|' || coalesce(CAST(pickup_zone AS VARCHAR), '') || '|' || "
            f"coalesce(CAST(dropoff_zone AS VARCHAR), '') || '|' || coalesce({js_text('total')}, '')")
@@ -184,14 +185,23 @@ def oracle_sql() -> dict[str, str]:
     s["group_by_key"] = with_ctes("SELECT coalesce(CAST(payment_type AS VARCHAR), 'null') AS group_key, "
                                   "COUNT(*) AS members FROM trips GROUP BY 1")
     s["stable_sort"] = with_ctes("SELECT CAST(row_number() OVER (ORDER BY fare ASC, row_num ASC) AS BIGINT) AS position, "
-                                 "row_num, fare FROM trips")
+                                 f"{TRIP_SELECT} FROM trips")
+    s["aggregate_groups_long_decimals"] = f"""
+      SELECT l_returnflag AS group_key, COUNT(*) AS count, {tofixed('CAST(SUM(d) AS DOUBLE)', 4)} AS sum, {tofixed('MIN(CAST(d AS DOUBLE))', 4)} AS min,
+             {tofixed('MAX(CAST(d AS DOUBLE))', 4)} AS max, {tofixed('CAST(SUM(d) AS DOUBLE) / COUNT(*)', 4)} AS avg
+      FROM (SELECT l_returnflag, CAST(l_partkey AS DECIMAL(18,0)) * CAST(0.0000001 AS DECIMAL(9,7)) AS d FROM lineitem) GROUP BY l_returnflag"""
+    s["scan_zones_csv"] = s["scan_zones"]
+    s["scan_zone_polygons"] = with_ctes("SELECT * FROM zone_shapes", shapes=True)
+    s["store_two_loads_trips"] = s["trips"]
+    s["store_two_loads_error_log"] = s["error_log"]
+    s["store_zones"] = s["scan_zones"]
     ranking = f"""SELECT location_id, coalesce(NULLIF(zone_name, ''), '—') AS zone_name,
                          coalesce(NULLIF(borough, ''), '—') AS borough, coalesce(avg_revenue_per_minute, 0.0) AS rev_min,
                          coalesce(avg_total_amount, 0.0) AS avg_fare, coalesce(avg_tip_percentage, 0.0) AS avg_tip,
                          CAST(coalesce(trip_count, 0) AS BIGINT) AS trips
                   FROM ({PROFIT_TOP.format(n=20)})"""
-    s["sort_by_any_column"] = with_ctes(f"SELECT *, CAST(row_number() OVER (ORDER BY zone_name DESC, location_id ASC) "
-                                        f"AS BIGINT) AS position FROM ({ranking})")
+    s["sort_by_any_column"] = with_ctes(f"SELECT * REPLACE (CASE WHEN location_id % 2 = 0 THEN lower(zone_name) ELSE zone_name END AS zone_name), "
+                                        f"CAST(row_number() OVER (ORDER BY lower(zone_name) DESC, location_id ASC) AS BIGINT) AS position FROM ({ranking})")
     # named queries
     s["overview_kpis"] = with_ctes(f"""
       SELECT * FROM (
@@ -229,6 +239,12 @@ def oracle_sql() -> dict[str, str]:
       FROM (SELECT COUNT(*) AS total_error_records, COUNT(DISTINCT row_num) AS unique_flagged_rows FROM soft),
            (SELECT COUNT(*) AS n FROM trips)""")
     s["anomalies_by_type"] = with_ctes(BY_TYPE)
+    s["anomalies_summary_with_types"] = s["anomalies_summary"].replace(
+        "SELECT total_error_records, unique_flagged_rows,",
+        f"SELECT total_error_records, unique_flagged_rows, (SELECT string_agg(err_type || '=' || count, ',' ORDER BY count DESC, err_type DESC) FROM ({BY_TYPE})) AS by_type,", 1)
+    edges = " UNION ALL ".join(f"SELECT {n} AS case_no, CAST({k} AS BIGINT) AS \"limit\", CAST(least(total, {k}) AS BIGINT) AS count FROM c"
+                               for n, k in enumerate((15, 50, 50, 50, 7, 200)))
+    s["clamp_limit"] = with_ctes(f"SELECT * FROM (WITH c AS (SELECT COUNT(*) AS total FROM soft) {edges})")
     s["anomalies_list"] = with_ctes(_list("", 50, 0))
     s["anomalies_list_meta"] = with_ctes(_list_meta("", 50, 0))
     s["anomalies_list_typed_page2"] = with_ctes(_list("WHERE err_type = 'HIGH_SPEED'", 50, 50))
@@ -247,6 +263,7 @@ def oracle_sql() -> dict[str, str]:
              EXISTS (SELECT 1 FROM zone_shapes s WHERE s.location_id = z.id AND s.mappable) AS has_shape
       FROM zones z LEFT JOIN trips t ON t.pickup_zone = z.id
       GROUP BY z.id, z.borough, z.zone_name""", shapes=True)
+    s["store_zone_stats"] = s["zone_stats"]
     s["zone_shapes"] = with_ctes("SELECT * FROM zone_shapes", shapes=True)
     s["client_borough_volume"] = with_ctes(f"""
       SELECT v.borough, v.trips, o.display_order FROM
@@ -319,6 +336,8 @@ def oracle_sql() -> dict[str, str]:
                            f"FROM events GROUP BY 1)")
     s["stream_trips"] = s["trips"]
     s["stream_hourly_stats"] = s["hourly_stats"]
+    s["stream_counters"] = with_ctes("SELECT CAST(4 AS BIGINT) AS epochs, (SELECT COUNT(*) FROM norm) AS total_raw_rows, (SELECT COUNT(hard_code) FROM norm) AS excluded, "
+                                     "(SELECT COUNT(*) FROM trips) AS inserted, (SELECT COUNT(*) FROM quarantine) AS quarantined")
     for code in FLAG_META:
         s[f"flag_{code.lower()}"] = with_ctes(f"SELECT {ERROR_SELECT} FROM error_log WHERE err_type = {q(code)}")
     return s
