@@ -19,6 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 LEVELS = 3
 CROWD = 12
 MIN_LABELLED = 5
@@ -75,6 +77,7 @@ def _generalised(paths: DataFrame) -> DataFrame:
         rare = (children.join(nodes, above).where((F.col("kinds") > CROWD) & (F.col("child_n") * CROWD < F.col("node_n")))
                 .select(*above, own, F.lit("*").alias("star")))
         paths = paths.join(rare, [*above, own], "left").withColumn(f"g{k}", F.coalesce("star", own)).drop("star")
+        paths = written(paths, "url-level")  # each level reads the one before several times
     return paths
 
 
@@ -84,7 +87,7 @@ def rejected_paths(pages: DataFrame) -> DataFrame:
     marks, marked = [f"s{k}" for k in range(1, LEVELS + 1)], [f"g{k}" for k in range(1, LEVELS + 1)]
     count = lambda verdict: F.sum((F.coalesce("label", F.lit("")) == verdict).cast("long"))
     paths = pages.groupBy("host", *marks, "tail").agg(F.count("*").alias("n"), count("allow").alias("allowed"), count("block").alias("blocked"))
-    paths = _generalised(paths)
+    paths = _generalised(written(paths, "url-paths"))
     below = F.concat_ws("/", *marked[1:], "tail")
     branches = paths.groupBy("host", "g1").agg(F.array_join(F.array_sort(F.collect_set(below)), " ").alias("shape"),
                                                F.sum("allowed").alias("a"), F.sum("blocked").alias("b"))
@@ -92,7 +95,7 @@ def rejected_paths(pages: DataFrame) -> DataFrame:
     upper, lower = _upper_and_lower(F.col("b"), F.when(n > 0, n))
     kind = F.when(n == 0, "none").when(lower > 0.5, "block").when(upper < 0.5, "allow").otherwise("mixed")
     branches = branches.select("host", "g1", F.concat_ws("|", kind, "shape").alias("branch"))
-    placed = paths.join(branches, ["host", "g1"]).withColumn("below", below)
+    placed = written(paths.join(branches, ["host", "g1"]).withColumn("below", below), "url-branches")
     merged = placed.groupBy("host", "branch", "below").agg(F.sum("allowed").alias("a"), F.sum("blocked").alias("b"))
     share = (F.col("b") + 0.5 * SMOOTHING) / (F.col("a") + F.col("b") + SMOOTHING)
     gone = merged.where((F.col("a") + F.col("b") >= MIN_LABELLED) & (share >= REJECT_AT)).select("host", "branch", "below")
