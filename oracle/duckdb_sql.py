@@ -6,10 +6,8 @@ from __future__ import annotations
 
 import math
 
-from meterline.config import (EXCLUDED_ZONE_IDS, EXCLUDED_ZONE_NAMES, FLAG_META, FLAG_NOTES, HARD_FLAG_TYPES,
-                              MAX_SPEED_MPH, MAX_TIP_PERCENTAGE, PAYMENT_LABELS, PEAK_HOURS, RAW_TRIP_COLUMNS)
-from meterline.functions.geo import LAT_ITERATIONS, LCC
-from meterline.functions.parsing import FLOAT_PREFIX, INT_PREFIX
+from .fixed import (EXCLUDED_ZONE_IDS, EXCLUDED_ZONE_NAMES, FLAG_META, FLAG_NOTES, FLOAT_PREFIX, HARD_FLAG_TYPES, INT_PREFIX, LAT_ITERATIONS, LCC,
+                    MAX_SPEED_MPH, MAX_TIP_PERCENTAGE, PAYMENT_LABELS, PEAK_HOURS, RAW_TRIP_COLUMNS)
 
 
 def q(s: str) -> str:

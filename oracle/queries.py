@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from meterline.config import (EXCLUDED_ZONE_IDS, EXCLUDED_ZONE_NAMES, FLAG_META, FLAG_NOTES, PAYMENT_LABELS)
-from meterline.config import RAW_TRIP_COLUMNS
-from meterline.plans.pipeline import TRIP_COLUMNS
-
 from .duckdb_sql import in_list, iso, js_text, pct, q, tofixed, with_ctes, xavg, xsum
+from .fixed import EXCLUDED_ZONE_IDS, EXCLUDED_ZONE_NAMES, FLAG_META, FLAG_NOTES, PAYMENT_LABELS, RAW_TRIP_COLUMNS, TRIP_COLUMNS
 
 KNOWN_ZONE = (f"z.id NOT IN ({in_list(EXCLUDED_ZONE_IDS)}) AND z.zone_name NOT IN ({in_list(EXCLUDED_ZONE_NAMES)}) "
               f"AND z.borough NOT IN ({in_list(EXCLUDED_ZONE_NAMES)})")
