@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .html_blocks import INLINE, Block, leaf_blocks
 from .html_pages import labelled_pages
 
-TRAIN_PAGES = 700
+TRAIN_PAGES = 1200
 _WORDS, _LINKS = (2, 5, 10, 20, 40, 80), (0.01, 0.3, 0.7)
 
 
@@ -69,7 +69,7 @@ class Field:
         return labels[::-1]
 
 
-def train(pages: list[tuple[str, list[int]]], penalty: float = 0.1, rounds: int = 150, rate: float = 0.6) -> Field:
+def train(pages: list[tuple[str, list[int]]], penalty: float = 0.1, rounds: int = 200, rate: float = 0.6) -> Field:
     """Full-batch maximum likelihood with all pages' chains stepped together."""
     names: dict[str, int] = {}
     chains = []
@@ -80,19 +80,20 @@ def train(pages: list[tuple[str, list[int]]], penalty: float = 0.1, rounds: int
         if blocks:
             chains.append(([[names.setdefault(x, len(names)) for x in f] for f in features(blocks)], labels))
     count, longest = len(chains), max(len(y) for _, y in chains)
-    x = np.zeros((count, longest, len(names)), np.float32)
+    x = np.zeros((sum(len(y) for _, y in chains), len(names)), np.float32)  # a row for each block of all pages
     y, there = np.zeros((count, longest), int), np.zeros((count, longest), bool)
+    row = 0
     for k, (own, labels) in enumerate(chains):
-        for t, ids in enumerate(own):
-            x[k, t, ids] = 1
+        for ids in own:
+            x[row, ids] = 1
+            row += 1
         y[k, :len(labels)], there[k, :len(labels)] = labels, True
-    flat = x[there]
     w, steps = np.zeros(len(names)), np.zeros((2, 2))
     seen_w, seen_s = np.zeros_like(w), np.zeros_like(steps)
     pairs = there[:, 1:]
     for _ in range(rounds):
         emit = np.zeros((count, longest, 2))
-        emit[..., 1] = x @ w
+        emit[there, 1] = x @ w.astype(np.float32)
         alpha, beta = np.zeros_like(emit), np.zeros_like(emit)
         alpha[:, 0] = emit[:, 0]
         for t in range(1, longest):
@@ -105,7 +106,7 @@ def train(pages: list[tuple[str, list[int]]], penalty: float = 0.1, rounds: int
         inside = 1 / (1 + np.exp(both[..., 0] - both[..., 1]))
         total = np.logaddexp(both[:, 0, 0], both[:, 0, 1])
         joint = np.exp(alpha[:, :-1, :, None] + steps + (emit + beta)[:, 1:, None, :] - total[:, None, None, None])
-        grad_w = flat.T @ (y - inside)[there] - penalty * w
+        grad_w = x.T @ (y - inside)[there].astype(np.float32) - penalty * w
         real = np.zeros((2, 2))
         np.add.at(real, (y[:, :-1][pairs], y[:, 1:][pairs]), 1)
         grad_s = real - joint[pairs].sum(axis=0) - penalty * steps

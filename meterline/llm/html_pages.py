@@ -42,7 +42,7 @@ class _Writer:
         rnd = self.rnd
         tag = rnd.choice(tags)
         # a neutral container says what it is by its name only
-        speaks = tag not in ("div", "section", "ul", "ol", "p", "td", "aside")
+        speaks = tag not in ("div", "section", "ul", "ol", "p", "td")
         attribute = f' {rnd.choice(("class", "id"))}="{rnd.choice(names)}"' if not speaks or rnd.random() < named else ""
         self.html.append(f"<{tag}{attribute}>")
         return tag
@@ -51,7 +51,7 @@ class _Writer:
         rnd = self.rnd
         tag = self.opened(*OUTSIDE[kind])
         if tag == "p":
-            self.html.append(self.words(2, 20, True))
+            self.html.append(self.words(2, rnd.choice((20, 110)), True))
             self.labels.append(0)
         elif kind == "menu" or (kind in ("side", "share", "footer") and rnd.random() < 0.5):
             for _ in range(rnd.randint(2, 7)):
@@ -61,7 +61,7 @@ class _Writer:
                 self.block(rnd.choice(("p", "div", "button", "h3", "legend")), self.words(1, 12, rnd.random() < 0.5), 0)
                 self.html.append('<input name="x">')
         elif rnd.random() < 0.35:  # text straight in the container
-            self.html.append(self.words(2, 25, True))
+            self.html.append(self.words(2, rnd.choice((25, 110)), True))
             self.labels.append(0)
         else:
             if rnd.random() < (0.7 if kind == "header" else 0.3):
@@ -69,10 +69,10 @@ class _Writer:
             for _ in range(rnd.randint(1, 5 if kind == "comments" else 3)):
                 if kind == "comments" and rnd.random() < 0.4:
                     self.html.append('<div class="comment">')
-                    self.block("p", self.words(3, 50, True), 0)
+                    self.block("p", self.words(3, rnd.choice((50, 110)), True), 0)
                     self.html.append("</div>")
                 else:
-                    self.block(rnd.choice(("p", "p", "div", "li")), self.words(2, 40, rnd.random() < 0.8), 0)
+                    self.block(rnd.choice(("p", "p", "div", "li")), self.words(2, rnd.choice((40, 110)), rnd.random() < 0.8), 0)
         self.html.append(f"</{tag}>")
 
     def article(self) -> None:
@@ -89,23 +89,23 @@ class _Writer:
         loose = rnd.random() < 0.4  # unclosed paragraphs
         for _ in range(rnd.choice((0, 1, 1, 2, 3, 4, 6, 9))):
             kind = rnd.random()
-            if kind < 0.72:
-                self.block("p", rnd.choice(("", "", "<b>")) + self.words(1, rnd.choice((3, 20, 60)), rnd.random() < 0.9) + ("<br>" if loose else ""), 1, close=not loose)
-            elif kind < 0.80:
+            if kind < 0.70:
+                self.block("p", rnd.choice(("", "", "<b>")) + self.words(1, rnd.choice((3, 20, 60, 110)), rnd.random() < 0.9) + ("<br>" if loose else ""), 1, close=not loose)
+            elif kind < 0.79:
                 self.block(rnd.choice(("h2", "h3")), self.words(1, 7, False), 1)
-            elif kind < 0.88:
+            elif kind < 0.87:
                 self.html.append("<ul>")
                 for _ in range(rnd.randint(1, 4)):
                     self.block("li", self.words(1, 15, rnd.random() < 0.5), 1)
                 self.html.append("</ul>")
-            elif kind < 0.92:
+            elif kind < 0.90:
                 self.block(rnd.choice(("blockquote", "pre")), self.words(3, 25, True), 1)
-            elif kind < 0.95:
+            elif kind < 0.93:
                 self.block("p", f'<a href="/y">{self.words(1, 5, False)}</a> {self.words(1, 15, True)}', 1)
             else:
-                self.outside(rnd.choice(("advert", "share", "side", "notice", "form", "comments")))
-        if rnd.random() < 0.2:
-            self.outside(rnd.choice(("comments", "share", "side")))
+                self.outside(rnd.choice(("advert", "share", "side", "notice", "form", "comments", "footer", "menu")))
+        if rnd.random() < 0.3:
+            self.outside(rnd.choice(("comments", "share", "side", "footer")))
         if tag:
             self.html.append(f"</{tag}>")
 
@@ -121,7 +121,7 @@ def labelled_pages(pages: int, seed: int = 7) -> list[tuple[str, list[int]]]:
             w.block("title", w.words(1, 10, False), 0)
         w.html.append("<style>p{margin:0}</style><script>var t = '</p>';</script></head><body>")
         before = [k for k in ("header", "menu", "notice", "advert", "form", "side") if rnd.random() < 0.4]
-        after = [k for k in ("comments", "side", "advert", "share", "form", "notice", "menu", "footer") if rnd.random() < 0.4]
+        after = [k for k in ("comments", "side", "header", "advert", "share", "form", "notice", "menu", "footer") if rnd.random() < 0.4]
         rnd.shuffle(before)
         wrapped = rnd.random() < 0.3
         for kind in before:
