@@ -31,9 +31,9 @@ def exact_sum(c) -> Column:
     units = F.floor(x * F.lit(1e4) + F.lit(0.5))
     whole = (F.abs(x) < F.lit(9e11)) & (units / F.lit(1e4) == x)
     rest = F.when(~whole, x.try_cast("decimal(38,18)"))
-    lost = F.count(F.when(~whole & rest.isNull(), 1))
-    whole_sum, rest_sum = F.try_sum(F.when(whole, units.try_cast("bigint"))), F.try_sum(rest)
-    overflown = (whole_sum.isNull() & (F.count(F.when(whole, 1)) > 0)) | (rest_sum.isNull() & (F.count(rest) > 0))
+    whole_sum, rest_sum, wholes, rests = F.try_sum(F.when(whole, units.try_cast("bigint"))), F.try_sum(rest), F.count(F.when(whole, 1)), F.count(rest)
+    lost = F.count(x) - wholes - rests
+    overflown = (whole_sum.isNull() & (wholes > 0)) | (rest_sum.isNull() & (rests > 0))
     total = F.coalesce(whole_sum, F.lit(0)) / F.lit(1e4) + F.coalesce(rest_sum.cast("double"), F.lit(0.0))
     return F.when(F.count(x) == 0, F.lit(None)).when((lost > 0) | overflown, F.sum(x)).otherwise(total)
 

@@ -26,11 +26,12 @@ def overview_kpis(t: Tables) -> DataFrame:
         to_fixed(exact_avg("money_per_min"), 4).alias("avg_revenue_per_minute"),
         iso_timestamp(F.min("pickup_time")).alias("earliest_trip"),
         iso_timestamp(F.max("pickup_time")).alias("latest_trip"),
-        F.count_distinct("pickup_zone").alias("unique_pickup_zones"),
-        F.count_distinct("dropoff_zone").alias("unique_dropoff_zones"),
     )
+    # distinct zones from the zone pairs: beside the sums they would multiply every trip row
+    pairs = t.trips.groupBy("pickup_zone", "dropoff_zone").agg(F.count(F.lit(1)).alias("n"))
+    zones = pairs.agg(F.count_distinct("pickup_zone").alias("unique_pickup_zones"), F.count_distinct("dropoff_zone").alias("unique_dropoff_zones"))
     flagged = soft_only(t.error_log).agg(F.count_distinct("row_num").alias("flag_rows"))
-    return cross_scalar(kpis, flagged)
+    return cross_scalar(kpis, zones, flagged)
 
 
 def trips_over_time(t: Tables, granularity: str = "day") -> DataFrame:
