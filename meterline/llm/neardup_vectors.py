@@ -43,17 +43,28 @@ def _usable(vector: list | None) -> bool:
     return bool(np.isfinite(x).all() and x.any())
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """The components without loss: as 32-bit floats if all of them are such numbers, else as 64-bit ones."""
+    with np.errstate(over="ignore"):
+        small = x.astype(np.float32)
+    return b"f" + small.tobytes() if (small.astype(float) == x).all() else b"d" + x.tobytes()
+
+
+def _values(v: bytes) -> np.ndarray:
+    return np.frombuffer(v, np.float32 if v[:1] == b"f" else float, offset=1).astype(float)
+
+
 def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """v: the vector as 64-bit floats, null if it can't link."""
+    """v: the packed vector, null if it can't link."""
     for batch in batches:
-        v = [np.array(x, float).tobytes() if lab is not None and _usable(x) else None for x, lab in zip(batch["v"].to_pylist(), batch["label"].to_pylist(), strict=True)]
+        v = [_packed(np.array(x, float)) if lab is not None and _usable(x) else None for x, lab in zip(batch["v"].to_pylist(), batch["label"].to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays([batch["id"], batch["label"], pa.array(v, pa.binary())], names=["id", "label", "v"])
 
 
 def _units(vectors: list[bytes]) -> list[np.ndarray]:
     out = []
     for v in vectors:
-        x = np.frombuffer(v)
+        x = _values(v)
         x = x / np.abs(x).max()  # so that squares neither overflow nor vanish
         out.append(x / np.sqrt(x @ x))
     return out
@@ -107,10 +118,11 @@ def _sweep(part: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
     for batch in batches:
         passes, labels, nodes, raw = (batch[c].to_pylist() for c in ("pass", "label", "node", "v"))
-        group = list(zip(passes, labels, map(len, raw), strict=True))
+        units = _units(raw)
+        group = list(zip(passes, labels, map(len, units), strict=True))
         out: list = []
         old = len(kept[0])
-        everything = (kept[0] + group, kept[1] + nodes, kept[2] + _units(raw), kept[3] + raw)
+        everything = (kept[0] + group, kept[1] + nodes, kept[2] + units, kept[3] + raw)
         _compare(*everything[:3], old, out)
         rows = [("link", a, b, None, None, None, None, None) for a, b in out]
         if seen < WINDOW:
@@ -140,11 +152,12 @@ def links(nodes: DataFrame) -> DataFrame:
 
     def across(edge: pd.DataFrame) -> pd.DataFrame:
         edge = edge.sort_values(["side", "pos"])
-        group = [(int(p), int(x), len(v)) for p, x, v in zip(edge["pass"], edge["label"], edge["v"], strict=True)]
+        units = _units(edge["v"].tolist())
+        group = [(int(p), int(x), len(u)) for p, x, u in zip(edge["pass"], edge["label"], units, strict=True)]
         out: list = []
         before = int((edge["side"] == 0).sum())
         # only pairs over the cut: a row before it and one after it, at most WINDOW apart
-        _compare(group, edge["a"].tolist(), _units(edge["v"].tolist()), before, out)
+        _compare(group, edge["a"].tolist(), units, before, out)
         return pd.DataFrame(out, columns=["a", "b"])
 
     cuts = swept.where("kind <> 'link'").select("a", "pos", "pass", "label", "v", F.when(F.col("kind") == "last", 0).otherwise(1).alias("side"),
