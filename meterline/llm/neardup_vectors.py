@@ -1,4 +1,4 @@
-"""Near-duplicate vectors by sorted projection passes.
+"""Near-duplicate vectors by sorted projection passes, completed by an exact comparison of tiles.
 
 Each pass gives every vector a key of random-hyperplane bits; vectors are ordered by (pass, label, key) and each is
 compared with the next WINDOW in that order. Pairs of one label whose cosine in double precision reaches the
@@ -6,7 +6,12 @@ threshold are links; links of all passes are united. Equal vectors are one node
 costs one comparison. The order is cut into ranges by Spark; the rows at both ends of each range are kept and compared
 once more across the cut. No task holds more than a range's window.
 
-The search is approximate: a pair is found if any pass brings it together. Tests hold the recall against all pairs.
+A pass misses pairs: by its window in a cluster of many different vectors, elsewhere by chance. So the order of one pass
+is cut into tiles of bounded bytes, and each two tiles of a label and dimension are compared in full, unless the angle
+between their centres is larger than both radii and the threshold's angle together; vectors too far from the other
+tile's centre are left out in the same way. A pair of tiles gives link counts and one tree for each connected part,
+never its links one by one. Links, counts and components are those of all pairs. Where the bound prunes nothing (vectors spread
+evenly in many dimensions) this step's work grows with the square of a label's different vectors.
 
 Defined results: vectors that are null, zero or hold null or non-finite components, and rows without a label, link
 with nothing and are their own component; vectors of different dimension don't link; rows with the same id are
@@ -30,6 +35,12 @@ THRESHOLD = 0.98
 PASSES = 20
 BITS = 62
 WINDOW = 96
+#: Vectors of one tile; a pair of tiles is one task's work.
+TILE_BYTES = 1 << 20
+#: Rows compared at once inside a pair of tiles.
+_STRIP = 512
+#: Added to angles before a bound is trusted, against rounding.
+_SLACK = 1e-6
 
 
 def planes(dim: int, number: int, seed: int = 5) -> np.ndarray:
@@ -76,8 +87,18 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = _units(batch["v"].to_pylist())
         for number in range(PASSES):
             keys = [int(((u @ planes_of(len(u), number)) > 0) @ weights) for u in units]
-            yield pa.RecordBatch.from_arrays([pa.array([number] * len(keys), pa.int32()), batch["label"], pa.array(keys, pa.int64()), batch["node"], batch["v"]],
-                                             names=["pass", "label", "key", "node", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array([number] * len(keys), pa.int32()), batch["label"], pa.array(map(len, units), pa.int32()), pa.array(keys, pa.int64()), batch["node"], batch["v"]],
+                                             names=["pass", "label", "dim", "key", "node", "v"])
+
+
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Dimension and the key of pass 0."""
+    weights = 1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)
+    for batch in batches:
+        units = _units(batch["v"].to_pylist())
+        keys = [int(((u @ planes_of(len(u), 0)) > 0) @ weights) for u in units]
+        yield pa.RecordBatch.from_arrays([batch["label"], pa.array(map(len, units), pa.int32()), pa.array(keys, pa.int64()), batch["node"], batch["copies"], batch["v"]],
+                                         names=["label", "dim", "key", "node", "copies", "v"])
 
 
 _planes: dict[tuple[int, int], np.ndarray] = {}
@@ -141,8 +162,8 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def links(nodes: DataFrame) -> DataFrame:
     """(a, b) of the linked pairs found among ``nodes`` (node, label, v), a < b."""
-    keyed = nodes.mapInArrow(_keyed, "pass int, label bigint, key bigint, node bigint, v binary")
-    ordered = keyed.repartitionByRange("pass", "label", "key").sortWithinPartitions("pass", "label", "key", "node")
+    keyed = nodes.mapInArrow(_keyed, "pass int, label bigint, dim int, key bigint, node bigint, v binary")
+    ordered = keyed.repartitionByRange("pass", "label", "dim", "key").sortWithinPartitions("pass", "label", "dim", "key", "node")
 
     def sweep(batches):
         from pyspark import TaskContext
@@ -167,6 +188,111 @@ def links(nodes: DataFrame) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
 
 
+_TILE = "tile bigint, label bigint, dim int, nodes binary, copies binary, vectors binary, centre array<double>, radius double"
+
+
+def _tiles(part: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tiles of one range: neighbours in its order, of one label and dimension."""
+    group, held, made = None, [], 0
+
+    def tile() -> pa.RecordBatch:
+        x = np.stack(_units([v for _, _, v in held]))
+        centre = x.mean(axis=0)
+        centre = centre / np.linalg.norm(centre) if np.linalg.norm(centre) > 1e-9 else x[0]
+        row = [(part << 33) + made, *group, np.array([n for n, _, _ in held], np.int64).tobytes(), np.array([c for _, c, _ in held], np.int64).tobytes(),
+               _packed(np.stack([_values(v) for _, _, v in held])), centre.tolist(), float(_angle(x @ centre).max())]
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.float64()), pa.float64())
+        return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, kinds, strict=True)], names=[c.split()[0] for c in _TILE.split(", ")])
+
+    for batch in batches:
+        for label, dim, node, copies, v in zip(*(batch[c].to_pylist() for c in ("label", "dim", "node", "copies", "v")), strict=True):
+            if held and (group != (label, dim) or (len(held) + 1) * len(v) > TILE_BYTES):
+                yield tile()
+                held, made = [], made + 1
+            group = (label, dim)
+            held.append((node, copies, v))
+    if held:
+        yield tile()
+
+
+def _angle(cosine: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(cosine, -1, 1))
+
+
+def _linked(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which rows of x and y are linked. 32-bit products decide where their error can't matter, 64-bit ones elsewhere."""
+    error = (x.shape[1] + 8) * 2.0 ** -23
+    x32, y32, out = x.astype(np.float32), y.astype(np.float32), np.zeros((len(x), len(y)), bool)
+    for k in range(0, len(x), _STRIP):
+        cosine = x32[k:k + _STRIP] @ y32.T
+        out[k:k + _STRIP] = cosine >= THRESHOLD + error
+        i, j = np.nonzero((cosine >= THRESHOLD - error) & ~out[k:k + _STRIP])
+        for n in range(0, len(i), 1 << 14):
+            a, b = i[n:n + (1 << 14)] + k, j[n:n + (1 << 14)]
+            out[a, b] = (x[a] * y[b]).sum(axis=1) >= THRESHOLD
+    return out
+
+
+def _trees(linked: np.ndarray, nodes: np.ndarray, others: np.ndarray) -> list[tuple[int, int]]:
+    """(node, root) that tie the connected parts of a table of links together."""
+    out, left, free = [], linked.any(axis=1), np.ones(linked.shape[1], bool)
+    for root in np.flatnonzero(left):
+        new = np.array([root]) if left[root] else np.array([], int)
+        left[root] = False
+        while len(new):
+            columns = np.flatnonzero(linked[new].any(axis=0) & free)
+            free[columns] = False
+            out += [(n, int(nodes[root])) for n in [*nodes[new].tolist(), *others[columns].tolist()]]
+            new = np.flatnonzero(linked[:, columns].any(axis=1) & left)
+            left[new] = False
+    return [(n, r) for n, r in out if n != r]
+
+
+def _tile_pair(pair: pd.DataFrame) -> pd.DataFrame:
+    """Of two tiles, or one and itself: (node, linked copies) and (node, root) of what is connected."""
+    rows = []
+    for _, t in pair.sort_values("tile").iterrows():
+        raw = _values(t["vectors"]).reshape(-1, t["dim"])
+        x = raw / np.abs(raw).max(axis=1, keepdims=True)
+        x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+        rows.append((x, np.frombuffer(t["nodes"], np.int64), np.frombuffer(t["copies"], np.int64), np.array(t["centre"]), t["radius"]))
+    one, two = rows[0], rows[-1]
+    reach = np.arccos(THRESHOLD) + _SLACK
+    keep = [np.flatnonzero(_angle(a[0] @ b[3]) <= b[4] + reach) for a, b in ((one, two), (two, one))]
+    (x, nodes, copies), (y, others, other_copies) = ([c[k] for c in t[:3]] for t, k in zip((one, two), keep, strict=True))
+    linked = _linked(x, y)
+    if len(rows) == 1:
+        np.fill_diagonal(linked, False)
+    i, j = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
+    linked, nodes, others = linked[np.ix_(i, j)], nodes[i], others[j]
+    counted = [*zip(nodes.tolist(), (linked @ other_copies[j]).tolist())]
+    if len(rows) == 2:
+        counted += zip(others.tolist(), (copies[i] @ linked).tolist())
+    found = [(n, None, c) for n, c in counted] + [(n, r, None) for n, r in _trees(linked, nodes, others)]
+    return pd.DataFrame({c: pd.array([f[k] for f in found], "Int64") for k, c in enumerate(("node", "root", "others"))})
+
+
+def exact_links(nodes: DataFrame) -> DataFrame:
+    """From all pairs of ``nodes`` (node, label, copies, v): rows (node, others) with link counts to be summed, and rows
+    (node, root) that are connected."""
+    placed = nodes.select("node", "label", "copies", "v").mapInArrow(_placed, "label bigint, dim int, key bigint, node bigint, copies bigint, v binary")
+    ordered = placed.repartitionByRange("label", "dim", "key").sortWithinPartitions("label", "dim", "key", "node")
+
+    def cut(batches):
+        from pyspark import TaskContext
+        return _tiles(TaskContext.get().partitionId(), batches)
+
+    tiles = written(ordered.mapInArrow(cut, _TILE), "vector-tiles")
+    balls = tiles.select("label", "dim", F.col("tile").alias("a"), F.col("centre").alias("ca"), F.col("radius").alias("ra"))
+    cosine = F.aggregate(F.zip_with("ca", "cb", lambda x, y: x * y), F.lit(0.0), lambda x, y: x + y)
+    apart = F.acos(F.greatest(F.least(cosine, F.lit(1.0)), F.lit(-1.0)))
+    near = (balls.join(balls.toDF("label", "dim", "b", "cb", "rb"), ["label", "dim"])
+            .where((F.col("a") <= F.col("b")) & (apart <= F.col("ra") + F.col("rb") + float(np.arccos(THRESHOLD)) + _SLACK)).select("a", "b"))
+    sides = written(near, "tile-pairs").select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("tile"))
+    compared = sides.join(tiles, "tile").groupBy("a", "b").applyInPandas(_tile_pair, "node bigint, root bigint, others bigint")
+    return written(compared, "tile-links")
+
+
 def near_duplicates(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """(id, n_links, component_id, kept), one row per row of ``table``."""
     rows = table.select(F.col(id_col).cast("bigint").alias("id"), F.col(label_col).cast("bigint").alias("label"), F.col(vec_col).alias("v"))
@@ -176,9 +302,9 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vec_col: str = "em
     nodes = written(able.groupBy("label", "v").agg(F.min("id").alias("first_id"), F.count("*").alias("copies"))
                     .withColumn("node", F.monotonically_increasing_id()), "vector-nodes")
     pairs = written(links(nodes.select("node", "label", "v")), "vector-links")
-    both = pairs.union(pairs.select("b", "a")).toDF("node", "other")
-    degree = both.join(nodes.select(F.col("node").alias("other"), "copies"), "other").groupBy("node").agg(F.sum("copies").alias("others"))
-    reach = written(components(pairs), "vector-components")
+    exact = exact_links(nodes)
+    degree = exact.where("root is null").groupBy("node").agg(F.sum("others").alias("others"))
+    reach = written(components(pairs.union(exact.where("root is not null").select("node", "root"))), "vector-components")
     known = (nodes.join(degree, "node", "left").join(reach, "node", "left")
              .select("label", "v", "first_id", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("root")))
     first = known.groupBy("root").agg(F.min("first_id").alias("component_id"))

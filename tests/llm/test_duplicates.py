@@ -131,6 +131,32 @@ def test_windows_reach_over_range_cuts(spark):
     assert (got["component_id"] == 0).all() and got["n_links"].sum() >= 0.9 * 300 * 299
 
 
+def test_links_of_a_cluster_beyond_all_windows(spark):
+    # more different vectors than PASSES * 2 * WINDOW = 3840 around one, and a spread of others linked with some of them only
+    rng = np.random.default_rng(14)
+    base = rng.standard_normal(64)
+    noise = np.r_[np.full(4100, 0.03), np.linspace(0.05, 0.4, 400)]
+    x = (base + noise[:, None] * rng.standard_normal((4500, 64))).astype(np.float32)
+    table = spark.createDataFrame([(k, v, 1) for k, v in enumerate(x.tolist())] + [(k, v, 2) for k, v in enumerate(x[4000:4200].tolist(), 5000)]
+                                  + [(6000 + k, v[:32], 1) for k, v in enumerate(x[:150].tolist())], "vec_id long, embedding array<float>, label int")
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    w = x[:150, :32].astype(float) / np.linalg.norm(x[:150, :32].astype(float), axis=1, keepdims=True)
+    want = [((z @ z.T) >= 0.98).sum(axis=1) - 1 for z in (u, u[4000:4200], w)]
+    assert want[0].max() > 3840 and (want[0] == 0).any()
+    got = neardup_vectors.near_duplicates(table.repartition(3)).toPandas().sort_values("id")
+    assert got["n_links"].tolist() == np.concatenate(want).tolist()
+    assert (got["component_id"].to_numpy()[:4500] == 0).sum() == (want[0] > 0).sum()
+
+
+def test_tiles_bound_and_trees():
+    rng = np.random.default_rng(15)
+    links = rng.random((40, 30)) < 0.03
+    trees = neardup_vectors._trees(links, np.arange(40), np.arange(100, 130))
+    group = lambda pairs: closure(130, pairs)
+    assert group(trees) == group([(int(i), int(j) + 100) for i, j in zip(*np.nonzero(links))])
+    assert len(trees) < 70
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(6)
     rows = [(k, rng.integers(-3, 4, 10).astype(float).tolist()) for k in range(700)] + [(5, [0.5] * 10), (None, [3.0] * 10), (50, None), (100, [float("inf")] + [0.0] * 9), (150, [1.0, 2.0])]
