@@ -1,7 +1,7 @@
 """URL filter: host and path rules, and a path-template tree for urls that no rule fits.
 
 Per host, digit runs in path segments become a mark and, level by level, rare children of crowded nodes become a
-wildcard. Branches of a host that look alike, with the same shapes below and no statistical difference in their
+wildcard, down to the last segment of every path. Branches of a host that look alike, with the same shapes below and no statistical difference in their
 labels (Wilson intervals), are merged. Labels are the verdicts of the rules. A template goes when its smoothed
 share of blocked labels is high enough and enough of its urls are labelled; without such evidence it stays.
 
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import written
 
+#: Segments that ``oracle`` tells apart: it holds for paths of no more than these. The Spark code has no such bound.
 LEVELS = 3
 CROWD = 12
 MIN_LABELLED = 5
@@ -60,46 +61,62 @@ def _upper_and_lower(blocked: Column, n: Column) -> tuple[Column, Column]:
     return centre + width, centre - width
 
 
-def _with_segments(rows: DataFrame) -> DataFrame:
-    """s1..sN: marked segments ('' where there are fewer); tail: '**' if there are more."""
-    parts = F.filter(F.split(F.regexp_replace("path", "[0-9]+", "{n}"), "/"), lambda x: x != "")
-    rows = rows.withColumn("parts", parts)
-    segments = [F.coalesce(F.get("parts", F.lit(k)), F.lit("")).alias(f"s{k + 1}") for k in range(LEVELS)]
-    return rows.select("*", *segments, F.when(F.size("parts") > LEVELS, "**").otherwise("").alias("tail")).drop("parts")
+def _segments(path: Column) -> Column:
+    """Marked segments."""
+    return F.filter(F.split(F.regexp_replace(path, "[0-9]+", "{n}"), "/"), lambda x: x != "")
 
 
 def _generalised(paths: DataFrame) -> DataFrame:
-    """g1..gN beside s1..sN: '*' for a child that holds less than 1/CROWD of a node with more than CROWD children."""
-    for k in range(1, LEVELS + 1):
-        above, own = ["host", *[f"g{j}" for j in range(1, k)]], f"s{k}"
-        children = paths.groupBy(*above, own).agg(F.sum("n").alias("child_n"))
-        nodes = children.groupBy(*above).agg(F.count("*").alias("kinds"), F.sum("child_n").alias("node_n"))
-        rare = (children.join(nodes, above).where((F.col("kinds") > CROWD) & (F.col("child_n") * CROWD < F.col("node_n")))
-                .select(*above, own, F.lit("*").alias("star")))
-        paths = paths.join(rare, [*above, own], "left").withColumn(f"g{k}", F.coalesce("star", own)).drop("star")
-        paths = written(paths, "url-level")  # each level reads the one before several times
-    return paths
+    """g beside parts: the segments, with '*' for a child that holds less than 1/CROWD of a node with more than CROWD
+    children. Where a path ends it is a child '' of its node.
+
+    One step for each level. A node below which fewer than CROWD paths go on has no crowded node under it, so its paths
+    are finished: a few deep paths cost no steps of their own."""
+    steps, done, k = paths.withColumn("g", F.array().cast("array<string>")), [], 0
+    node = ["host", "g"]
+    while True:
+        deep = steps.groupBy(*node).agg(F.count_if(F.size("parts") > k).alias("deep")).where(F.col("deep") >= CROWD).select(*node, F.lit(True).alias("live"))
+        told = written(steps.join(deep, node, "left").withColumn("live", F.coalesce("live", F.lit(False))), "url-nodes")
+        rest = F.when(F.size("parts") > k, F.slice("parts", k + 1, F.greatest(F.size("parts") - k, F.lit(0)))).otherwise(F.array().cast("array<string>"))
+        done.append(told.where(~F.col("live")).drop("live").withColumn("g", F.array_remove(F.concat("g", rest), "")))
+        live = told.where("live").drop("live")
+        if live.isEmpty():
+            break
+        live = live.withColumn("own", F.coalesce(F.get("parts", F.lit(k)), F.lit("")))
+        children = live.groupBy(*node, "own").agg(F.sum("n").alias("child_n"))
+        nodes = children.groupBy(*node).agg(F.count("*").alias("kinds"), F.sum("child_n").alias("node_n"))
+        rare = (children.join(nodes, node).where((F.col("kinds") > CROWD) & (F.col("child_n") * CROWD < F.col("node_n")))
+                .select(*node, "own", F.lit("*").alias("star")))
+        steps = live.join(rare, [*node, "own"], "left").withColumn("g", F.concat("g", F.array(F.coalesce("star", "own")))).drop("star", "own")
+        steps = written(steps, "url-level")  # each level reads the one before several times
+        k += 1
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def rejected_paths(pages: DataFrame) -> DataFrame:
-    """(host, s1..sN, tail) of the marked paths whose merged template is rejected. ``pages`` has host, the segment
-    columns and label (allow, block or null)."""
-    marks, marked = [f"s{k}" for k in range(1, LEVELS + 1)], [f"g{k}" for k in range(1, LEVELS + 1)]
+    """(host, parts) of the marked paths whose merged template is rejected. ``pages`` has host, parts and label (allow,
+    block or null)."""
     count = lambda verdict: F.sum((F.coalesce("label", F.lit("")) == verdict).cast("long"))
-    paths = pages.groupBy("host", *marks, "tail").agg(F.count("*").alias("n"), count("allow").alias("allowed"), count("block").alias("blocked"))
+    paths = pages.groupBy("host", "parts").agg(F.count("*").alias("n"), count("allow").alias("allowed"), count("block").alias("blocked"))
     paths = _generalised(written(paths, "url-paths"))
-    below = F.concat_ws("/", *marked[1:], "tail")
-    branches = paths.groupBy("host", "g1").agg(F.array_join(F.array_sort(F.collect_set(below)), " ").alias("shape"),
-                                               F.sum("allowed").alias("a"), F.sum("blocked").alias("b"))
+    paths = paths.withColumn("g1", F.coalesce(F.get("g", F.lit(0)), F.lit(""))).withColumn("below", F.concat_ws("/", F.slice("g", 2, F.greatest(F.size("g"), F.lit(1)))))
+    paths = written(paths.select("host", "parts", "g1", "below", "allowed", "blocked"), "url-templates")
+    # a branch's shape is the set of what lies below it, as its size and two sums of hashes, so that no task holds the set
+    templates = paths.groupBy("host", "g1", "below").agg(F.sum("allowed").alias("a"), F.sum("blocked").alias("b"))
+    hashed = lambda seed: F.sum(F.xxhash64("below", F.lit(seed)).cast("decimal(20,0)")).cast("string")
+    branches = templates.groupBy("host", "g1").agg(F.concat_ws(" ", F.count("*").cast("string"), hashed(1), hashed(2)).alias("shape"), F.sum("a").alias("a"), F.sum("b").alias("b"))
     n = F.col("a") + F.col("b")
     upper, lower = _upper_and_lower(F.col("b"), F.when(n > 0, n))
     kind = F.when(n == 0, "none").when(lower > 0.5, "block").when(upper < 0.5, "allow").otherwise("mixed")
     branches = branches.select("host", "g1", F.concat_ws("|", kind, "shape").alias("branch"))
-    placed = written(paths.join(branches, ["host", "g1"]).withColumn("below", below), "url-branches")
+    placed = written(paths.join(branches, ["host", "g1"]), "url-branches")
     merged = placed.groupBy("host", "branch", "below").agg(F.sum("allowed").alias("a"), F.sum("blocked").alias("b"))
     share = (F.col("b") + 0.5 * SMOOTHING) / (F.col("a") + F.col("b") + SMOOTHING)
     gone = merged.where((F.col("a") + F.col("b") >= MIN_LABELLED) & (share >= REJECT_AT)).select("host", "branch", "below")
-    return placed.join(gone, ["host", "branch", "below"]).select("host", *marks, "tail")
+    return placed.join(gone, ["host", "branch", "below"]).select("host", "parts")
 
 
 def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -107,10 +124,9 @@ def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col:
     host, path = host_and_path(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
     rows = rows.withColumn("found", rule_of(rules, F.col("host"), F.col("path")))
-    rows = _with_segments(rows.select("id", "host", "path", F.col("found.rule").alias("rule"), F.col("found.verdict").alias("label")))
-    keys = ["host", *[f"s{k}" for k in range(1, LEVELS + 1)], "tail"]
+    rows = rows.select("id", "host", "path", F.col("found.rule").alias("rule"), F.col("found.verdict").alias("label"), _segments(F.col("path")).alias("parts"))
     gone = rejected_paths(rows).withColumn("gone", F.lit("block"))
-    return rows.join(gone, keys, "left").select("id", "host", "path", "rule", F.coalesce("label", "gone", F.lit("allow")).alias("verdict"))
+    return rows.join(gone, ["host", "parts"], "left").select("id", "host", "path", "rule", F.coalesce("label", "gone", F.lit("allow")).alias("verdict"))
 
 
 def oracle(rules: list[Rule]) -> str:

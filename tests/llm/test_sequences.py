@@ -174,6 +174,16 @@ def test_url_templates_are_rejected_by_labels(spark):
     assert urlfilter.judge(spark.createDataFrame([], "page_id long, url string"), rules).count() == 0
 
 
+def test_url_branches_that_part_at_segment_five(spark):
+    rules = [urlfilter.Rule("block", "a.org", "/a/b/c/d/casino/x"), urlfilter.Rule("allow", "a.org", "/a/b/c/d/news/x")]
+    word = lambda k: chr(97 + k % 26) + chr(97 + k // 26)
+    urls = [f"http://a.org/a/b/c/d/{kind}/x{word(k)}/i" for kind in ("casino", "news") for k in range(60)]
+    urls += [f"http://a.org/a/b/c/d/{kind}/odd{word(k)}/i" for kind in ("casino", "news") for k in range(10)]
+    urls += ["http://a.org/" + "z/" * 400]
+    rows = urlfilter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).orderBy("id").collect()
+    assert [r["verdict"] for r in rows] == ["block"] * 60 + ["allow"] * 60 + ["block"] * 10 + ["allow"] * 11
+
+
 def test_url_query_is_native_and_matches_sql(spark):
     import duckdb
     from meterline.llm.queries import op9_url_filter
