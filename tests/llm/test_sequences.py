@@ -123,6 +123,35 @@ def test_chat_spans_and_rewriting_templates():
                 r.add(t)
 
 
+def rendered(template, turns):
+    r = chat.IncrementalRenderer(template)
+    for t in turns:
+        r.add(t)
+    r.settle()
+    return r.take()
+
+
+def test_chat_templates_that_look_further_back(spark):
+    turns = [("assistant" if k % 2 else "user", f"t{k} {CONTROL}") for k in range(150)]
+    number = lambda m: "".join(f"[{k}]" + chat.chat_template([t]) for k, t in enumerate(m))
+
+    def alternating(m):
+        assert all(a != b for (a, _), (b, _) in zip(m, m[1:])), "roles must alternate"
+        return chat.chat_template(m)
+
+    for template in (number, alternating, lambda m: "".join(chat.chat_template([t]) + "#" * (k >= 70) for k, t in enumerate(m))):
+        out = rendered(template, turns)
+        assert [s for s, _, _ in out] == [template(turns[:k + 1])[len(template(turns[:k])):] for k in range(150)]
+        assert [chat.unescape(s[a:b]) for s, a, b in out] == [t for _, t in turns]
+    for last in (3, 70, 99, 140, 149):  # keeps the last turns only
+        with pytest.raises(chat.RewritesHistory):
+            rendered(lambda m: chat.chat_template(m[-last:]), turns)
+    rows = [(7, k, role, text) for k, (role, text) in enumerate(turns)] + [(8, k, role, text) for k, (role, text) in enumerate(turns[:70])]
+    got = chat.format_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), number).orderBy("conv_id", "seq").collect()
+    assert ["".join(r["span"] for r in got if r["conv_id"] == c) for c in (7, 8)] == [number(turns), number(turns[:70])]
+    assert [r["seq"] for r in got] == [*range(150), *range(70)]
+
+
 def test_scan_equals_the_library():
     model, rnd = pieces_scan.piece_model(PIECES), random.Random(2)
     texts = ["a  b   c", " lead", "trail ", "   ", "ab" * 200, "aaaa " * 30, "the" * 100 + " " * 40 + "end", "é日本 \n\n\t🙂" * 20,
