@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html_crf, langid, neardup_vectors, packing, pieces_scan, quality, simhash, topk, urlfilter
+from . import byte_bpe, chat, html_crf, langid, neardup_vectors, packing, periodic_runs, pieces_scan, quality, simhash, topk, urlfilter, whitening
 from .common import id_crc, read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 RULES = [urlfilter.Rule("allow", "com", "/"), urlfilter.Rule("block", "example.com", "/en/"), urlfilter.Rule("allow", "www.example.com", "/en/"),
@@ -82,8 +83,42 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = byte_bpe.encode(read_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+    return byte_bpe.decode(encoded, RANKS, public_tokenizers.PATTERN).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.components(whitening.whiten(read_table(spark, sf_dir, "embeddings")))
+    return found.select(F.col("id").alias("vec_id"), "component", "n", F.col("deviation").try_cast("bigint").alias("deviation"), "whitened", "explained", "identity_error")
+
+
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): documents whose crc32 of the id ends in 0 repeat a stretch of their own words up to the end."""
+    h = id_crc("doc_id")
+    words = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"), F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("w"))
+    sized = words.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int")))
+    period = sized.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    rest = F.col("n") - F.col("a")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int"))), F.lit(1), rest)
+    repeated = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), tail), " ")
+    return period.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.detect(repeated_tails(read_table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.select("doc_id", "runs", "collapsed", best.alias("best")).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(F.lit("")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_embedding_near_dedup, op3_html_text, op4_pack, op5_chat_format, op6_quality, op7_sentencepiece, op8_simhash, op9_url_filter, op10_exact_top_k)}
+    return {f.__name__: f for f in (op1_language_id, op2_embedding_near_dedup, op3_html_text, op4_pack, op5_chat_format, op6_quality, op7_sentencepiece, op8_simhash, op9_url_filter, op10_exact_top_k, op11_byte_bpe,
+                                     op12_whitening, op13_periodic_runs)}
 
 
 #: Inner products as SQL: every query row against all rows, with the same floor and tie rule.
