@@ -33,6 +33,8 @@ ORDER = 4
 FIT_ROWS = 1_200
 #: Rejected is what lies this many deviations above the language's own cross-entropy at that length.
 REJECT_AT = 8.0
+#: Codes that a symbol can have.
+ALPHABET = 1 << 16
 _GAP = "\x00" * (ORDER - 1)
 _BLOCK = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)  # odd, so multiplying is a bijection of 64-bit words
@@ -40,9 +42,7 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)  # odd, so multiplying is a bijection of 64
 
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
-    out = np.array([unicodedata.category(chr(c))[0] == "L" for c in range(0x10000)])
-    out[0xFFFF] = True  # stands for all letters beyond the basic plane
-    return out
+    return np.array([unicodedata.category(chr(c))[0] == "L" for c in range(0x110000)])
 
 
 def _symbols(text: str, after_letter: bool = False) -> tuple[np.ndarray, np.ndarray, bool]:
@@ -50,8 +50,8 @@ def _symbols(text: str, after_letter: bool = False) -> tuple[np.ndarray, np.ndar
     whether it ends in a letter."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
     gap = codes == 0
-    codes = np.minimum(codes, 0xFFFF)
     letter = _letters()[codes]
+    codes = np.minimum(codes, 0xFFFF)  # which stands for all letters beyond the basic plane
     keep = letter | gap
     keep[1:] |= letter[:-1]  # one space after each run of letters
     keep[:1] |= after_letter
@@ -139,7 +139,7 @@ class LanguageModels:
     languages: list[str]
     grams: list[HashArray]      # by order 1..ORDER: log-probabilities
     contexts: list[HashArray]   # by context length 1..ORDER-1: log-weights of the lower order
-    floor: float                # log-probability of a symbol that no language has
+    floor: np.ndarray           # log-probability of a symbol that no language has, by language
     limits: np.ndarray          # [languages, 3]: mean, squared deviation between texts, and per character
     temperature: float = 1.0
 
@@ -193,8 +193,7 @@ def estimate(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> LanguageModels
     by_order: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {ORDER: [counts[x] for x in languages]}
     for order in range(ORDER - 1, 0, -1):  # continuation counts: in how many grams of one more symbol it ends
         by_order[order] = [np.unique(keys & _mask(order), return_counts=True) for keys, _ in by_order[order + 1]]
-    size = len(np.unique(np.concatenate([k for k, _ in by_order[1]] or [np.zeros(0, np.uint64)]))) + 1
-    floor = -np.log(size)
+    size = ALPHABET  # the uniform floor: a letter that no language has is no likelier than any other
     grams, contexts, below, below_keys = [], [], None, None
     for order in range(1, ORDER + 1):
         union = np.unique(np.concatenate([k for k, _ in by_order[order]]))
@@ -213,10 +212,12 @@ def estimate(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> LanguageModels
             direct[np.searchsorted(union, keys)] = (count - discount) / mass[at]
             prob[:, k] = direct + weights[np.searchsorted(heads, union >> np.uint64(16)), k] * base[:, k]
         grams.append(HashArray(union, np.log(prob).astype(np.float32)))
-        if order > 1:
+        if order == 1:
+            floor = np.log(weights[0] / size)
+        else:
             contexts.append(HashArray(heads, np.log(weights).astype(np.float32)))
         below, below_keys = prob, union
-    return LanguageModels(languages, grams, contexts, float(floor), np.tile([1e9, 0.0, 0.0], (len(languages), 1)))
+    return LanguageModels(languages, grams, contexts, floor, np.tile([1e9, 0.0, 0.0], (len(languages), 1)))
 
 
 def calibrate(model: LanguageModels, texts: list[str], truth: list[str]) -> LanguageModels:
@@ -249,7 +250,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         "id is not null and t is not null and lang is not null")
     rates = {r["lang"]: min(1.0, fit_rows / r["n"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not rates:
-        return LanguageModels([], [], [], 0.0, np.zeros((0, 3)))
+        return LanguageModels([], [], [], np.zeros(0), np.zeros((0, 3)))
     share = F.create_map(*[F.lit(x) for kv in rates.items() for x in kv])[F.col("lang")]
     taken = rows.where(F.pmod(F.xxhash64("id", F.lit(21)), F.lit(1 << 30)) < share * F.lit(float(1 << 30)))
     held = hash_below("id", 0.25, 22)
@@ -266,7 +267,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     sums = (taken.where(~held).select("lang", "t").mapInArrow(count, "lang string, gram bigint, n bigint")
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas())
     if not len(sums):
-        return LanguageModels([], [], [], 0.0, np.zeros((0, 3)))
+        return LanguageModels([], [], [], np.zeros(0), np.zeros((0, 3)))
     counts = {}
     for lang, part in sums.groupby("lang"):
         keys, order = part["gram"].to_numpy(np.int64).view(np.uint64), None
