@@ -5,7 +5,7 @@ share, closing mark. The chain has two labels, article and outside. Weights are
 maximum conditional likelihood (forward-backward, L2 penalty) on labelled pages and pages are decoded by Viterbi.
 
 Defined results: a null or empty page and a page without article blocks give an empty text; pages are independent, so
-repeated rows give equal results; malformed markup is read like a browser would, as far as blocks go; whole pages
+repeated rows give equal results; malformed markup is read up to its end in linear time (html_blocks); whole pages
 are read however long. Extra columns are neither read nor required.
 """
 
@@ -13,14 +13,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .html_blocks import INLINE, Block, leaf_blocks
+from .html_blocks import Block, leaf_blocks
 from .html_pages import labelled_pages
 
 TRAIN_PAGES = 1200
@@ -31,13 +31,13 @@ def features(blocks: list[Block]) -> list[list[str]]:
     out = []
     for b in blocks:
         words = b.text.count(" ") + 1
-        own = next((t for t in reversed(b.tags) if t not in INLINE), "none")
+        tags, own = b.around.tags, b.around.own
         f = ["bias", f"own={own}", f"words={sum(words > x for x in _WORDS)}", f"links={sum(b.linked / len(b.text) > x for x in _LINKS)}",
              "stop" if b.text[-1] in ".!?…。！？" else "nostop"]
-        f += {f"in={t}" for t in b.tags} | {f"name={x}" for x in b.names}
-        where = "inside" if "article" in b.tags or "main" in b.tags else "around"
+        f += [f"in={t}" for t in tags] + [f"name={x}" for x in b.around.names]
+        where = "inside" if "article" in tags or "main" in tags else "around"
         f += [where, f"{where}/own={own}"]
-        if "header" in b.tags:
+        if "header" in tags:
             f.append(f"{where}/header")
         out.append(f)
     return out
@@ -49,6 +49,11 @@ class Field:
     weights: dict[str, float]
     steps: tuple[tuple[float, float], tuple[float, float]]
 
+    @cached_property
+    def known(self) -> frozenset[str]:
+        """Tags and names that have a weight."""
+        return frozenset(k.partition("=")[2] for k in self.weights if k.startswith(("in=", "name="))) | {"article", "main", "header"}
+
     def decode(self, blocks: list[Block]) -> list[int]:
         """Most likely labels (Viterbi); ties go to outside."""
         (s00, s01), (s10, s11) = self.steps
@@ -121,7 +126,7 @@ def trained(pages: int = TRAIN_PAGES) -> Field:
 
 
 def main_text(html: str | None, model: Field) -> str:
-    blocks = leaf_blocks(html or "")
+    blocks = leaf_blocks(html or "", model.known)
     return "\n\n".join(b.text for b, label in zip(blocks, model.decode(blocks), strict=True) if label)
 
 

@@ -64,17 +64,49 @@ def test_language_held_out(spark, docs):
     assert got["rejected"].mean() < 0.01
 
 
+def slow_kneser_ney(texts, order):
+    """Probability of a symbol after a context by the textbook recursion over plain dictionaries."""
+    from collections import Counter
+    grams = {order: Counter()}
+    for text in texts:
+        padded = " " * (order - 1) + "".join(c if c.isalpha() else " " for c in text.lower())
+        grams[order].update(padded[k:k + order] for k in range(len(padded) - order + 1))
+    for n in range(order - 1, 0, -1):
+        grams[n] = Counter(g[1:] for g in grams[n + 1])
+
+    def probability(context, symbol):
+        n = len(context) + 1
+        lower = 1 / langid.ALPHABET if n == 1 else probability(context[1:], symbol)
+        after = {g: c for g, c in grams[n].items() if g[:-1] == context}
+        if not after:
+            return lower
+        once, twice = (sum(c == k for c in grams[n].values()) for k in (1, 2))
+        discount = min(0.95, max(0.05, once / max(1, once + 2 * twice)))
+        mass = sum(after.values())
+        return max(0.0, after.get(context + symbol, 0) - (discount if context + symbol in after else 0)) / mass + discount * len(after) / mass * lower
+    return probability
+
+
+def test_kneser_ney_against_plain_recursion():
+    texts = {"a": ["abracadabra cadabra", "bar", "a ba bra"], "b": ["lorem ipsum dolor", "ipse dolorum"]}
+    m = langid.estimate({k: langid.count_grams(v) for k, v in texts.items()})
+    slow = {k: slow_kneser_ney(v, langid.ORDER) for k, v in texts.items()}
+    for text in ("abrabar", "dolor", "  l", "zzzz", "lorabra", "a b c d", "ém a"):
+        codes = [ord(c) for c in text]
+        for at in range(langid.ORDER - 1, len(text)):
+            key = np.uint64(0)
+            for c in codes[at - langid.ORDER + 1:at + 1]:
+                key = (key << np.uint64(16)) | np.uint64(c)
+            got = np.exp(m._log_probs(np.array([key], np.uint64))[0].astype(float))
+            want = [slow[k](text[at - langid.ORDER + 1:at], text[at]) for k in m.languages]
+            assert got == pytest.approx(want, rel=1e-4), (text, at)
+
+
 def test_kneser_ney_sums_to_one():
-    counts = {"a": langid.count_grams(["abracadabra cadabra", "bar"]), "b": langid.count_grams(["lorem ipsum dolor"])}
-    m = langid.estimate(counts)
-    symbols = np.unique(np.concatenate([k & np.uint64(0xFFFF) for k, _ in counts.values()]))
-    for context in ("abr", "zzz", "  l"):
-        head = np.uint64(0)
-        for ch in context:
-            head = (head << np.uint64(16)) | np.uint64(ord(ch))
-        probs = np.exp(m._log_probs((head << np.uint64(16)) | symbols).astype(float))
-        # the rest is the floor's share for symbols never seen
-        assert (probs.sum(axis=0) <= 1 + 1e-4).all() and (probs.sum(axis=0) >= 0.5).all()
+    slow = slow_kneser_ney(["abracadabra cadabra", "bar"], langid.ORDER)
+    for context in ("abr", "zzz", "  b"):
+        seen = sum(slow(context, c) for c in "abcdr ")
+        assert seen + (langid.ALPHABET - 6) * slow(context, "z") == pytest.approx(1)
 
 
 def test_language_blocks_do_not_matter(monkeypatch):
@@ -97,6 +129,31 @@ def test_language_edges(spark, docs):
     assert kept.columns == odd.columns and kept.where("doc_id in (1, 2, 3)").count() == 0
 
 
+def test_letters_beyond_the_basic_plane(spark, docs):
+    model = langid.fit(docs)
+    got = model.predict(["😀😀", "🎉 1 2 3", "\U0001f1e9\U0001f1ea", "😀 the and of 😀", "𝐀", "\ufffe\uffff"])  # mathematical bold A is a letter
+    assert (got["lang_pred"] == "und").tolist() == [True, True, True, False, False, True] and got["rejected"].tolist()[:3] == [True] * 3
+
+
+def test_what_is_rejected(spark, docs):
+    """Texts of a language that wasn't learned, shuffled letters and other scripts go; learned languages stay."""
+    import random
+    rows = docs.where("text is not null and lang is not null").select("doc_id", "text", "lang").toPandas()
+    for left_out in sorted(rows["lang"].unique()):
+        model = langid.fit(docs.where(F.col("lang") != left_out))
+        rejected = model.predict(rows["text"].tolist())["rejected"].to_numpy(bool)
+        own = (rows["lang"] == left_out).to_numpy()
+        assert rejected[own].mean() >= 0.9 and rejected[~own].mean() <= 0.01, left_out
+    model, rnd = langid.fit(docs), random.Random(3)
+    shuffled = ["".join(rnd.sample(t[:20_000], min(len(t), 20_000))) for t in rows["text"] if sum(map(str.isalpha, t)) >= 30]
+    assert model.predict(shuffled)["rejected"].mean() >= 0.9
+    scripts = ["的一是不了人我在有他这中大来上国" * 10, "и в не на я быть с он что " * 8, "του και το να είναι " * 8, "של את על לא " * 10]
+    assert model.predict(scripts)["rejected"].all()
+    clean = rows["text"].tolist()
+    assert model.predict(clean)["rejected"].mean() <= 0.01
+    assert model.predict([t + " Москва 東京" for t in clean])["rejected"].mean() <= 0.02  # a few foreign letters don't matter
+
+
 def test_html_held_out():
     model, right, blocks = html_crf.trained(), 0, 0
     for html, labels in labelled_pages(150, seed=99):
@@ -128,6 +185,33 @@ def test_html_pages_and_edges(spark):
     assert got[got["page_id"] == 5]["text"].iloc[0].count("\n\n") == 19_999
 
 
+def test_html_keeps_what_is_no_code():
+    model = html_crf.trained()
+    for page, want in (
+            ('<article><p>one</p><object data="x"><p>two</p><p>three</p></article>', "one\n\ntwo\n\nthree"),
+            ("<article><h1>T</h1><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be it.</p><xmp>a <b> c</xmp><p>After that, more.</p></article>", "T\n\nLet x=1 be it.\n\na <b> c\n\nAfter that, more."),
+            ('<article><p>one <svg><path d="a"/><text>drawn</text> two</p><p>three</p></article>', "one drawn two\n\nthree"),
+            ("<article><p>one <svg><g>in<p>two</p><p>three</p></article>", "one in\n\ntwo\n\nthree"),
+            ("<article><p>one <select><option>A<option>B</select> two</p><textarea>x</textarea><p>three</p></article>", "one two\n\nthree"),
+            ("<article><p>one <select><option>A</p><p>two</p></article>", "one\n\ntwo"),
+            ("<article><xmp>never closed <p>two</p></article>", "never closed\n\ntwo"),
+            ("<article><p>one</p><noscript><p>two</p></noscript><template><p>three</p></template></article>", "one\n\ntwo\n\nthree"),
+            ("<article><p>a < b &lt; c</p><script>if (a<b) '</p>'</script ><p>x <1 y</p><style>p{}</style></article>", "a < b < c\n\nx <1 y"),
+            ('<article><p>so "it <a href="x>is</a> said</p><p>next</p></article>', 'so "it is said\n\nnext')):
+        assert html_crf.main_text(page, model) == want
+
+
+def test_blocks_in_linear_time():
+    import time
+    model = html_crf.trained()
+    for page in ("<div>x" * 170_000, "<a " * 350_000, "<a " * 350_000 + ">", "<a \">\"" * 170_000, "".join(f"<div class=a{k}>x" for k in range(60_000)),
+                 "<svg>" * 200_000, "<xmp>x" * 170_000, "<xmp>" * 80_000 + "</xmp>" * 80_000, "<script>" + "</script " * 100_000, "<li><ul>" + "<b>" * 50_000 + "<li></li>" * 50_000,
+                 "<p>" * 300_000, "<" * 1_000_000, "<!" * 500_000, "<![CDATA[" * 100_000):
+        began = time.process_time()
+        html_crf.main_text(page, model)
+        assert time.process_time() - began < 20, page[:20]  # a square would take hours
+
+
 def test_html_given_pages(spark):
     import html as entities
     import re
