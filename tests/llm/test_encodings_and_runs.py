@@ -40,30 +40,37 @@ def test_ids_of_odd_texts(ranks, library, monkeypatch):
     texts += ["a" * 5000, " " * 3000, "ab" * 4000, "é" * 2000, "x " * 40000, "\n" * 70000 + "end", "word\n \n" * 15000]
     for block in (byte_bpe.BLOCK, 7):
         monkeypatch.setattr(byte_bpe, "BLOCK", block)
-        for text in texts if block > 7 else texts[:1500]:
-            data = encoder.encode(text)
-            assert ids_of(data) == library.encode_ordinary(text) and encoder.decode(data) == text.encode()
+        some = texts if block > 7 else texts[:1500]
+        data = encoder.encode(some)
+        assert [ids_of(x) for x in data] == [library.encode_ordinary(x) for x in some]
+        assert encoder.decode(data) == [x.encode() for x in some]
 
 
 def test_leftmost_pair_of_least_rank():
     own = {bytes([b]): b for b in range(256)} | {b"aa": 300, b"ab": 299, b"aaa": 301, b"aaab": 302}
-    assert byte_bpe.merge(b"aaaa", own, 4) == [300, 300]
-    assert byte_bpe.merge(b"aaaaa", own, 4) == [300, 301]
-    assert byte_bpe.merge(b"aaab", own, 4) == [302]  # a whole match in the file isn't merged at all
-    assert byte_bpe.merge(b"caaab", own, 4) == [99, 302]  # ab, then aa, then both
     theirs = tiktoken.Encoding("small", pat_str="(?s).+", mergeable_ranks=own, special_tokens={})
-    for text in ("aaaa", "aaaaa", "aaab", "caaab", "abaab", "baaabaaab", "aab" * 40):
-        assert byte_bpe.merge(text.encode(), own, 4) == theirs.encode_ordinary(text)
-    assert byte_bpe.merge(b"", own, 4) == [] and byte_bpe.merge(b"z", own, 4) == [122]
+    merger, rnd = byte_bpe.Merger(own), random.Random(4)
+    assert merger.long(b"aaaaa") == [300, 301] and merger.long(b"caaab") == [99, 302] and merger.long(b"") == [] and merger.long(b"z") == [122]
+    words = [b"", b"a", b"aaaa", b"aaab", b"abaab", b"aab" * 40, *(bytes(rnd.choices(b"aaabc\0", k=rnd.randint(1, 40))) for _ in range(2000))]
+    together = [ids_of(x) for x in merger.many(words)]
+    for word, ids in zip(words, together, strict=True):  # one by one and many at a time, by two separate ways
+        assert ids == merger.long(word) == theirs.encode_ordinary(word.decode())
+
+
+def test_short_and_long_ways_agree(ranks, spark):
+    words = {w for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").limit(100).collect() for w in (r["text"] or "").encode().split()}
+    merger, words = byte_bpe.Merger(ranks), sorted(words)
+    assert [ids_of(x) for x in merger.many(words)] == [merger.long(w) for w in words]
 
 
 def test_worker_memory_starts_anew(ranks, library, monkeypatch):
     monkeypatch.setattr(byte_bpe, "_REMEMBERED", 5)
+    monkeypatch.setattr(byte_bpe, "MATCHES", 4)
     encoder = byte_bpe.ByteEncoder(ranks, public_tokenizers.PATTERN)
     rnd = random.Random(2)
-    for _ in range(200):
-        text = " ".join(rnd.choices(["thereof", "nation", "zq", "Ünder", "xyzzy", "and", "quokka"], k=6))
-        assert ids_of(encoder.encode(text)) == library.encode_ordinary(text)
+    for _ in range(50):
+        texts = [" ".join(rnd.choices(["thereof", "nation", "zq", "Ünder", "xyzzy", "and", "quokka"], k=6)) for _ in range(4)]
+        assert [ids_of(x) for x in encoder.encode(texts)] == [library.encode_ordinary(x) for x in texts]
 
 
 def test_bpe_query(spark, library):
