@@ -1,13 +1,14 @@
 """Exact top-k by inner product with multi-resolution segment statistics.
 
-Components are taken as floor(256 * x). A vector is cut into 1, 4 and then 16 segments; each resolution keeps means
+Components are taken as floor(256 * x). A vector is cut into 1, 4, 16 and then 32 segments; each resolution keeps means
 and deviations. The squared distance of two segments is at least m * ((mean difference)^2 + (deviation difference)^2);
 the same statistics give an upper bound of the inner product, which orders by distance once the lengths are known.
-Bounds are taken coarse to fine, each time only for what can still reach the k-th best score; survivors are scored
-exactly in integers.
 
-Rows are dealt into cells of bounded size by a written row number; each block of queries visits every cell, and the
-k best of each visit are merged. No task holds more than one block and one cell at a time.
+Rows are put in order of their coarse statistics and cut into cells of bounded size, each with the box that its statistics
+fill. Queries first visit their own cell, where like rows lie; that fixes a k-th score. Blocks of neighbouring queries then
+visit the other cells, but only cells whose box can hold a row that reaches the least of these scores. In a visit
+bounds are taken coarse to fine against each query's own k-th score; survivors are scored exactly in integers. No task
+holds more than one block and one cell at a time.
 
 Defined results: vectors that are null or hold null or non-finite components take no part; vectors of different
 dimension don't meet; a vector of no dimension scores 0; a query is never its own candidate, a repeated row is; ties go
@@ -19,8 +20,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,37 +29,85 @@ from .common import written
 
 K = 5
 SCALE = 256.0
-SEGMENTS = (1, 4, 16)
+SEGMENTS = (1, 4, 16, 32)
+#: Segments whose statistics order the rows and make the boxes of cells.
+COARSE = 16
 CELL_ROWS = 2048
-_NO_ID = np.iinfo(np.int64).max
-_BLOCK = "cell int, dim int, ids binary, rows binary, vectors binary"
+#: Rows with the nearest coarse means that are scored to raise a query's k-th score before the finest bounds; more than K.
+PROBES = 64
+#: Summaries of cells that meet a block's summary together, on average.
+_SLOT_CELLS = 256
+_NO_ID, _NO_SCORE = np.iinfo(np.int64).max, np.iinfo(np.int64).min
 
 
-def whole_vectors(table: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id, row, dim, v): usable vectors with their number; v holds floor(SCALE * x) as 64-bit floats."""
+def whole_vectors(table: DataFrame, is_query: Column, id_col: str, vec_col: str) -> DataFrame:
+    """(id, dim, v, key, is_query, row): usable vectors with their number; v holds floor(SCALE * x) as 64-bit floats, key the
+    signs of the coarse means, by which like vectors come close in order."""
     def scaled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for own, vector in zip(batch["id"].to_pylist(), batch["v"].to_pylist(), strict=True):
+            for own, asked, vector in zip(batch["id"].to_pylist(), batch["is_query"].to_pylist(), batch["v"].to_pylist(), strict=True):
                 if vector is None or any(x is None for x in vector):
                     continue
                 with np.errstate(over="ignore"):
                     x = np.floor(np.array(vector, float) * SCALE)
                 if np.isfinite(x).all():
-                    out.append((own, len(x), x.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.binary()))], names=["id", "dim", "v"])
+                    means = [p.sum() > 0 for p in np.array_split(x, COARSE)]
+                    out.append((own, len(x), x.tobytes(), sum(int(m) << (COARSE - 1 - k) for k, m in enumerate(means)), asked))
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.bool_()))],
+                                             names=["id", "dim", "v", "key", "is_query"])
+
+    rows = table.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("v")).withColumn("is_query", F.coalesce(is_query, F.lit(False)))
+    return written(rows.mapInArrow(scaled, "id bigint, dim int, v binary, key int, is_query boolean").withColumn("row", F.monotonically_increasing_id()), "vectors")
+
+
+#: One row per stack of vectors: its number, dimension, the vectors' ids, numbers, cells, marks, k-th scores, and the box
+#: of their coarse statistics with the least of the scores.
+_STACK = "stack bigint, dim int, ids binary, rows binary, cells binary, marks binary, scores binary, vectors binary, low binary, high binary, least bigint"
+
+
+def _stacked(rows: DataFrame, order: list[str]) -> DataFrame:
+    """Rows (id, dim, v, row, cell, mark, score) in stacks of up to CELL_ROWS neighbours in ``order``, of one dimension each."""
+    def stack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, number, held = TaskContext.get().partitionId(), 0, []
+
+        def full() -> pa.RecordBatch:
+            nonlocal number, held
+            columns = {c: [h[c] for h in held] for c in held[0]}
+            low = high = b""
+            v = np.frombuffer(b"".join(columns["v"]), float).reshape(len(held), columns["dim"][0])
+            stats = segment_statistics(v, COARSE)
+            low, high = stats.min(axis=0).tobytes(), stats.max(axis=0).tobytes()
+            longs = lambda c, none: np.array([none if x is None else x for x in columns[c]], np.int64).tobytes()
+            values = {"stack": (task << 32) + number, "dim": columns["dim"][0], "ids": longs("id", _NO_ID), "rows": longs("row", 0), "cells": longs("cell", 0),
+                      "marks": np.array(columns["mark"], bool).tobytes(), "scores": longs("score", _NO_SCORE), "vectors": v.tobytes(), "low": low, "high": high,
+                      "least": min(_NO_SCORE if x is None else x for x in columns["score"])}
+            number, held = number + 1, []
+            return pa.RecordBatch.from_pylist([values], schema=_stack_schema())
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and (len(held) >= CELL_ROWS or held[0]["dim"] != row["dim"]):
+                    yield full()
+                held.append(row)
+        if held:
+            yield full()
+
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return dealt.select("id", "dim", "v", "row", "cell", "mark", "score").mapInArrow(stack, _STACK)
 
-    rows = table.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("v"))
-    return written(rows.mapInArrow(scaled, "id bigint, dim int, v binary").withColumn("row", F.monotonically_increasing_id()), "vectors")
 
+def _stack_schema() -> pa.Schema:
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    return pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in _STACK.split(", ")])
 
-def _blocks(rows: DataFrame, cells: int, salt: int) -> DataFrame:
-    def stack(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("row")
-        ids = part["id"].astype("Int64").fillna(_NO_ID).to_numpy(np.int64)
-        return pd.DataFrame({"cell": [part["cell"].iloc[0]], "dim": [part["dim"].iloc[0]], "ids": [ids.tobytes()],
-                             "rows": [part["row"].to_numpy(np.int64).tobytes()], "vectors": [b"".join(part["v"])]})
-    return rows.withColumn("cell", F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(cells)).cast("int")).groupBy("cell", "dim").applyInPandas(stack, _BLOCK)
+
+class _Stack:
+    """The arrays of a row of _STACK."""
+
+    def __init__(self, dim: int, ids: bytes, rows: bytes, cells: bytes, marks: bytes, scores: bytes, vectors: bytes):
+        self.ids, self.rows, self.cells, self.scores = (np.frombuffer(x, np.int64) for x in (ids, rows, cells, scores))
+        self.marks, self.vectors = np.frombuffer(marks, bool), np.frombuffer(vectors, float).reshape(len(self.ids), dim)
 
 
 def segment_statistics(x: np.ndarray, segments: int) -> np.ndarray:
@@ -80,47 +129,111 @@ def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.array([min(high, max(low, sum(x * int(y) for x, y in zip(own, row, strict=True)))) for row in b], np.int64)
 
 
-def nearest(query: np.ndarray, query_stats: list[np.ndarray], vectors: np.ndarray, stats: list[np.ndarray], allowed: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers and scores of the k best rows of one cell for one query, best first."""
-    left = np.flatnonzero(allowed)
-    if len(left) > k:
-        for own, all_stats in zip(query_stats, stats, strict=True):  # coarse to fine
-            bound = all_stats[left] @ own
-            slack = 1e-9 * (1 + np.abs(bound).max())  # rounding of the statistics
-            probe = left[np.argpartition(-bound, k - 1)[:k]]
-            kth = np.sort(_exact(query, vectors[probe]))[0]
-            left = left[bound + slack >= kth]
-            if len(left) <= 4 * k:
-                break
-    scores = _exact(query, vectors[left])
-    best = np.lexsort((left, ids[left], ~scores))[:k]
-    return left[best], scores[best]
+def reachable(bound: np.ndarray, score: np.ndarray, scale: float) -> np.ndarray:
+    """Where an upper bound reaches a score, with room for rounding of terms that add up to ``scale``; a bound that isn't a
+    number rules nothing out."""
+    return ~(bound + 1e-9 * (1 + scale) < score)
+
+
+def survivors(queries: np.ndarray, vectors: np.ndarray, allowed: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+    """Which rows can still be among the k best of each query [queries, rows], by bounds from coarse to fine. ``scores`` holds each
+    query's k-th score so far, and is raised where rows with near means give a higher one."""
+    if k > PROBES:
+        raise ValueError(f"k is at most {PROBES}")
+    alive = allowed.copy()
+    with np.errstate(over="ignore", invalid="ignore"):
+        scale = np.linalg.norm(queries, axis=1).max(initial=0.0) * np.linalg.norm(vectors, axis=1).max(initial=0.0)
+        for segments in SEGMENTS:
+            columns = np.flatnonzero(alive.any(axis=0))
+            own, stats = segment_statistics(queries, segments), segment_statistics(vectors[columns], segments)
+            bound = own @ stats.T
+            alive[:, columns] &= reachable(bound, scores[:, None], scale)
+            if segments == COARSE:
+                likely = own[:, ::2] @ stats[:, ::2].T  # by the means alone, which is no bound but nearer to the score
+                for j in np.flatnonzero(alive.sum(axis=1) > 2 * PROBES).tolist():
+                    left = np.flatnonzero(alive[j, columns])
+                    probe = columns[left[np.argpartition(-np.nan_to_num(likely[j, left]), PROBES)[:PROBES]]]
+                    scores[j] = max(scores[j], int(np.partition(_exact(queries[j], vectors[probe]), -k)[-k]))
+    return alive
+
+
+def best_of(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, rows: np.ndarray, allowed: np.ndarray, scores: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Places and scores of up to k best rows of each query, best first, as far as they reach its ``scores``."""
+    given = scores.copy()
+    alive = survivors(queries, vectors, allowed, scores.copy(), k)
+    out = []
+    for j in range(len(queries)):
+        left = np.flatnonzero(alive[j])
+        found = _exact(queries[j], vectors[left])
+        left, found = left[found >= given[j]], found[found >= given[j]]
+        best = np.lexsort((rows[left], ids[left], ~found))[:k]
+        out.append((left[best], found[best]))
+    return out
+
+
+_FOUND = "query_id bigint, query_row bigint, id bigint, row bigint, score bigint"
 
 
 def top_k(table: DataFrame, is_query: Column, id_col: str, vec_col: str, k: int = K) -> DataFrame:
     """(query_id, query_row, rank, id, score): for each row that ``is_query`` (over column ``id``) marks."""
-    rows = whole_vectors(table, id_col, vec_col)
-    asked = rows.where(is_query)
-    cells, blocks = max(1, -(-rows.count() // CELL_ROWS)), max(1, -(-asked.count() // CELL_ROWS))
-    candidates = written(_blocks(rows, cells, 31), "topk-cells")
-    queries = written(_blocks(asked, blocks, 32), "topk-queries").select(
-        F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("cell"), "dim", F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), F.col("vectors").alias("q_vectors"))
-    visits = queries.join(candidates, ["cell", "dim"]).select("dim", "q_ids", "q_rows", "q_vectors", "ids", "rows", "vectors")
+    nothing = F.lit(None).cast("bigint")
+    rows = whole_vectors(table, is_query, id_col, vec_col).withColumns({"cell": nothing, "mark": F.col("is_query"), "score": nothing})
+    cells = written(_stacked(rows, ["dim", "key", "row"]), "topk-cells")
+    parts = ["dim", "ids", "rows", "cells", "marks", "scores", "vectors"]
+
+    def at_home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The k best of each query in its own cell, and its vector with the k-th score."""
+        for batch in batches:
+            for n in range(batch.num_rows):
+                cell, own = batch["stack"][n].as_py(), _Stack(*(batch[c][n].as_py() for c in parts))
+                asked = np.flatnonzero(own.marks)
+                if not len(asked):
+                    continue
+                allowed = np.ones((len(asked), len(own.ids)), bool)
+                allowed[np.arange(len(asked)), asked] = False
+                found = best_of(own.vectors[asked], own.vectors, own.ids, own.rows, allowed, np.full(len(asked), _NO_SCORE), k)
+                yield pa.RecordBatch.from_pydict({
+                    "id": [int(own.ids[j]) for j in asked], "dim": pa.array([own.vectors.shape[1]] * len(asked), pa.int32()), "v": [own.vectors[j].tobytes() for j in asked],
+                    "row": [int(own.rows[j]) for j in asked], "cell": pa.array([cell] * len(asked), pa.int64()), "mark": [True] * len(asked),
+                    "score": pa.array([int(s[k - 1]) if len(s) == k else None for _, s in found], pa.int64()),
+                    "best": pa.array([[{"id": int(own.ids[p]), "row": int(own.rows[p]), "score": int(x)} for p, x in zip(*f, strict=True)] for f in found],
+                                     pa.list_(pa.struct([("id", pa.int64()), ("row", pa.int64()), ("score", pa.int64())])))})
+
+    kind = "id bigint, dim int, v binary, row bigint, cell bigint, mark boolean, score bigint, best array<struct<id:bigint,row:bigint,score:bigint>>"
+    queries = written(cells.mapInArrow(at_home, kind), "topk-queries")
+    blocks = written(_stacked(queries, ["dim", "cell", "row"]), "topk-blocks")
+    slots = max(1, -(-cells.count() // _SLOT_CELLS))
+    asked = blocks.select("dim", F.col("stack").alias("block"), F.col("low").alias("q_low"), F.col("high").alias("q_high"), "least", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"))
+    boxes = cells.select("dim", F.pmod(F.xxhash64("stack"), F.lit(slots)).cast("int").alias("slot"), F.col("stack").alias("cell"), "low", "high")
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs of a block and a cell whose boxes leave room for the block's least k-th score."""
+        for batch in batches:
+            keep = []
+            for n in range(batch.num_rows):
+                q_low, q_high, low, high = (np.frombuffer(batch[c][n].as_py(), float) for c in ("q_low", "q_high", "low", "high"))
+                with np.errstate(over="ignore", invalid="ignore"):
+                    corners = np.array([q_low * low, q_low * high, q_high * low, q_high * high])
+                    keep.append(bool(reachable(corners.max(axis=0).sum(), batch["least"][n].as_py(), np.abs(corners).max(axis=0).sum())))
+            yield batch.select(["block", "cell"]).filter(pa.array(keep, pa.bool_()))
+
+    pairs = asked.join(boxes, ["slot", "dim"]).select("block", "cell", "q_low", "q_high", "low", "high", "least").mapInArrow(near, "block bigint, cell bigint")
+    block = blocks.select(F.col("stack").alias("block"), *[F.col(c).alias(f"q_{c}") for c in parts])
+    visits = pairs.join(block, "block").join(cells.select(F.col("stack").alias("cell"), *parts), "cell")
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for n in range(batch.num_rows):
-                dim, q_ids, q_rows, q_vectors, ids, own, vectors = (batch[c][n].as_py() for c in range(7))
-                q_ids, q_rows, ids, own = (np.frombuffer(x, np.int64) for x in (q_ids, q_rows, ids, own))
-                q, v = np.frombuffer(q_vectors, float).reshape(len(q_rows), dim), np.frombuffer(vectors, float).reshape(len(own), dim)
-                q_stats, stats = ([segment_statistics(x, s) for s in SEGMENTS] for x in (q, v))
-                found = []
-                for j in range(len(q_rows)):
-                    at, scores = nearest(q[j], [s[j] for s in q_stats], v, stats, own != q_rows[j], ids, k)
-                    found += [(q_ids[j], q_rows[j], ids[a], own[a], s) for a, s in zip(at, scores, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], pa.int64()) for c in range(5)], names=["query_id", "query_row", "id", "row", "score"])
-
-    found = visits.mapInArrow(visit, "query_id bigint, query_row bigint, id bigint, row bigint, score bigint")
+                asked, own = (_Stack(*(batch[mark + c][n].as_py() for c in parts)) for mark in ("q_", ""))
+                away = np.flatnonzero(asked.cells != batch["cell"][n].as_py())  # the others were at home here
+                allowed = np.ones((len(away), len(own.ids)), bool)
+                found = best_of(asked.vectors[away], own.vectors, own.ids, own.rows, allowed, asked.scores[away], k)
+                out = [(asked.ids[j], asked.rows[j], own.ids[p], own.rows[p], x) for j, f in zip(away, found, strict=True) for p, x in zip(*f, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], pa.int64()) for c in range(5)], names=[c.split()[0] for c in _FOUND.split(", ")])
+
+    at_first = queries.select(F.col("id").alias("query_id"), F.col("row").alias("query_row"), F.inline("best"))
+    found = visits.mapInArrow(visit, _FOUND).unionByName(at_first)
     best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "id", "row")  # k rows of each cell at most
+    known = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "query_row", "rank", F.when(F.col("id") != _NO_ID, F.col("id")).alias("id"), "score"))
+            .select(known("query_id").alias("query_id"), "query_row", "rank", known("id").alias("id"), "score"))

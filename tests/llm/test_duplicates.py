@@ -171,6 +171,51 @@ def test_top_k(spark):
     assert sorted(((r["query_id"], r["rank"], r["id"], r["score"]) for r in got), key=key) == sorted(want, key=key)
 
 
+def brute_top(ok, k=5):
+    want = []
+    for n, (i, v) in enumerate(ok):
+        if i is not None and i % 50 == 0:
+            found = sorted((-int(v @ w), j) for m, (j, w) in enumerate(ok) if m != n)[:k]
+            want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(found)]
+    return want
+
+
+@pytest.mark.parametrize("cell_rows", [2048, 64])
+def test_top_k_over_many_cells(spark, monkeypatch, cell_rows):
+    """Clusters, so that like rows share cells and boxes rule other cells out; slots smaller than the number of cells."""
+    monkeypatch.setattr(topk, "CELL_ROWS", cell_rows)
+    monkeypatch.setattr(topk, "_SLOT_CELLS", 3)
+    rng = np.random.default_rng(8)
+    centres = rng.standard_normal((20, 64))
+    x = centres[np.arange(2000) % 20] + 0.1 * rng.standard_normal((2000, 64))
+    x[1900:] = 0.0  # ties
+    rows = [(k, v, "clash", k) for k, v in enumerate(x.tolist())]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string, cell long").repartition(5)
+    got = topk.top_k(table, F.col("id") % 50 == 0, "vec_id", "embedding").collect()
+    want = brute_top([(k, np.floor(256 * v)) for k, v in enumerate(x)])
+    assert sorted((r["query_id"], r["rank"], r["id"], r["score"]) for r in got) == sorted(want)
+
+
+def test_bounds_leave_few_rows():
+    rng = np.random.default_rng(9)
+    centres = rng.standard_normal((30, 64))
+    x = np.floor(256 * (centres[np.arange(3000) % 30] + 0.1 * rng.standard_normal((3000, 64))))
+    q = x[::50]
+    allowed = np.ones((len(q), len(x)), bool)
+    allowed[np.arange(len(q)), np.arange(0, 3000, 50)] = False
+    alive = topk.survivors(q, x, allowed, np.full(len(q), topk._NO_SCORE), 5)
+    exact = np.where(allowed, q @ x.T, -np.inf)
+    assert (alive | (exact < np.sort(exact, axis=1)[:, -5, None])).all() and alive.mean() < 0.1
+
+
+def test_top_k_of_nothing_and_of_few(spark):
+    empty = spark.createDataFrame([], "vec_id long, embedding array<double>, row int, dim string")
+    assert topk.top_k(empty, F.col("id") % 50 == 0, "vec_id", "embedding").count() == 0
+    few = spark.createDataFrame([(0, [1.0, 1.0], 1, "a"), (0, [1.0, 1.0], 2, "b"), (50, [], 3, "c"), (100, [], 4, "d"), (150, [2.0], 5, "e")], empty.schema)
+    got = sorted(map(tuple, topk.top_k(few, F.col("id") % 50 == 0, "vec_id", "embedding").select("query_id", "rank", "id", "score").collect()))
+    assert got == [(0, 1, 0, 2 * 256 * 256)] * 2 + [(50, 1, 100, 0), (100, 1, 50, 0)]
+
+
 def test_segment_bounds_hold():
     rng = np.random.default_rng(8)
     x, y = rng.integers(-100, 100, (2, 50, 23)).astype(float)
