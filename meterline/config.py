@@ -14,6 +14,7 @@ TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss",)
 EXCLUDED_ZONE_IDS = (264, 265)
 EXCLUDED_ZONE_NAMES = ("Unknown", "N/A")
 HARD_FLAG_TYPES = ("BAD_DATETIME", "DROPOFF_BEFORE_PICKUP")
+POST_FLAG_TYPES = ("HIGH_SPEED", "HIGH_TIP_PCT", "ZERO_DIST_POS_FARE")
 MIN_ZONE_TRIPS = 10
 TOP_ZONES_DEFAULT_LIMIT, TOP_ZONES_MAX_LIMIT = 20, 100
 ANOMALY_LIST_DEFAULT_LIMIT, ANOMALY_LIST_MAX_LIMIT = 50, 200

@@ -21,21 +21,63 @@ def to_fixed(c, digits: int) -> Column:
     return F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
+def _units(x: Column) -> tuple[Column, Column]:
+    """The value in whole 1e-4 units, and whether it is a whole number of them that 64 bits hold."""
+    units = F.floor(x * F.lit(1e4) + F.lit(0.5))
+    return units, (F.abs(x) < F.lit(9e11)) & (units / F.lit(1e4) == x)
+
+
+def _finished(whole: Column, wholes: Column, rest: Column, rests: Column, n: Column, plain: Column) -> Column:
+    """The sum as a double from its parts (see ``sum_parts``)."""
+    overflown = (whole.isNull() & (wholes > 0)) | (rest.isNull() & (rests > 0))
+    total = F.coalesce(whole, F.lit(0)) / F.lit(1e4) + F.coalesce(rest.cast("double"), F.lit(0.0))
+    return F.when(n == 0, F.lit(None)).when((n - wholes - rests > 0) | overflown, plain).otherwise(total)
+
+
+def _sums(c) -> tuple[Column, ...]:
+    x = _col(c).cast("double")
+    units, whole = _units(x)
+    rest = F.when(~whole, x.try_cast("decimal(38,18)"))
+    return F.try_sum(F.when(whole, units.try_cast("bigint"))), F.count(F.when(whole, 1)), F.try_sum(rest), F.count(rest), F.count(x), F.sum(x)
+
+
 def exact_sum(c) -> Column:
     """Order-independent sum as double, without cutting digits or raising.
 
     Values that are whole numbers of 1e-4 (money, loaded features) are added as 64-bit integers; all others as
     decimal(38,18). Where neither holds a value (beyond 1e20, not finite) or a sum overflows, the plain double sum
     is the result."""
-    x = _col(c).cast("double")
-    units = F.floor(x * F.lit(1e4) + F.lit(0.5))
-    whole = (F.abs(x) < F.lit(9e11)) & (units / F.lit(1e4) == x)
-    rest = F.when(~whole, x.try_cast("decimal(38,18)"))
-    whole_sum, rest_sum, wholes, rests = F.try_sum(F.when(whole, units.try_cast("bigint"))), F.try_sum(rest), F.count(F.when(whole, 1)), F.count(rest)
-    lost = F.count(x) - wholes - rests
-    overflown = (whole_sum.isNull() & (wholes > 0)) | (rest_sum.isNull() & (rests > 0))
-    total = F.coalesce(whole_sum, F.lit(0)) / F.lit(1e4) + F.coalesce(rest_sum.cast("double"), F.lit(0.0))
-    return F.when(F.count(x) == 0, F.lit(None)).when((lost > 0) | overflown, F.sum(x)).otherwise(total)
+    return _finished(*_sums(c))
+
+
+_PARTS = ("whole", "wholes", "rest", "rests", "n", "plain")
+
+
+def sum_parts(c) -> Column:
+    """Aggregate: the parts of ``exact_sum`` as a struct that can be stored and merged. Of sums that overflowed the
+    value is null while their count isn't 0."""
+    return F.struct(*[v.alias(k) for k, v in zip(_PARTS, _sums(c))])
+
+
+def merged_parts(c) -> Column:
+    """Aggregate: the parts of all rows together, from rows of parts."""
+    p = {k: _col(c).getField(k) for k in _PARTS}
+
+    def sums(value: str, count: str) -> Column:
+        lost = F.bool_or(p[value].isNull() & (p[count] > 0))
+        return F.when(~F.coalesce(lost, F.lit(False)), F.try_sum(p[value])).alias(value)
+
+    counts = [F.coalesce(F.sum(p[k]), F.lit(0)).alias(k) for k in ("wholes", "rests", "n")]
+    return F.struct(sums("whole", "wholes"), counts[0], sums("rest", "rests"), counts[1], counts[2], F.sum(p["plain"]).alias("plain"))
+
+
+def parts_sum(c) -> Column:
+    """The sum that merged parts stand for: what ``exact_sum`` gives over all their rows."""
+    return _finished(*[_col(c).getField(k) for k in _PARTS])
+
+
+def parts_avg(c) -> Column:
+    return F.try_divide(parts_sum(c), _col(c).getField("n"))
 
 
 def exact_avg(c) -> Column:

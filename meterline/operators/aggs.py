@@ -8,43 +8,79 @@ from pyspark.sql import functions as F
 from ..functions.parsing import parse_float
 from ..functions.rounding import exact_avg, exact_sum, to_fixed
 
-#: Rank error of the bracket is at most rows / BRACKET_ACCURACY; the bracket is twice as wide on either side.
-BRACKET_ACCURACY = 5000
+def value_range(v: Column) -> Column:
+    """Number of the value range that holds ``v``, never falling with ``v``: sixteenths up to 4096, beyond that 64 ranges for
+    each doubling. There are at most some 400,000, whatever the data."""
+    far = F.lit(1 << 16) + F.floor(F.least(F.log2(F.abs(v)), F.lit(2000.0)) * F.lit(64.0))
+    return (F.when(F.isnan(v), F.lit(1 << 40)).when(F.abs(v) < 4096, F.floor(v * F.lit(16.0)))
+            .when(v > 0, far).otherwise(-far))
+
+
+def value_counts(rows: DataFrame, keys: dict[str, Column], values: list[Column]) -> DataFrame:
+    """Partial for percentiles: how often (``n``) each value (``v``) of the ``i``-th column occurs in each group. Counts of several
+    frames are merged by adding them. NULL values don't count."""
+    each = F.posexplode(F.array(*[c.cast("double") for c in values])).alias("i", "v")
+    long = rows.select(*[k.alias(n) for n, k in keys.items()], each).where(F.col("v").isNotNull())
+    return long.groupBy(*keys, "i", "v").agg(F.count(F.lit(1)).alias("n"))
+
+
+def percentiles_from_counts(counts: DataFrame, keys: list[str], wanted: dict[str, tuple[int, float]]) -> DataFrame:
+    """One row per group: ``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY v)`` of the ``i``-th column for each name: (i, p), from value
+    counts (rows of the same group, i and v add up). Exact linear interpolation.
+
+    A search by running counts in two levels: over the value ranges of a group, of which there are boundedly many, and
+    then over the values of the one or two ranges that hold the wanted places. No task holds all values of a group, and a
+    place is always found, since every value lies in a range."""
+    own = [f"_ml_k_{k}" for k in keys]
+    counts = counts.select(*[F.col(k).alias(o) for k, o in zip(keys, own)], "i", "v", "n", value_range(F.col("v")).alias("r"))
+    group = Window.partitionBy(*own, "i")
+    ranges = counts.groupBy(*own, "i", "r").agg(F.sum("n").alias("_ml_in"))
+    ranges = ranges.withColumn("_ml_upto", F.sum("_ml_in").over(group.orderBy("r"))).withColumn("_ml_all", F.sum("_ml_in").over(group))
+    places = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), F.lit(i).alias("of"), F.lit(float(p)).alias("p")) for j, (i, p) in enumerate(wanted.values())])).alias("w")
+    asked = ranges.select("*", places).where(F.col("w.of") == F.col("i")).withColumn("_ml_at", F.col("w.p") * (F.col("_ml_all") - 1))
+    asked = asked.withColumn("_ml_before", F.col("_ml_upto") - F.col("_ml_in"))
+    holds = lambda at: (F.col("_ml_before") <= at) & (at < F.col("_ml_upto"))
+    low, high = F.floor("_ml_at"), F.ceil("_ml_at")
+    asked = asked.where(holds(low) | holds(high)).select(*[F.col(o).alias(f"{o}_") for o in own], F.col("i").alias("i_"), F.col("r").alias("r_"), "w.j", "_ml_before", "_ml_at")
+    # null-safe also where there are no nulls: else the optimizer filters them in one branch, and the counts are made twice
+    same = [F.col(o).eqNullSafe(F.col(f"{o}_")) for o in (*own, "i", "r")]
+    inside = counts.join(asked, same)
+    inside = inside.groupBy(*own, "j", "r", "_ml_before", "_ml_at", "v").agg(F.sum("n").alias("n"))
+    upto = F.col("_ml_before") + F.sum("n").over(Window.partitionBy(*own, "j", "r").orderBy("v"))
+    inside = inside.withColumn("_ml_upto", upto)
+    value = lambda at: F.max(F.when((F.col("_ml_upto") - F.col("n") <= at) & (at < F.col("_ml_upto")), F.col("v")))
+    found = inside.groupBy(*own, "j").agg(value(low).alias("_ml_low"), value(high).alias("_ml_high"), F.max(F.col("_ml_at") - low).alias("_ml_share"))
+    between = F.col("_ml_low") + (F.col("_ml_high") - F.col("_ml_low")) * F.col("_ml_share")
+    return (found.groupBy(*own).agg(*[F.max(F.when(F.col("j") == j, between)).alias(name) for j, name in enumerate(wanted)])
+            .withColumnsRenamed(dict(zip(own, keys))))
 
 
 def with_percentiles(aggregated: DataFrame, rows: DataFrame, keys: dict[str, Column], wanted: dict[str, tuple[Column, float]]) -> DataFrame:
     """``aggregated`` (one row per group, key columns named as in ``keys``) with ``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY c)``
-    for each ``wanted`` name: (c, p), over the ``rows`` of the group. Exact linear interpolation; NULL values don't count.
-
-    No group's values meet in one task: a sketch brackets both order statistics by value; rows are counted by value, with
-    one count for all below the bracket; only the distinct values inside it, about 4 / BRACKET_ACCURACY of the rows,
-    are ranked."""
-    own, of = [f"_ml_k_{n}" for n in keys], [f"_ml_b_{n}" for n in keys]
-    margin, shares = 2.0 / BRACKET_ACCURACY, [p for _, p in wanted.values()]
-    edges = [max(0.0, p - margin) for p in shares] + [min(1.0, p + margin) for p in shares]
-    which = F.col("_ml_i")  # the number of the wanted percentile: all share both passes
-    long = rows.select(*[k.alias(n) for n, k in zip(own, keys.values())], F.posexplode(F.array(*[c.cast("double") for c, _ in wanted.values()])).alias("_ml_i", "_ml_v"))
-    long = long.where(F.col("_ml_v").isNotNull())
-    n, sketch = F.count(F.lit(1)), F.percentile_approx("_ml_v", F.array(*map(F.lit, edges)), BRACKET_ACCURACY)
-    stats = long.groupBy(*own, "_ml_i").agg(n.alias("_ml_n"), F.min("_ml_v").alias("_ml_min"), F.max("_ml_v").alias("_ml_max"), sketch.alias("_ml_s"))
-    few = F.col("_ml_n") <= BRACKET_ACCURACY  # beyond that the margin holds at least two rows
-    of_which = lambda values: F.get(F.array(*map(F.lit, values)), which)
-    bracket = stats.select(
-        *[F.col(x).alias(y) for x, y in zip(own, of)], which.alias("_ml_j"), "_ml_n", (of_which(shares) * (F.col("_ml_n") - 1)).alias("_ml_at"),
-        F.when(few | (of_which(edges) == 0), F.col("_ml_min")).otherwise(F.get("_ml_s", which)).alias("_ml_lo"),
-        F.when(few | (of_which(edges[len(shares):]) == 1), F.col("_ml_max")).otherwise(F.get("_ml_s", which + len(shares))).alias("_ml_hi"))
-    place = F.when(F.col("_ml_v") < F.col("_ml_lo"), F.lit(None).cast("double")).otherwise(F.col("_ml_v"))
-    same = [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(own, of)] + [F.col("_ml_i") == F.col("_ml_j")]
-    counts = (long.join(bracket, same).where(F.col("_ml_v") <= F.col("_ml_hi"))
-              .select(*own, "_ml_i", "_ml_at", place.alias("_ml_v")).groupBy(*own, "_ml_i", "_ml_at", "_ml_v").agg(F.count(F.lit(1)).alias("_ml_c")))
-    upto = F.sum("_ml_c").over(Window.partitionBy(*own, "_ml_i").orderBy(F.asc_nulls_first("_ml_v")))
-    ranked = counts.withColumn("_ml_upto", upto)
-    at = lambda k: F.min(F.when((F.col("_ml_upto") > k) & F.col("_ml_v").isNotNull(), F.col("_ml_v")))
-    below, above = at(F.floor("_ml_at")), at(F.ceil("_ml_at"))
-    share = F.max(F.col("_ml_at") - F.floor("_ml_at"))
-    found = ranked.groupBy(*own, "_ml_i").agg((below + (above - below) * share).alias("_ml_p"))
-    found = found.groupBy(*own).agg(*[F.max(F.when(which == i, F.col("_ml_p"))).alias(name) for i, name in enumerate(wanted)])
-    return aggregated.join(found, [F.col(n).eqNullSafe(F.col(x)) for n, x in zip(keys, own)], "left").drop(*own)
+    for each ``wanted`` name: (c, p), over the ``rows`` of the group. ``rows`` is read once, for the counts of its values."""
+    counts = value_counts(rows, keys, [c for c, _ in wanted.values()])
+    return join_percentiles(aggregated, counts, list(keys), {name: (i, p) for i, (name, (_, p)) in enumerate(wanted.items())})
+
+
+def join_percentiles(aggregated: DataFrame, counts: DataFrame, keys: list[str], wanted: dict[str, tuple[int, float]]) -> DataFrame:
+    own = [f"_ml_k_{k}" for k in keys]
+    found = percentiles_from_counts(counts, keys, wanted).withColumnsRenamed(dict(zip(keys, own)))
+    return aggregated.join(found, [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, own)], "left").drop(*own)
+
+
+def bitmap_partials(rows: DataFrame, values: dict[str, Column], keys: list[str] | None = None) -> DataFrame:
+    """Partial for distinct counts of whole numbers that lie close together: bitmaps (``bits``) by ``kind`` and ``bucket`` of 32,768
+    numbers, negative ones included. Partials of several frames are merged by OR."""
+    each = F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), c.cast("bigint").alias("v")) for k, c in values.items()]))
+    long = rows.select(*(keys or []), each).where(F.col("v").isNotNull())
+    return (long.groupBy(*(keys or []), "kind", F.bitmap_bucket_number("v").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("bits")))
+
+
+def distinct_from_bitmaps(partials: DataFrame, kinds: list[str], keys: list[str] | None = None) -> DataFrame:
+    """Exact distinct counts, a column for each of ``kinds``."""
+    merged = partials.groupBy(*(keys or []), "kind", "bucket").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("n"))
+    return merged.groupBy(*(keys or [])).agg(*[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)).cast("bigint").alias(k) for k in kinds])
 
 
 def ratio_pct(num: Column, den: Column, digits: int = 2) -> Column:

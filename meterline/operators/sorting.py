@@ -70,7 +70,5 @@ def paginate(df: DataFrame, order: Sequence[Column], limit: int, offset: int = 0
 
 def result_with_meta(df: DataFrame, **extra):
     """(rows, one-row meta): ``count`` of the rows plus fixed fields such as limit or granularity."""
-    meta = df.agg(F.count(F.lit(1)).alias("count"))
-    for k, v in extra.items():
-        meta = meta.withColumn(k, F.lit(v))
-    return df, meta
+    told = [F.lit(v).cast("bigint" if isinstance(v, int) else "string").alias(k) for k, v in extra.items()]
+    return df, df.agg(F.count(F.lit(1)).alias("count")).select("*", *told)

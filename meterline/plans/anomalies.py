@@ -10,7 +10,9 @@ from ..functions.formats import iso_timestamp
 from ..functions.rounding import to_fixed
 from ..operators.errorlog import json_extract_num, soft_only
 from ..operators.joins import cross_scalar
+from ..operators.paging import cursor, follows, page_end, read_cursor
 from ..operators.sorting import clamp_limit, clamp_offset, paginate
+from .rollups import flags, rollup
 from .tables import Tables
 
 def list_order():
@@ -20,15 +22,16 @@ def list_order():
 
 
 def by_type(t: Tables) -> DataFrame:
-    return (soft_only(t.error_log).groupBy("err_type").agg(F.count(F.lit(1)).alias("count"))
-            .orderBy(F.desc("count"), F.asc("err_type")))
+    return flags(t).where(F.col("err_type").isNotNull()).orderBy(F.desc("count"), F.asc("err_type"))
 
 
 def summary(t: Tables) -> DataFrame:
-    """total_error_records, unique_flagged_rows, flag_rate_percent (flagged rows per 100 trips)."""
-    totals = soft_only(t.error_log).agg(F.count(F.lit(1)).alias("total_error_records"),
-                                        F.count_distinct("row_num").alias("unique_flagged_rows"))
-    trips = t.trips.agg(F.count(F.lit(1)).alias("_trips"))
+    """total_error_records, unique_flagged_rows, flag_rate_percent (flagged rows per 100 trips). Rows of several loads are
+    told apart by load and row number."""
+    kind = F.col("err_type").isNull()
+    totals = flags(t).agg(F.coalesce(F.sum(F.when(~kind, F.col("count"))), F.lit(0)).alias("total_error_records"),
+                          F.coalesce(F.sum(F.when(kind, F.col("count"))), F.lit(0)).alias("unique_flagged_rows"))
+    trips = rollup(t, {}, ()).select(F.col("n").alias("_trips"))
     rate = F.when(F.col("_trips") > 0,
                   to_fixed(F.col("unique_flagged_rows") / F.col("_trips") * F.lit(100), 2)).otherwise(F.lit(0.0))
     return cross_scalar(totals, trips).select("total_error_records", "unique_flagged_rows",
@@ -47,12 +50,32 @@ def _filtered(t: Tables, flag_type: str | None) -> DataFrame:
     return errors.where(F.col("err_type") == F.lit(flag_type)) if flag_type else errors
 
 
+def _shown(rows: DataFrame, *more: str) -> DataFrame:
+    return rows.select("err_id", "row_num", "err_type", "details", iso_timestamp("created_at").alias("created_at"),
+                       json_extract_num(F.col("details"), "fare").alias("fare"),
+                       json_extract_num(F.col("details"), "distance").alias("distance"), *more)
+
+
 def anomaly_list(t: Tables, limit=ANOMALY_LIST_DEFAULT_LIMIT, offset=0, flag_type: str | None = None):
     """(page, meta). Page columns: err_id, row_num, err_type, details, created_at, fare, distance."""
     n = clamp_limit(limit, ANOMALY_LIST_DEFAULT_LIMIT, ANOMALY_LIST_MAX_LIMIT)
     o = clamp_offset(offset)
     page, meta = paginate(_filtered(t, flag_type), list_order(), n, o)
-    page = page.select("err_id", "row_num", "err_type", "details", iso_timestamp("created_at").alias("created_at"),
-                       json_extract_num(F.col("details"), "fare").alias("fare"),
-                       json_extract_num(F.col("details"), "distance").alias("distance"))
-    return page, meta
+    return _shown(page), meta
+
+
+def anomaly_page(t: Tables, limit=ANOMALY_LIST_DEFAULT_LIMIT, after: str | None = None, flag_type: str | None = None) -> DataFrame:
+    """The page that follows the row whose ``cursor`` is given (the first page without one), in the order of the list. Each row
+    carries its cursor. A page costs the same wherever it lies: the stored index of the error log tells how far down ``limit``
+    rows reach at most, so the scan is bounded on both sides by columns that the files are sorted by."""
+    n = clamp_limit(limit, ANOMALY_LIST_DEFAULT_LIMIT, ANOMALY_LIST_MAX_LIMIT)
+    start = read_cursor(after) if after else None
+    rows = _filtered(t, flag_type)
+    if start is not None:
+        rows = rows.where(follows(start))
+    index = t.partials("flag_pages")
+    end = None if index is None else page_end(index, n, start, flag_type)
+    if end is not None:
+        rows = rows.where((F.col("created_at") > F.lit(end[0])) | ((F.col("created_at") == F.lit(end[0])) & (F.col("row_num") >= F.lit(end[1]))))
+    page = rows.orderBy(*list_order()).limit(n)
+    return _shown(page.withColumn("cursor", cursor()), "cursor")

@@ -53,8 +53,7 @@ def profit_ranking(t: Tables, limit: int = 20) -> DataFrame:
 
 
 def _card_cash(t: Tables) -> DataFrame:
-    pay = tips.payment_comparison(t)
-    return pay.agg(
+    return tips.payment_groups(t).agg(
         F.max(F.when(F.col("payment_type") == 1, F.col("avg_tip_percentage"))).alias("card_avg"),
         F.max(F.when(F.col("payment_type") == 2, F.col("avg_tip_percentage"))).alias("cash_avg"),
         F.count_if(F.col("payment_type") == 1).alias("_has_card"),
@@ -67,7 +66,7 @@ def tip_payment_split(t: Tables) -> DataFrame:
                               F.coalesce("cash_avg", F.lit(0.0)).alias("cash_avg"))
     mid = (F.col("card_avg") + F.col("cash_avg")) / F.lit(2)
     cc = cc.withColumn("mid", F.when(mid == 0, F.lit(1.0)).otherwise(mid))
-    boroughs = tips.tips_by_borough(t).where(F.col("borough").isNotNull())
+    boroughs = tips.borough_groups(t).where(F.col("borough").isNotNull())
     return cross_scalar(boroughs, cc).select(
         "borough",
         to_fixed(F.col("avg_tip_percentage") * F.col("card_avg") / F.col("mid"), 2).alias("card"),
@@ -78,9 +77,9 @@ def tip_insight(t: Tables) -> DataFrame:
     """Card vs cash averages, premium (1 dp), top borough and peak tip hour. On ties the later row wins
     (later in the API order), hence the descending tie-breaks. Empty unless both card and cash exist."""
     cc = _card_cash(t).where((F.col("_has_card") > 0) & (F.col("_has_cash") > 0))
-    top_b = (tips.tips_by_borough(t).orderBy(F.desc_nulls_last("avg_tip_percentage"), F.desc("borough")).limit(1)
+    top_b = (tips.borough_groups(t).orderBy(F.desc_nulls_last("avg_tip_percentage"), F.desc("borough")).limit(1)
              .select(F.col("borough").alias("top_borough"), F.col("avg_tip_percentage").alias("top_borough_tip_pct")))
-    peak = (tips.tips_by_hour(t).orderBy(F.desc_nulls_last("avg_tip_percentage"), F.desc("hour_of_day")).limit(1)
+    peak = (tips.hour_groups(t).orderBy(F.desc_nulls_last("avg_tip_percentage"), F.desc("hour_of_day")).limit(1)
             .select(F.col("hour_of_day").alias("peak_hour"), fmt_hr(F.col("hour_of_day")).alias("peak_hour_label")))
     out = cross_scalar(cc, top_b, peak)   # one-row frames; an empty top frame gives NULL fields
     return out.select("card_avg", "cash_avg",

@@ -56,11 +56,12 @@ class Loaded:
         return load_summary(self)
 
     def staged(self, path: str, zones: DataFrame) -> "Loaded":
-        """The load continued from written tables under ``path``: the normalised rows (one read and parse of the raw
-        input) and, from them, the kept trips. Every output and counter reads these tables."""
+        """The load continued from written tables under ``path``: the normalised rows with their features (one read and parse
+        of the raw input) and, from them, the kept trips. Every output and counter reads these tables."""
         spark = self.norm.sparkSession
-        self.norm.write.mode("overwrite").parquet(f"{path}/norm")
-        norm = spark.read.schema(self.norm.schema).parquet(f"{path}/norm")
+        rows = with_candidates(self.norm, self.params)
+        rows.write.mode("overwrite").parquet(f"{path}/norm")
+        norm = spark.read.schema(rows.schema).parquet(f"{path}/norm")
         kept = build_kept(norm, zones, self.params)
         kept.write.mode("overwrite").parquet(f"{path}/kept")
         return Loaded(norm=norm, kept=spark.read.schema(kept.schema).parquet(f"{path}/kept"), created_at=self.created_at, params=self.params)
@@ -75,7 +76,19 @@ def load(raw: DataFrame, zones: DataFrame, *, created_at=None, timestamp_formats
 
 
 def build_kept(norm: DataFrame, zones: DataFrame, params=(MAX_SPEED_MPH, MAX_TIP_PERCENTAGE)) -> DataFrame:
-    """Non-excluded rows → features → post flags → keep-first dedup → orphan mark.
+    """The first occurrences with the orphan mark."""
+    return mark_orphans(first_occurrences(norm, params), zones)
+
+
+def with_candidates(norm: DataFrame, params=(MAX_SPEED_MPH, MAX_TIP_PERCENTAGE)) -> DataFrame:
+    """Normalised rows with features and post flags. They depend only on the row itself, so they are computed before the dedup
+    window. The raw text (needed only for the anomaly records) is kept only on rows that have a post flag, which keeps it out of
+    the staged table and the shuffle for the other ~93% of trips."""
+    return with_post_flags(enrich(norm), *params).withColumn("raw", F.when(F.size("post_flags") > 0, F.col("raw")))
+
+
+def first_occurrences(norm: DataFrame, params=(MAX_SPEED_MPH, MAX_TIP_PERCENTAGE)) -> DataFrame:
+    """Non-excluded rows → features → post flags (unless ``norm`` has them) → keep-first dedup.
 
     Features are computed before the dedup window, so downstream filters on them (``money_per_min IS NOT
     NULL`` …) are predicates on window outputs and are not re-expanded into the feature formulas. Only the
@@ -83,13 +96,9 @@ def build_kept(norm: DataFrame, zones: DataFrame, params=(MAX_SPEED_MPH, MAX_TIP
     # Excluded rows carry NULL pickup/dropoff times in the trip key, so they never share a key with a valid
     # trip: excluding them after the window gives the same survivors, and the exclusion stays a predicate
     # on a window output (not pushed down and re-expanded into the timestamp parsing at the scan).
-    # Post flags depend only on the row's own features, so they are computed before the window as well; the
-    # raw text (needed only for the anomaly records) is kept only on rows that have a post flag, which keeps
-    # it out of the shuffle and the staged table for the other ~93% of trips.
-    candidates = with_post_flags(enrich(norm.drop("raw_flags")), *params)
-    candidates = candidates.withColumn("raw", F.when(F.size("post_flags") > 0, F.col("raw")))
-    first = hard_exclusion(dedup_keep_first(candidates)).drop("hard_code")
-    return mark_orphans(first, zones)
+    candidates = norm.drop("raw_flags")
+    candidates = candidates if "post_flags" in norm.columns else with_candidates(candidates, params)
+    return hard_exclusion(dedup_keep_first(candidates)).drop("hard_code")
 
 
 def load_summary(loaded: Loaded) -> DataFrame:

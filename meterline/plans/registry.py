@@ -13,13 +13,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import FLAG_META, RAW_TRIP_COLUMNS
+from ..config import FLAG_META, POST_FLAG_TYPES, RAW_TRIP_COLUMNS
 from ..functions.formats import fmt_date, fmt_hr, fmt_k, fmt_num, fmt_rpm, fmt_usd, iso_timestamp
-from ..operators.aggs import aggregate_groups, group_by_key
+from ..operators.aggs import aggregate_groups, distinct_from_bitmaps, group_by_key
 from ..operators.anomalies import detect_anomalies, partition_trips
 from ..operators.dedup import dedup_keep_first, dedup_with_count, trip_key_text
 from ..functions.rounding import to_fixed
-from ..operators.errorlog import json_extract_num, soft_only
+from ..operators.errorlog import json_extract_num, post_rows, quality_rows
 from ..operators.features import compute_features
 from ..operators.joins import cross_scalar, exists_in, join_zone_inner, lookup_flag_note, lookup_payment_label
 from ..operators.normalise import hard_exclusion
@@ -31,7 +31,9 @@ from ..sources.csv import number_rows, scan_trips_csv, scan_zones_csv
 from ..sources.polygons import scan_zone_polygons
 from ..sources.tables import read_table
 from . import anomalies, client, overview, profitability, stats, tips
+from .files import load_files
 from .pipeline import TRIP_COLUMNS, load
+from .rollups import bitmaps, flags
 from .tables import FIXTURE_CREATED_AT, Tables, fixture_inputs, from_store, from_testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,7 +54,11 @@ def _error_rows(df: DataFrame) -> DataFrame:
 
 
 def _flag_query(code: str) -> Query:
-    return _t(lambda t: _error_rows(t.error_log.where(F.col("err_type") == code)))
+    """Flags of raw rows need no dedup; flags of kept trips don't need the others."""
+    def rows(t: Tables) -> DataFrame:
+        made = post_rows(t.loaded.kept, t.loaded.created_at) if code in POST_FLAG_TYPES else quality_rows(t.loaded.norm, "raw_flags", t.loaded.created_at)
+        return _error_rows(made.where(F.col("err_type") == code))
+    return _t(rows)
 
 
 def _library_features(spark, sf):
@@ -99,10 +105,9 @@ def _flag_notes(t: Tables) -> DataFrame:
 
 
 def _count_distinct(t: Tables) -> DataFrame:
-    a = t.trips.agg(F.count_distinct("pickup_zone").alias("unique_pickup_zones"),
-                    F.count_distinct("dropoff_zone").alias("unique_dropoff_zones"))
-    b = soft_only(t.error_log).agg(F.count_distinct("row_num").alias("unique_flagged_rows"))
-    return cross_scalar(a, b)
+    zones = distinct_from_bitmaps(bitmaps(t), ["unique_pickup_zones", "unique_dropoff_zones"])
+    rows = flags(t).where(F.col("err_type").isNull()).select(F.col("count").alias("unique_flagged_rows"))
+    return cross_scalar(zones, rows)
 
 
 def _aggregate_groups(t: Tables) -> DataFrame:
@@ -129,9 +134,13 @@ def _detect(spark, sf):
     return _library_features(spark, sf).select("row_num", F.array_join(detect_anomalies(), ",").alias("anomaly_types"))
 
 
-def _rounded(query: Callable[[Tables], DataFrame], *columns: str) -> Query:
+def _rounded_frame(df: DataFrame, *columns: str) -> DataFrame:
     """Percentiles rounded for the comparison only: engines interpolate with different last bits."""
-    return _t(lambda t: (df := query(t)).select(*[to_fixed(c, 6).alias(c) if c in columns else F.col(c) for c in df.columns]))
+    return df.select(*[to_fixed(c, 6).alias(c) if c in columns else F.col(c) for c in df.columns])
+
+
+def _rounded(query: Callable[[Tables], DataFrame], *columns: str) -> Query:
+    return _t(lambda t: _rounded_frame(query(t), *columns))
 
 
 def _aggregate_long_decimals(spark, sf):
@@ -152,6 +161,16 @@ def _two_loads(spark, sf) -> Tables:
     return from_store(spark, root)
 
 
+def _late_zones(spark, sf) -> Tables:
+    """Two loads, of which only the second brings half of the zones: rows of the first that wait for them are taken in then."""
+    raw, zones, features = fixture_inputs(spark, sf)
+    root = f"{shared_dir(spark)}/store-{uuid.uuid4().hex}"
+    half = F.pmod(F.xxhash64("tpep_pickup_datetime", "tpep_dropoff_datetime"), F.lit(2))
+    for n, known in enumerate((zones.where("id <= 12"), zones)):
+        write_loaded(load(raw.where(half == n), known, created_at=FIXTURE_CREATED_AT), known, root, zone_shapes(features), load_id=f"part{n}")
+    return from_store(spark, root)
+
+
 def _store(fn) -> Query:
     return lambda spark, sf: fn(_two_loads(spark, sf))
 
@@ -185,10 +204,41 @@ def _limits(t: Tables) -> DataFrame:
 
 
 def _stream_counters(spark, sf):
-    from ..streaming.ingest import stream_fixture
-    done = spark.read.parquet(f"{stream_fixture(spark, sf)}/load_summary")
-    return done.agg(F.count_distinct("epoch").alias("epochs"), F.sum("total_raw_rows").alias("total_raw_rows"), F.sum("excluded").alias("excluded"),
-                    F.sum("inserted").alias("inserted"), F.sum("quarantined").alias("quarantined"))
+    from ..streaming.ingest import stream_fixture, stream_summary
+    return stream_summary(spark, stream_fixture(spark, sf))
+
+
+def _redelivered_trips(spark, sf):
+    from ..streaming.ingest import stream_redelivery
+    return _iso_trips(spark.read.parquet(f"{stream_redelivery(spark, sf)}/trips"))
+
+
+def _late_rows(spark, sf):
+    from ..streaming.ingest import stream_redelivery
+    late = spark.read.parquet(f"{stream_redelivery(spark, sf)}/late")
+    return late.select("row_num", iso_timestamp("pickup_time").alias("pickup_time"), "total")
+
+
+def _redelivery_counters(spark, sf):
+    from ..streaming.ingest import stream_redelivery, stream_summary
+    return stream_summary(spark, stream_redelivery(spark, sf))
+
+
+def _second_page(t: Tables, flag_type: str | None = None) -> DataFrame:
+    last = anomalies.anomaly_page(t, 50, None, flag_type).select("cursor").tail(1)
+    return anomalies.anomaly_page(t, 50, last[0].cursor if last else None, flag_type).drop("cursor")
+
+
+def _files(spark, sf) -> Tables:
+    """The fixture as files (trips in several, in row order), loaded by one call from their paths."""
+    raw, zones, features = fixture_inputs(spark, sf)
+    at = f"{shared_dir(spark)}/files-{uuid.uuid4().hex}"
+    raw.repartitionByRange(4, "row_num").sortWithinPartitions("row_num").select(*RAW_TRIP_COLUMNS).write.option("header", True).csv(f"{at}/trips")
+    named = zones.select(F.col("id").alias("LocationID"), F.col("borough").alias("Borough"), F.col("zone_name").alias("Zone"), "service_zone")
+    named.write.option("header", True).csv(f"{at}/zones")
+    features.write.json(f"{at}/polygons")
+    load_files(spark, f"{at}/store", f"{at}/trips", f"{at}/zones", f"{at}/polygons", created_at=FIXTURE_CREATED_AT)
+    return from_store(spark, f"{at}/store")
 
 
 def _partition(spark, sf):
@@ -232,11 +282,8 @@ def _stream_trips(spark, sf):
 
 
 def _stream_hourly(spark, sf):
-    from ..streaming.ingest import hourly_stats_from_partials, stream_fixture
-    merged = hourly_stats_from_partials(spark, stream_fixture(spark, sf))
-    return merged.select(iso_timestamp("hour_block_ts").alias("hour_block"), "hour_of_day",
-                         F.col("total_trips").cast("bigint").alias("total_trips"), "avg_price", "avg_tip",
-                         "avg_tip_pct", "avg_duration", "avg_speed", "revenue", "earnings_per_min")
+    from ..streaming.ingest import stream_fixture, stream_hourly_stats
+    return stream_hourly_stats(spark, stream_fixture(spark, sf))
 
 
 def _scan_csv(spark, sf):
@@ -284,13 +331,28 @@ def queries() -> dict[str, Query]:
         "store_two_loads_trips": _store(lambda t: _iso_trips(t.trips)),
         "store_two_loads_error_log": _store(lambda t: _error_rows(t.error_log)),
         "store_zone_stats": _store(stats.zone_stats),
+        "store_hourly_stats": _store(stats.hourly_stats),
         "store_zones": _store(lambda t: t.zones.select("id", "borough", "zone_name", "service_zone")),
+        "store_readmitted_trips": lambda spark, sf: _iso_trips(_late_zones(spark, sf).trips),
+        "store_readmitted_quarantine": lambda spark, sf: _iso_trips(_late_zones(spark, sf).quarantine),
+        "store_readmitted_zone_stats": lambda spark, sf: stats.zone_stats(_late_zones(spark, sf)),
+        "store_profitability_by_borough": lambda spark, sf: _rounded_frame(profitability.by_borough(_two_loads(spark, sf)), "median_fare", "median_revenue_per_minute"),
+        "store_tips_payment_comparison": lambda spark, sf: _rounded_frame(tips.payment_comparison(_two_loads(spark, sf)), "median_tip_percentage", "p90_tip_percentage"),
+        "anomalies_page_after": _t(_second_page),
+        "anomalies_page_after_typed": _t(lambda t: _second_page(t, "HIGH_SPEED")),
+        "store_anomalies_page_after": _store(_second_page),
+        "load_files_trips": lambda spark, sf: _iso_trips(_files(spark, sf).trips),
+        "load_files_zone_stats": lambda spark, sf: stats.zone_stats(_files(spark, sf)),
+        "store_overview_kpis": _store(overview.overview_kpis),
+        "store_anomalies_summary": _store(_summary_types),
         "sort_by_any_column": _t(_sort_any),
         # named queries
         "overview_kpis": _t(overview.overview_kpis),
         "overview_trips_over_time_day": _t(lambda t: overview.trips_over_time(t, "day")),
         "overview_trips_over_time_hour": _t(lambda t: overview.trips_over_time(t, "hour")),
         "overview_top_zones": _t(lambda t: overview.top_zones(t)),
+        "overview_trips_over_time_meta": _t(lambda t: overview.trips_over_time_meta(t, "hour")[1]),
+        "overview_top_zones_meta": _t(lambda t: overview.top_zones_meta(t, "15")[1]),
         "overview_top_zones_100": _t(lambda t: overview.top_zones(t, 100)),
         "profitability_top_zones": _t(lambda t: profitability.top_profitable_zones(t)),
         "profitability_by_borough": _rounded(profitability.by_borough, "median_fare", "median_revenue_per_minute"),
@@ -328,6 +390,9 @@ def queries() -> dict[str, Query]:
         "stream_trips": _stream_trips,
         "stream_hourly_stats": _stream_hourly,
         "stream_counters": _stream_counters,
+        "stream_redelivery_trips": _redelivered_trips,
+        "stream_late_rows": _late_rows,
+        "stream_redelivery_counters": _redelivery_counters,
     }
     for code in FLAG_META:
         q[f"flag_{code.lower()}"] = _flag_query(code)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.geo import zone_shapes
-from ..session import ensure_conf, join_path, path_exists
+from ..operators.sinks import first_stored, waiting
+from ..session import child_names, ensure_conf, join_path, path_exists
 from ..sources.fixtures import raw_trips_from_lineitem, zone_polygons_from_part, zones_from_nation
 from ..sources.tables import read_table
 from .pipeline import Loaded, load
@@ -20,7 +21,9 @@ class Tables:
     Members built from the pipeline are created on first use only."""
 
     def __init__(self, trips=None, zones=None, error_log=None, zone_shapes=None, loaded: Loaded | None = None,
-                 features: DataFrame | None = None):
+                 features: DataFrame | None = None, partials: dict[str, DataFrame] | None = None,
+                 quarantine: DataFrame | None = None):
+        self._partials, self._quarantine = partials or {}, quarantine
         self._trips, self.zones, self._error_log, self._zone_shapes = trips, zones, error_log, zone_shapes
         self.loaded, self._features = loaded, features
 
@@ -30,6 +33,15 @@ class Tables:
             self._trips = self.loaded.trips
         return self._trips
 
+    @property
+    def quarantine(self) -> DataFrame:
+        """Kept trips whose zone references aren't all known (yet)."""
+        return self.loaded.quarantine if self._quarantine is None else self._quarantine
+
+    def partials(self, name: str) -> DataFrame | None:
+        """Stored partials of all loads, one set of rows per load; None if the store has none for some load."""
+        return self._partials.get(name)
+
     @property
     def error_log(self) -> DataFrame:
         if self._error_log is None:
@@ -59,10 +71,18 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(zones=zones, loaded=load(raw, zones, created_at=FIXTURE_CREATED_AT), features=features)
 
 
+#: Tables of mergeable partials that every load writes from its own trips and flags (plans.rollups, plans.stats).
+PARTIALS = ("hourly_partials", "trip_cube", "value_counts", "zone_bitmaps", "flag_counts", "flag_pages")
+
+
 def from_store(spark: SparkSession, root: str) -> Tables:
     """Tables previously written by ``operators.sinks.write_loaded`` under ``root``."""
     ensure_conf(spark)
     p = lambda name: join_path(root, name)
+    loads = lambda name: {n for n in child_names(spark, p(name)) if n.startswith("load_id=")}
     shapes = spark.read.parquet(p("zone_shapes")) if path_exists(spark, p("zone_shapes")) else None
-    return Tables(trips=spark.read.parquet(p("trips")), zones=spark.read.parquet(p("zones")),
-                  error_log=spark.read.parquet(p("error_log")), zone_shapes=shapes)
+    stored = {name: loads(name) for name in ("trips", "error_log", *PARTIALS)}
+    # a table of partials is used only if every load has written one; rows that waited have no flags of their own
+    whole = [name for name in PARTIALS if stored["trips"] and stored[name] == stored["error_log" if name.startswith("flag_") else "trips"]]
+    return Tables(trips=spark.read.parquet(p("trips")), zones=first_stored(spark.read.parquet(p("zones"))), error_log=spark.read.parquet(p("error_log")),
+                  zone_shapes=shapes, partials={name: spark.read.parquet(p(name)) for name in whole}, quarantine=waiting(spark, root))

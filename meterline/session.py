@@ -70,9 +70,9 @@ def join_path(root: str, *parts: str) -> str:
     return "/".join([root.rstrip("/"), *parts])
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` computed once, written to the shared folder and read back."""
-    path = join_path(shared_dir(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
+def written(df: DataFrame, name: str, under: str | None = None) -> DataFrame:
+    """``df`` computed once, written to a folder of its own ``under`` that path (default: the shared folder) and read back."""
+    path = join_path(under or shared_dir(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -92,3 +92,69 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Remove an intermediate table of our own."""
     fs, where = _file_system(spark, path)
     fs.delete(where, True)
+
+
+def make_dirs(spark: SparkSession, path: str) -> None:
+    fs, where = _file_system(spark, path)
+    fs.mkdirs(where)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    fs, where = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(where)) if fs.exists(where) else []
+
+
+def commit_folder(spark: SparkSession, staged: str, path: str) -> bool:
+    """Give a finished folder its final name in one step. False, and nothing changes, if that name is taken: the work was
+    done before."""
+    fs, where = _file_system(spark, path)
+    if fs.exists(where):
+        return False
+    fs.mkdirs(where.getParent())
+    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(staged), where):
+        raise OSError(f"{staged} can't be renamed to {path}")
+    return True
+
+
+#: A file in a table's folder that names the version to read.
+_POINTER = "_CURRENT"
+#: Versions that stay beside the current one, for readers that have opened them.
+_OLD_VERSIONS = 1
+
+
+def switch_version(spark: SparkSession, root: str, name: str, df: DataFrame) -> str:
+    """Write ``df`` as a new version of a table, then point readers to it by replacing the pointer file in one step."""
+    folder, version = join_path(root, name), f"v-{uuid.uuid4().hex}"
+    before = current_version(spark, root, name)
+    df.write.parquet(join_path(folder, version))
+    jvm = spark._jvm
+    fs, draft = _file_system(spark, join_path(folder, f"{_POINTER}.{version}"))
+    out = fs.create(draft, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(fs.makeQualified(draft), fs.makeQualified(jvm.org.apache.hadoop.fs.Path(join_path(folder, _POINTER))), options)
+    aside = [(f.getModificationTime(), f.getPath()) for f in fs.listStatus(jvm.org.apache.hadoop.fs.Path(folder))
+             if f.getPath().getName().startswith("v-") and f.getPath().getName() not in (version, before)]
+    for _, old in sorted(aside, key=lambda x: x[0])[:max(0, len(aside) + 1 - _OLD_VERSIONS)]:
+        fs.delete(old, True)
+    return version
+
+
+def current_version(spark: SparkSession, root: str, name: str) -> str | None:
+    fs, where = _file_system(spark, join_path(root, name, _POINTER))
+    if not fs.exists(where):
+        return None
+    pointer = fs.open(where)  # a name that readers of data skip
+    try:
+        return bytes(pointer.readAllBytes()).decode()
+    finally:
+        pointer.close()
+
+
+def read_version(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The current version of a table that ``switch_version`` writes."""
+    return spark.read.parquet(join_path(root, name, current_version(spark, root, name)))

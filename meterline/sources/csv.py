@@ -22,32 +22,34 @@ def _read_header_csv(spark: SparkSession, path: str) -> DataFrame:
             .csv(path))
 
 
-def scan_trips_csv(spark: SparkSession, path: str, numbered: bool = True) -> DataFrame:
-    raw = _read_header_csv(spark, path)
+def scan_trips_csv(spark: SparkSession, csv_path: str, numbered: bool = True, path: str | None = None) -> DataFrame:
+    """The trips of ``csv_path``, numbered in file order; ``path`` as in ``number_rows``."""
+    raw = _read_header_csv(spark, csv_path)
     present = set(raw.columns)
     cols = [F.coalesce(F.col(c), F.lit("")).alias(c) if c in present else F.lit("").alias(c)
             for c in RAW_TRIP_COLUMNS]
     df = raw.select(*cols)
-    return number_rows(df, file_order=True) if numbered else df
+    return number_rows(df, file_order=True, path=path) if numbered else df
 
 
-def number_rows(df: DataFrame, col: str = "row_num", file_order: bool = False) -> DataFrame:
+def number_rows(df: DataFrame, col: str = "row_num", file_order: bool = False, path: str | None = None) -> DataFrame:
     """1-based row number in input order, contiguous across partitions or files.
 
     The frame is computed once and written with the place of each row (partition, and file and offset for a bare
     file scan), so every later step means the same rows. Blocks of rows (one per partition or file split) are counted;
     the count before each block plus the place inside it is the number. ``file_order`` orders blocks by file name
-    and offset, else they stand in partition order (the ranges of a sorted frame).
+    and offset, else they stand in partition order (the ranges of a sorted frame). The written frames stand under ``path``,
+    which the caller removes when the result has been used; without it, in the shared folder.
     """
     blk = ["_ml_file", "_ml_start", "_ml_pid"] if file_order else ["_ml_pid"]
     tagged = df
     if file_order:
         tagged = tagged.withColumn("_ml_file", F.input_file_name()).withColumn("_ml_start", F.input_file_block_start())
-    tagged = written(tagged.withColumn("_ml_pid", F.spark_partition_id()).withColumn("_ml_mid", F.monotonically_increasing_id()), "numbered")
+    tagged = written(tagged.withColumn("_ml_pid", F.spark_partition_id()).withColumn("_ml_mid", F.monotonically_increasing_id()), "numbered", path)
     blocks = tagged.groupBy(*blk).agg(F.count(F.lit(1)).alias("_ml_n"), F.min("_ml_mid").alias("_ml_first"))
     if file_order:  # blocks in file order get consecutive numbers themselves
         plain = {c: f"b{c}" for c in blocks.columns}
-        blocks = number_rows(blocks.orderBy(*blk).withColumnsRenamed(plain), "_ml_block").withColumnsRenamed({v: k for k, v in plain.items()})
+        blocks = number_rows(blocks.orderBy(*blk).withColumnsRenamed(plain), "_ml_block", path=path).withColumnsRenamed({v: k for k, v in plain.items()})
     else:
         blocks = blocks.withColumn("_ml_block", F.col("_ml_pid"))
     numbered = tagged.join(_offsets(blocks).select(*blk, "_ml_first", "_ml_off"), blk)  # one row per block; AQE sizes it
@@ -66,11 +68,11 @@ def _offsets(blocks: DataFrame, group: int = 1024) -> DataFrame:
     return blocks.withColumn("_ml_in", inside).join(totals, "_ml_group").withColumn("_ml_off", F.col("_ml_base") + F.col("_ml_in"))
 
 
-def scan_zones_csv(spark: SparkSession, path: str, numbered: bool = False) -> DataFrame:
+def scan_zones_csv(spark: SparkSession, csv_path: str, numbered: bool = False, path: str | None = None) -> DataFrame:
     """Zone lookup: id int, empty text → NULL; 'N/A' stays a string. ``numbered`` adds row_num in file order."""
-    raw = _read_header_csv(spark, path)
+    raw = _read_header_csv(spark, csv_path)
     if numbered:
-        raw = number_rows(raw, file_order=True)
+        raw = number_rows(raw, file_order=True, path=path)
     return raw.select(
         *(["row_num"] if numbered else []),
         parse_int("LocationID").cast("int").alias("id"),

@@ -1,111 +1,250 @@
-"""Streaming load: file source → micro-batches → the same pipeline → epoch-partitioned tables.
-
-* ``readStream`` over a directory (or glob) of raw trip files, ``maxFilesPerTrigger`` bounds a batch.
-* ``foreachBatch`` runs the batch pipeline on each micro-batch. Keep-first across batches uses a durable
-  table of trip keys already seen (``seen_keys``): a batch's first occurrences are anti-joined against the
-  keys of *earlier* epochs, so a replayed epoch gives the same answer (exactly-once by idempotent writes).
-* Every output is written to ``<table>/epoch=<id>`` with overwrite of that partition only.
-* Hourly statistics are kept as exact partial aggregates per epoch and merged at read time.
-* Progress counters are attached with ``observe`` and reported through ``StreamingQuery.lastProgress``.
+"""Streaming load in three hops, each a Structured Streaming query with a checkpoint of its own:
+
+* ``rows``: raw files → normalised rows, once per micro-batch. Writes the quality flags and, for ``trips``, the first
+  occurrence of each trip key of the batch. A row whose pickup lies more than the allowed lateness before the newest
+  pickup of *earlier* batches goes to the table ``late`` instead.
+* ``trips``: keep-first over the whole stream in Spark's keyed state (RocksDB): per trip key the first row and when it
+  came. A watermark on the pickup time, as late as ``late`` is, evicts keys. Writes trips, quarantine and anomaly flags.
+* ``hours``: windowed aggregation of the trips' exact partial sums, with a watermark too. Writes the windows that changed.
+
+Hops hand over folders that get their final name in one step, so the next query sees whole batches only, and the queries
+after the first delete what they have read. A trip key holds the pickup time, so a repeated row behind the watermark is
+late itself: it can't be taken for a new trip when its key has gone from the state.
+
+What a batch needs of the past is the running totals of the batch before it (one row under ``progress``), never a list of
+all batches. Every output is written under the number of its batch and replaces only that, so a replayed batch writes the
+same rows again; totals are counted from written rows and built on the batch before, so a replay doesn't count twice.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dedup import trip_key_text
-from ..plans.pipeline import Loaded, load
-from ..session import ensure_conf, join_path, path_exists, remove_path, shared_dir
-from ..sources.fixtures import raw_trips_from_lineitem, zones_from_nation
+from ..config import MAX_SPEED_MPH, MAX_TIP_PERCENTAGE, RAW_TRIP_COLUMNS, TIMESTAMP_FORMATS
+from ..operators.dedup import TRIP_KEY
+from ..operators.errorlog import post_rows, quality_rows
+from ..operators.joins import mark_orphans
+from ..operators.normalise import normalise
+from ..plans.pipeline import TRIP_COLUMNS, first_occurrences, with_candidates
+from ..plans.stats import HOUR_KEYS, HOUR_METRICS, hourly_from, hourly_partials, merged
+from ..session import child_names, commit_folder, ensure_conf, join_path, make_dirs, path_exists, remove_path, shared_dir
 from ..sources.csv import number_rows
+from ..sources.fixtures import raw_trips_from_lineitem, zones_from_nation
 from ..sources.tables import read_table
-from ..config import RAW_TRIP_COLUMNS
-
-
-def _p(root: str, *parts: str) -> str:
-    return join_path(root, *parts)
-
-
-def _write_epoch(df: DataFrame, root: str, table: str, epoch: int) -> None:
-    df.write.mode("overwrite").parquet(_p(root, table, f"epoch={epoch}"))
-
-
-def _seen_before(spark: SparkSession, root: str, epoch: int) -> DataFrame | None:
-    path = _p(root, "seen_keys")
-    if not path_exists(spark, path):  # first batch; any other failure ends the batch
-        return None
-    return spark.read.parquet(path).where(F.col("epoch") < epoch).select("trip_key", "pickup_day")
-
-
-def _rows_before(spark: SparkSession, root: str, epoch: int) -> int:
-    if not path_exists(spark, _p(root, "load_summary")):
-        return 0
-    done = spark.read.parquet(_p(root, "load_summary")).where(F.col("epoch") < epoch)
-    return int(done.agg(F.coalesce(F.sum("total_raw_rows"), F.lit(0))).first()[0])
-
-
-def process_batch(batch: DataFrame, epoch: int, zones: DataFrame, root: str, load_options: dict | None = None) -> None:
-    spark = batch.sparkSession
-    if "row_num" not in batch.columns:
-        # file order across micro-batches: continue the numbering after the rows of earlier epochs
-        offset = _rows_before(spark, root, epoch)
-        batch = number_rows(batch, file_order=True).withColumn("row_num", F.col("row_num") + F.lit(offset))
-    staging = _p(root, "_staged", f"epoch={epoch}")
-    loaded = load(batch, zones, **(load_options or {})).staged(staging, zones)   # the batch is read once
-    kept = loaded.kept.withColumn("trip_key", trip_key_text()).withColumn("pickup_day", F.to_date("pickup_time"))
-    seen = _seen_before(spark, root, epoch)
-    if seen is not None:   # equal keys have equal days, so only the batch's own days of the history are read
-        days = [r[0] for r in kept.select("pickup_day").distinct().collect()]
-        kept = kept.join(seen.where(F.col("pickup_day").isin(days)), ["trip_key", "pickup_day"], "left_anti")
-    kept.write.mode("overwrite").parquet(f"{staging}/first")
-    first = spark.read.schema(kept.schema).parquet(f"{staging}/first")
-    loaded = Loaded(norm=loaded.norm, kept=first.drop("trip_key", "pickup_day"), created_at=loaded.created_at, params=loaded.params)
-    first.select("trip_key", "pickup_day").write.mode("overwrite").partitionBy("pickup_day").parquet(_p(root, "seen_keys", f"epoch={epoch}"))
-    _write_epoch(loaded.trips, root, "trips", epoch)
-    _write_epoch(loaded.quarantine, root, "quarantine", epoch)
-    _write_epoch(loaded.error_log, root, "error_log", epoch)
-    _write_epoch(hourly_partials(loaded.trips), root, "hourly_partials", epoch)
-    counters = loaded.summary.observe("batch_counters", F.sum("total_raw_rows").alias("raw_rows"))
-    _write_epoch(counters, root, "load_summary", epoch)
-    remove_path(spark, staging)
-
-
-def hourly_partials(trips: DataFrame) -> DataFrame:
-    """Exact, mergeable partial aggregates per (hour block, hour of day)."""
-    dec = lambda c: F.sum(F.round(F.col(c) * F.lit(10000.0)).cast("bigint"))  # noqa: E731  exact 1e-4 units
-    cnt = lambda c: F.count(c)
-    metrics = ["total", "tip", "tip_pct", "duration_min", "speed_mph", "money_per_min"]
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for m in metrics:
-        aggs += [dec(m).alias(f"s_{m}"), cnt(m).alias(f"c_{m}")]
-    return trips.groupBy(F.date_trunc("hour", "pickup_time").alias("hour_block_ts"), "hour_of_day").agg(*aggs)
-
-
-def hourly_stats_from_partials(spark: SparkSession, root: str) -> DataFrame:
-    parts = spark.read.parquet(_p(root, "hourly_partials"))
-    avg = lambda m: (F.sum(f"s_{m}") / F.lit(10000.0) / F.nullif(F.sum(f"c_{m}"), F.lit(0)))
-    return (parts.groupBy("hour_block_ts", "hour_of_day")
-            .agg(F.sum("n").alias("total_trips"), avg("total").alias("avg_price"), avg("tip").alias("avg_tip"),
-                 avg("tip_pct").alias("avg_tip_pct"), avg("duration_min").alias("avg_duration"),
-                 avg("speed_mph").alias("avg_speed"), (F.sum("s_total") / F.lit(10000.0)).alias("revenue"),
-                 avg("money_per_min").alias("earnings_per_min")))
-
-
-def start_ingest(raw_stream: DataFrame, zones: DataFrame, root: str, checkpoint: str | None = None,
-                 available_now: bool = True, processing_time: str | None = None,
-                 load_options: dict | None = None):
-    """Start the streaming load; returns the StreamingQuery. ``load_options`` are the run parameters of ``load``."""
-    ckpt = checkpoint or _p(root, "_checkpoint")
-    # progress counters per micro-batch, reported in StreamingQuery.lastProgress["observedMetrics"]
-    observed = raw_stream.observe("ingest_counters", F.count(F.lit(1)).alias("rows"))
-    writer = (observed.writeStream
-              .foreachBatch(lambda df, epoch: process_batch(df, epoch, zones, root, load_options))
-              .option("checkpointLocation", ckpt))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time or "30 seconds")
-    return writer.start()
+
+#: How far a pickup may lie before the newest one and still be taken.
+LATENESS = "31 days"
+#: Versions of changed windows that are kept before they are written as one.
+COMPACT_AFTER = 32
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_QUERIES = ("rows", "trips", "hours")
+
+
+def _write(df: DataFrame, root: str, table: str, epoch: int) -> None:
+    df.write.mode("overwrite").parquet(join_path(root, table, f"epoch={epoch}"))
+
+
+def _numbers(spark: SparkSession, root: str, table: str) -> list[int]:
+    return sorted(int(n.partition("=")[2]) for n in child_names(spark, join_path(root, table)) if n.startswith("epoch="))
+
+
+def _totals(spark: SparkSession, root: str, query: str, epoch: int | None = None) -> dict:
+    """Running totals up to and with batch ``epoch`` (default: the last one); empty before the first."""
+    table = f"progress/{query}"
+    if epoch is None:
+        epoch = max(_numbers(spark, root, table), default=-1)
+    if epoch < 0:
+        return {}
+    return spark.read.parquet(join_path(root, table, f"epoch={epoch}")).first().asDict()
+
+
+def _advance(spark: SparkSession, root: str, query: str, epoch: int, before: dict, counted: DataFrame) -> None:
+    """Write the totals with this batch's counts (one row). Numbers are added, times give the latest. The totals of the
+    batch before stay, for a replay of this one; older ones go."""
+    row = counted.first().asDict()
+    new = {k: (max(filter(None, (v, before.get(k))), default=None) if k.endswith("_time") else (v or 0) + before.get(k, 0)) for k, v in row.items()}
+    schema = ", ".join(f"{k} {'timestamp' if k.endswith('_time') else 'bigint'}" for k in new)
+    _write(spark.createDataFrame([tuple(new.values())], schema).coalesce(1), root, f"progress/{query}", epoch)
+    for old in _numbers(spark, root, f"progress/{query}"):
+        if old < epoch - 1:
+            remove_path(spark, join_path(root, f"progress/{query}", f"epoch={old}"))
+
+
+def _hand_over(df: DataFrame, root: str, table: str, epoch: int) -> None:
+    """Write a folder that the next query reads, unless an earlier attempt of this batch has."""
+    spark, path = df.sparkSession, join_path(root, table, f"batch-{epoch}")
+    if path_exists(spark, path):
+        return
+    staged = join_path(root, "_staged", f"{table}-{epoch}")
+    df.write.mode("overwrite").parquet(staged)
+    commit_folder(spark, staged, path)
+
+
+class Ingest:
+    """The streaming load of one store. ``lateness`` is an interval text; the load's parameters are those of ``load``."""
+
+    def __init__(self, raw_stream: DataFrame, zones: DataFrame, root: str, checkpoint: str | None = None, lateness: str = LATENESS, created_at=None,
+                 timestamp_formats=TIMESTAMP_FORMATS, max_speed: float = MAX_SPEED_MPH, max_tip_pct: float = MAX_TIP_PERCENTAGE):
+        self.spark, self.raw, self.zones, self.root, self.lateness = raw_stream.sparkSession, raw_stream, zones, root, lateness
+        self.checkpoint, self.created_at = checkpoint or join_path(root, "_checkpoint"), created_at
+        self.formats, self.params = timestamp_formats, (max_speed, max_tip_pct)
+        self.queries: list = []
+        for folder in ("candidates", "hour_parts"):
+            make_dirs(self.spark, join_path(root, folder))
+
+    def _started(self, stream: DataFrame, name: str, body: Callable[[DataFrame, int], None], trigger: dict, mode: str = "append"):
+        def batch(df: DataFrame, epoch: int) -> None:
+            body(df, epoch)
+            remove_path(df.sparkSession, join_path(self.root, "_staged", f"{name}-{epoch}"))
+
+        own = {"spark.sql.streaming.stateStore.providerClass": _ROCKSDB, "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+        before = {k: self.spark.conf.get(k, None) for k in own}
+        try:  # a query keeps the settings it starts with
+            for k, v in own.items():
+                self.spark.conf.set(k, v)
+            return (stream.writeStream.queryName(f"ingest-{name}-{uuid.uuid4().hex[:8]}").outputMode(mode).foreachBatch(batch)
+                    .option("checkpointLocation", join_path(self.checkpoint, name)).trigger(**trigger).start())
+        finally:
+            for k, v in before.items():
+                self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
+
+    # rows ---------------------------------------------------------------------------------------------------------
+
+    def _rows(self, trigger: dict):
+        observed = self.raw.observe("ingest_counters", F.count(F.lit(1)).alias("rows"))  # shown in lastProgress
+        return self._started(observed, "rows", self._rows_batch, trigger)
+
+    def _rows_batch(self, batch: DataFrame, epoch: int) -> None:
+        spark, staging = batch.sparkSession, join_path(self.root, "_staged", f"rows-{epoch}")
+        before = _totals(spark, self.root, "rows", epoch - 1)
+        if "row_num" not in batch.columns:  # numbers go on after the rows of earlier batches, in file order
+            batch = number_rows(batch, file_order=True, path=staging).withColumn("row_num", F.col("row_num") + F.lit(before.get("total_raw_rows", 0)))
+        norm = with_candidates(normalise(batch, self.formats), self.params)
+        newest = before.get("newest_pickup_time")
+        oldest = F.lit(None).cast("timestamp") if newest is None else F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {self.lateness}")
+        norm = norm.withColumn("late", F.col("hard_code").isNull() & F.coalesce(F.col("pickup_time") < oldest, F.lit(False)))
+        norm.write.mode("overwrite").parquet(f"{staging}/norm")  # the only read of the input
+        norm = spark.read.schema(norm.schema).parquet(f"{staging}/norm")
+        first = first_occurrences(norm.where(~F.col("late")).drop("late"), self.params).withColumn("arrival", F.lit(epoch).cast("bigint"))
+        _hand_over(first, self.root, "candidates", epoch)
+        _write(quality_rows(norm, "raw_flags", self.created_at), self.root, "error_log/step=rows", epoch)
+        if newest is not None:
+            _write(norm.where("late").select(*TRIP_COLUMNS), self.root, "late", epoch)
+        counted = norm.agg(F.count(F.lit(1)).alias("total_raw_rows"), F.count_if(F.col("hard_code").isNotNull()).alias("excluded"), F.count_if("late").alias("late"),
+                           F.max(F.when(F.col("hard_code").isNull(), F.col("pickup_time"))).alias("newest_pickup_time"))
+        _write(counted.drop("newest_pickup_time"), self.root, "load_summary", epoch)
+        _advance(spark, self.root, "rows", epoch, before, counted)
+
+    # trips --------------------------------------------------------------------------------------------------------
+
+    def _candidates(self) -> DataFrame:
+        raw = self.spark.createDataFrame([], "row_num bigint, " + ", ".join(f"`{c}` string" for c in RAW_TRIP_COLUMNS))
+        schema = first_occurrences(normalise(raw, self.formats), self.params).withColumn("arrival", F.lit(0).cast("bigint")).schema
+        return self.spark.readStream.schema(schema).option("recursiveFileLookup", True).option("cleanSource", "delete").parquet(join_path(self.root, "candidates"))
+
+    def _trips(self, trigger: dict):
+        stream = self._candidates()
+        # one second more than the rule for late rows, so that no row is dropped here that was let in there
+        rows = stream.withWatermark("pickup_time", f"{self.lateness} 1 second").withColumn("_ml_now", F.current_timestamp())
+        row = F.struct(*[F.col(c) for c in stream.columns])
+        keyed = rows.groupBy(*TRIP_KEY).agg(F.min_by(row, F.struct("arrival", "row_num")).alias("first"), F.min("_ml_now").alias("born"), F.max("_ml_now").alias("touched"))
+        return self._started(keyed, "trips", self._trips_batch, trigger, "update")
+
+    def _trips_batch(self, batch: DataFrame, epoch: int) -> None:
+        spark, staging = batch.sparkSession, join_path(self.root, "_staged", f"trips-{epoch}")
+        before = _totals(spark, self.root, "trips", epoch - 1)
+        # all keys that this batch touched; new are those whose first row came in this batch
+        new = mark_orphans(batch.where(F.col("born") == F.col("touched")).select("first.*").drop("arrival"), self.zones)
+        new.write.mode("overwrite").parquet(staging)
+        kept = spark.read.schema(new.schema).parquet(staging)
+        trips = kept.where(~F.col("orphan")).select(*TRIP_COLUMNS)
+        _write(trips, self.root, "trips", epoch)
+        _write(kept.where("orphan").select(*TRIP_COLUMNS), self.root, "quarantine", epoch)
+        _write(post_rows(kept, self.created_at), self.root, "error_log/step=trips", epoch)
+        _hand_over(hourly_partials(trips), self.root, "hour_parts", epoch)
+        counted = kept.agg(F.count(F.lit(1)).alias("kept"), F.count_if(F.size("post_flags") > 0).alias("flagged"), F.count_if(~F.col("orphan")).alias("inserted"))
+        _advance(spark, self.root, "trips", epoch, before, counted)
+
+    # hours --------------------------------------------------------------------------------------------------------
+
+    def _hours(self, trigger: dict):
+        schema = hourly_partials(self.spark.createDataFrame([], "pickup_time timestamp, hour_of_day int, " + ", ".join(f"{m} double" for m in HOUR_METRICS))).schema
+        parts = self.spark.readStream.schema(schema).option("recursiveFileLookup", True).option("cleanSource", "delete").parquet(join_path(self.root, "hour_parts"))
+        window = F.window("hour_block_ts", "1 hour")
+        hours = merged([window.alias("w"), F.col("hour_of_day")], HOUR_METRICS, parts.withWatermark("hour_block_ts", f"{self.lateness} 2 hours"))
+        return self._started(hours, "hours", self._hours_batch, trigger, "update")
+
+    def _hours_batch(self, batch: DataFrame, epoch: int) -> None:
+        spark, table = batch.sparkSession, "hour_windows"
+        _write(batch.select(F.col("w.start").alias("hour_block_ts"), *[c for c in batch.columns if c != "w"]), self.root, table, epoch)
+        held = [n for n in _numbers(spark, self.root, table) if n <= epoch]
+        if len(held) > COMPACT_AFTER:  # all windows as of this batch, in its place
+            staged = join_path(self.root, "_staged", f"hours-{epoch}")
+            hour_windows(spark, self.root).write.mode("overwrite").parquet(staged)
+            _write(spark.read.parquet(staged), self.root, table, epoch)
+            for old in held[:-1]:
+                remove_path(spark, join_path(self.root, table, f"epoch={old}"))
+
+    # ---------------------------------------------------------------------------------------------------------------
+
+    def run(self) -> "Ingest":
+        """Take in what has arrived, hop after hop; returns when all is written, and raises what ended a query."""
+        for start in (self._rows, self._trips, self._hours):
+            query = start({"availableNow": True})
+            self.queries.append(query)
+            query.awaitTermination()
+            if query.exception() is not None:
+                raise query.exception()
+        return self
+
+    def start(self, processing_time: str = "30 seconds") -> "Ingest":
+        """All three queries side by side, until stopped."""
+        self.queries = [start({"processingTime": processing_time}) for start in (self._rows, self._trips, self._hours)]
+        return self
+
+    def stop(self) -> None:
+        for query in self.queries:
+            query.stop()
+
+    def awaitTermination(self) -> None:  # noqa: N802  like StreamingQuery
+        for query in self.queries:
+            query.awaitTermination()
+
+    def exception(self):
+        return next((e for q in self.queries if (e := q.exception()) is not None), None)
+
+
+def start_ingest(raw_stream: DataFrame, zones: DataFrame, root: str, checkpoint: str | None = None, available_now: bool = True,
+                 processing_time: str | None = None, load_options: dict | None = None, lateness: str = LATENESS) -> Ingest:
+    """The streaming load: what has arrived so far (``available_now``; returns when it is written), or until stopped.
+    ``load_options`` are the run parameters of ``load``."""
+    ingest = Ingest(raw_stream, zones, root, checkpoint, lateness, **(load_options or {}))
+    return ingest.run() if available_now else ingest.start(processing_time or "30 seconds")
+
+
+def hour_windows(spark: SparkSession, root: str) -> DataFrame:
+    """The exact partial sums of every hour so far: each window as of the last batch that changed it."""
+    versions = spark.read.parquet(join_path(root, "hour_windows"))
+    values = F.struct("n", *HOUR_METRICS)
+    return versions.groupBy(*HOUR_KEYS).agg(F.max_by(values, "epoch").alias("v")).select(*HOUR_KEYS, "v.*")
+
+
+def stream_hourly_stats(spark: SparkSession, root: str) -> DataFrame:
+    return hourly_from(hour_windows(spark, root))
+
+
+def stream_summary(spark: SparkSession, root: str) -> DataFrame:
+    """The counters of a streaming load so far (one row), from the last totals only."""
+    rows, trips = _totals(spark, root, "rows"), _totals(spark, root, "trips")
+    epochs = max(_numbers(spark, root, "progress/rows"), default=-1) + 1
+    raw, excluded, late, kept = rows.get("total_raw_rows", 0), rows.get("excluded", 0), rows.get("late", 0), trips.get("kept", 0)
+    flagged, inserted = trips.get("flagged", 0), trips.get("inserted", 0)
+    names = ("epochs", "total_raw_rows", "excluded", "late", "duplicates", "flagged", "clean", "inserted", "quarantined")
+    return spark.createDataFrame([(epochs, raw, excluded, late, raw - excluded - late - kept, flagged, kept - flagged, inserted, kept - inserted)], ", ".join(f"{n} bigint" for n in names))
 
 
 def trips_csv_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
@@ -118,25 +257,43 @@ def trips_csv_stream(spark: SparkSession, path: str, max_files_per_trigger: int
     return stream.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in RAW_TRIP_COLUMNS])
 
 
-def stream_fixture(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
-    """Stream the lineitem-derived fixture through the ingest (availableNow) as four arrivals in row order, one
-    micro-batch each; returns the output root."""
+def stream_arrivals(spark: SparkSession, arrivals: list[DataFrame], zones: DataFrame, root: str | None = None, lateness: str = LATENESS) -> str:
+    """Stream raw rows through the ingest, one arrival after the other, each in one micro-batch; returns the output root."""
+    root = root or join_path(shared_dir(spark), f"stream-{uuid.uuid4().hex}")
+    files = join_path(shared_dir(spark), f"stream-files-{uuid.uuid4().hex}")
+    for rows in arrivals:
+        rows.write.mode("append").parquet(files)
+        start_ingest(spark.readStream.schema(rows.schema).parquet(files), zones, root, lateness=lateness)
+    remove_path(spark, files)
+    return root
+
+
+def fixture_arrivals(spark: SparkSession, sf_dir: str, by: str) -> tuple[list[DataFrame], DataFrame]:
+    """The lineitem-derived fixture in four arrivals by a column, and its zones."""
     ensure_conf(spark)
-    root = root or _p(shared_dir(spark), f"stream-{uuid.uuid4().hex}")
     raw = raw_trips_from_lineitem(read_table(spark, sf_dir, "lineitem"))
     zones = zones_from_nation(read_table(spark, sf_dir, "nation"), read_table(spark, sf_dir, "region"))
-    files = _p(shared_dir(spark), f"stream-files-{uuid.uuid4().hex}")
-    cuts = raw.approxQuantile("row_num", [0.25, 0.5, 0.75], 0.01)
-    for low, high in zip([None, *cuts], [*cuts, None]):  # arrivals one after the other, all new files in one batch
-        arrived = raw if low is None else raw.where(F.col("row_num") >= low)
-        arrived = arrived if high is None else arrived.where(F.col("row_num") < high)
-        arrived.write.mode("append").parquet(files)
-        query = start_ingest(spark.readStream.schema(raw.schema).parquet(files), zones, root)
-        query.awaitTermination()
-        if query.exception() is not None:
-            raise query.exception()
-    return root
+    value = F.col(by) if by == "row_num" else F.unix_timestamp(F.to_timestamp(F.coalesce(F.try_to_timestamp(by), F.lit("2019-01-01 00:00:00"))))
+    cuts = raw.select(value.cast("double").alias("v")).approxQuantile("v", [0.25, 0.5, 0.75], 0.01)
+    arrivals = []
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        arrived = raw if low is None else raw.where(value >= low)
+        arrivals.append(arrived if high is None else arrived.where(value < high))
+    return arrivals, zones
+
+
+def stream_fixture(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
+    """Four arrivals in row order: pickups of all days in each, repeated keys in all of them."""
+    return stream_arrivals(spark, *fixture_arrivals(spark, sf_dir, "row_num"), root=root)
+
+
+def stream_redelivery(spark: SparkSession, sf_dir: str, root: str | None = None, lateness: str = "7 days") -> str:
+    """Four arrivals in order of pickup, then all rows once more: those within the lateness are found in the state, the
+    others are late."""
+    arrivals, zones = fixture_arrivals(spark, sf_dir, "tpep_pickup_datetime")
+    again = raw_trips_from_lineitem(read_table(spark, sf_dir, "lineitem"))
+    return stream_arrivals(spark, [*arrivals, again], zones, root, lateness)
 
 
 def stream_fixture_trips(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
-    return spark.read.parquet(_p(stream_fixture(spark, sf_dir, root), "trips")).drop("epoch")
+    return spark.read.parquet(join_path(stream_fixture(spark, sf_dir, root), "trips")).drop("epoch")

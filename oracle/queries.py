@@ -333,8 +333,30 @@ def oracle_sql() -> dict[str, str]:
                            f"FROM events GROUP BY 1)")
     s["stream_trips"] = s["trips"]
     s["stream_hourly_stats"] = s["hourly_stats"]
-    s["stream_counters"] = with_ctes("SELECT CAST(4 AS BIGINT) AS epochs, (SELECT COUNT(*) FROM norm) AS total_raw_rows, (SELECT COUNT(hard_code) FROM norm) AS excluded, "
-                                     "(SELECT COUNT(*) FROM trips) AS inserted, (SELECT COUNT(*) FROM quarantine) AS quarantined")
+    late = "hard_code IS NULL AND pickup_time < (SELECT MAX(pickup_time) FROM norm WHERE hard_code IS NULL) - INTERVAL 7 DAY"
+    counters = """
+      SELECT {epochs} AS epochs, {times} * raw AS total_raw_rows, {times} * bad AS excluded, {late} AS late,
+             {times} * (raw - bad) - {late} - kept AS duplicates, flagged, kept - flagged AS clean, inserted, kept - inserted AS quarantined
+      FROM (SELECT COUNT(*) AS raw, COUNT(hard_code) AS bad, COUNT(CASE WHEN """ + late + """ THEN 1 END) AS behind FROM norm),
+           (SELECT COUNT(*) AS kept, COUNT(CASE WHEN len(post_flags) > 0 THEN 1 END) AS flagged, COUNT(CASE WHEN NOT orphan THEN 1 END) AS inserted FROM kept)"""
+    s["stream_counters"] = with_ctes(counters.format(epochs=4, times=1, late=0))
+    s["stream_redelivery_trips"] = s["trips"]
+    s["stream_late_rows"] = with_ctes(f"SELECT row_num, {iso('pickup_time')} AS pickup_time, total FROM norm WHERE {late}")
+    s["stream_redelivery_counters"] = with_ctes(counters.format(epochs=5, times=2, late="behind"))
+    s["store_hourly_stats"] = s["hourly_stats"]
+    s["anomalies_page_after"] = s["store_anomalies_page_after"] = with_ctes(_list("", 50, 50))
+    s["anomalies_page_after_typed"] = s["anomalies_list_typed_page2"]
+    by_place = TRIP_SELECT.replace("row_num", "p.place AS row_num", 1)
+    s["load_files_trips"] = with_ctes(f"SELECT {by_place} FROM trips JOIN (SELECT row_num AS numbered, CAST(row_number() OVER (ORDER BY row_num) AS BIGINT) AS place FROM raw) p ON row_num = numbered")
+    s["load_files_zone_stats"] = s["zone_stats"]
+    s["store_readmitted_trips"] = s["trips"]
+    s["store_readmitted_quarantine"] = s["referential_orphans"]
+    s["store_readmitted_zone_stats"] = s["zone_stats"]
+    for key in ("profitability_by_borough", "tips_payment_comparison", "overview_kpis"):
+        s[f"store_{key}"] = s[key]
+    s["store_anomalies_summary"] = s["anomalies_summary_with_types"]
+    s["overview_trips_over_time_meta"] = with_ctes("SELECT COUNT(DISTINCT date_trunc('hour', pickup_time)) + MAX(CASE WHEN pickup_time IS NULL THEN 1 ELSE 0 END) AS count, 'hour' AS granularity FROM trips")
+    s["overview_top_zones_meta"] = with_ctes(f"SELECT COUNT(*) AS count, CAST(15 AS BIGINT) AS \"limit\" FROM ({TOP_ZONES.format(n=15)})")
     for code in FLAG_META:
         s[f"flag_{code.lower()}"] = with_ctes(f"SELECT {ERROR_SELECT} FROM error_log WHERE err_type = {q(code)}")
     return s
