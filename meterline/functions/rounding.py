@@ -50,34 +50,39 @@ def exact_sum(c) -> Column:
     return _finished(*_sums(c))
 
 
-_PARTS = ("whole", "wholes", "rest", "rests", "n", "plain")
-
-
-def sum_parts(c) -> Column:
-    """Aggregate: the parts of ``exact_sum`` as a struct that can be stored and merged. Of sums that overflowed the
-    value is null while their count isn't 0."""
-    return F.struct(*[v.alias(k) for k, v in zip(_PARTS, _sums(c))])
-
-
-def merged_parts(c) -> Column:
+# The parts are written as SQL text: a query merges dozens of them, and each would be hundreds of calls from Python.
+_WHOLE = "(abs({x}) < 9e11D AND floor({x} * 1e4D + 0.5D) / 1e4D = {x})"
+_SUM_PARTS = f"""struct(
+  try_sum(CASE WHEN {_WHOLE} THEN try_cast(floor({{x}} * 1e4D + 0.5D) AS bigint) END) AS whole, count(CASE WHEN {_WHOLE} THEN 1 END) AS wholes,
+  try_sum(CASE WHEN NOT {_WHOLE} THEN try_cast({{x}} AS decimal(38,18)) END) AS rest, count(CASE WHEN NOT {_WHOLE} THEN try_cast({{x}} AS decimal(38,18)) END) AS rests,
+  count({{x}}) AS n, sum({{x}}) AS plain)"""
+_MERGED_PARTS = """struct(
+  CASE WHEN coalesce(bool_or({c}.whole IS NULL AND {c}.wholes > 0), false) THEN NULL ELSE try_sum({c}.whole) END AS whole, coalesce(sum({c}.wholes), 0L) AS wholes,
+  CASE WHEN coalesce(bool_or({c}.rest IS NULL AND {c}.rests > 0), false) THEN NULL ELSE try_sum({c}.rest) END AS rest, coalesce(sum({c}.rests), 0L) AS rests,
+  coalesce(sum({c}.n), 0L) AS n, sum({c}.plain) AS plain)"""
+_PARTS_SUM = """CASE WHEN {c}.n = 0 THEN NULL
+  WHEN {c}.n > {c}.wholes + {c}.rests OR ({c}.whole IS NULL AND {c}.wholes > 0) OR ({c}.rest IS NULL AND {c}.rests > 0) THEN {c}.plain
+  ELSE coalesce({c}.whole, 0L) / 1e4D + coalesce(cast({c}.rest AS double), 0D) END"""
+
+
+def sum_parts(column: str) -> Column:
+    """Aggregate: the parts of ``exact_sum`` over a named column, as a struct that can be stored and merged. Of sums that
+    overflowed the value is null while their count isn't 0."""
+    return F.expr(_SUM_PARTS.format(x=f"cast({column} AS double)"))
+
+
+def merged_parts(column: str) -> Column:
     """Aggregate: the parts of all rows together, from rows of parts."""
-    p = {k: _col(c).getField(k) for k in _PARTS}
-
-    def sums(value: str, count: str) -> Column:
-        lost = F.bool_or(p[value].isNull() & (p[count] > 0))
-        return F.when(~F.coalesce(lost, F.lit(False)), F.try_sum(p[value])).alias(value)
-
-    counts = [F.coalesce(F.sum(p[k]), F.lit(0)).alias(k) for k in ("wholes", "rests", "n")]
-    return F.struct(sums("whole", "wholes"), counts[0], sums("rest", "rests"), counts[1], counts[2], F.sum(p["plain"]).alias("plain"))
+    return F.expr(_MERGED_PARTS.format(c=column))
 
 
-def parts_sum(c) -> Column:
+def parts_sum(column: str) -> Column:
     """The sum that merged parts stand for: what ``exact_sum`` gives over all their rows."""
-    return _finished(*[_col(c).getField(k) for k in _PARTS])
+    return F.expr(_PARTS_SUM.format(c=column))
 
 
-def parts_avg(c) -> Column:
-    return F.try_divide(parts_sum(c), _col(c).getField("n"))
+def parts_avg(column: str) -> Column:
+    return F.expr(f"try_divide({_PARTS_SUM.format(c=column)}, {column}.n)")
 
 
 def exact_avg(c) -> Column:
