@@ -20,11 +20,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.csv import number_rows
 from .common import written
 
 K = 5
@@ -67,39 +68,20 @@ _STACK = "stack bigint, dim int, ids binary, rows binary, cells binary, marks bi
 
 
 def _stacked(rows: DataFrame, order: list[str]) -> DataFrame:
-    """Rows (id, dim, v, row, cell, mark, score) in stacks of up to CELL_ROWS neighbours in ``order``, of one dimension each."""
-    def stack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, number, held = TaskContext.get().partitionId(), 0, []
-
-        def full() -> pa.RecordBatch:
-            nonlocal number, held
-            columns = {c: [h[c] for h in held] for c in held[0]}
-            low = high = b""
-            v = np.frombuffer(b"".join(columns["v"]), float).reshape(len(held), columns["dim"][0])
-            stats = segment_statistics(v, COARSE)
-            low, high = stats.min(axis=0).tobytes(), stats.max(axis=0).tobytes()
-            longs = lambda c, none: np.array([none if x is None else x for x in columns[c]], np.int64).tobytes()
-            values = {"stack": (task << 32) + number, "dim": columns["dim"][0], "ids": longs("id", _NO_ID), "rows": longs("row", 0), "cells": longs("cell", 0),
-                      "marks": np.array(columns["mark"], bool).tobytes(), "scores": longs("score", _NO_SCORE), "vectors": v.tobytes(), "low": low, "high": high,
-                      "least": min(_NO_SCORE if x is None else x for x in columns["score"])}
-            number, held = number + 1, []
-            return pa.RecordBatch.from_pylist([values], schema=_stack_schema())
-
-        for batch in batches:
-            for row in batch.to_pylist():
-                if held and (len(held) >= CELL_ROWS or held[0]["dim"] != row["dim"]):
-                    yield full()
-                held.append(row)
-        if held:
-            yield full()
-
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return dealt.select("id", "dim", "v", "row", "cell", "mark", "score").mapInArrow(stack, _STACK)
-
-
-def _stack_schema() -> pa.Schema:
-    kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
-    return pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in _STACK.split(", ")])
+    """Rows (id, dim, v, row, cell, mark, score) in stacks of up to CELL_ROWS neighbours in ``order``, of one dimension each. Their
+    number follows from the rows alone: places in the order are counted over all partitions."""
+    def stack(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("place")
+        v = np.frombuffer(b"".join(part["v"]), float).reshape(len(part), part["dim"].iloc[0])
+        stats = segment_statistics(v, COARSE)
+        longs = lambda c: part[c].to_numpy(np.int64).tobytes()
+        return pd.DataFrame({"stack": [part["place"].iloc[0]], "dim": [part["dim"].iloc[0]], "ids": [longs("id")], "rows": [longs("row")], "cells": [longs("cell")],
+                             "marks": [part["mark"].to_numpy(bool).tobytes()], "scores": [longs("score")], "vectors": [v.tobytes()],
+                             "low": [stats.min(axis=0).tobytes()], "high": [stats.max(axis=0).tobytes()], "least": [part["score"].min()]})
+
+    whole = [F.coalesce(c, F.lit(none)).alias(c) for c, none in (("id", _NO_ID), ("cell", 0), ("score", _NO_SCORE))]
+    placed = number_rows(rows.repartitionByRange(*order).sortWithinPartitions(*order).select("dim", "v", "row", "mark", *whole), "place")
+    return placed.withColumn("number", F.floor((F.col("place") - 1) / CELL_ROWS)).groupBy("number", "dim").applyInPandas(stack, _STACK)
 
 
 class _Stack:
