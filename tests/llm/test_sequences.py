@@ -213,6 +213,15 @@ def test_url_branches_that_part_at_segment_five(spark):
     assert [r["verdict"] for r in rows] == ["block"] * 60 + ["allow"] * 60 + ["block"] * 10 + ["allow"] * 11
 
 
+def test_url_rows_stay_one_by_one(spark):
+    """Null ids, repeated rows and columns named like those of the work."""
+    rows = [(None, "http://a.org/x/1", "h", "p", "v", 1), (None, "http://a.org/x/1", "h", "p", "v", 2), (7, "http://b.net/es/1", "h", "p", "v", 3), (7, "http://b.net/es/1", "h", "p", "v", 4),
+            (8, None, None, None, None, None)]
+    got = urlfilter.judge(spark.createDataFrame(rows, "page_id long, url string, host string, path string, verdict string, id int"), RULES)
+    assert got.columns == ["id", "host", "path", "rule", "verdict"]
+    assert sorted(map(repr, (tuple(r) for r in got.collect()))) == sorted(map(repr, [(None, "a.org", "/x/1", None, "allow")] * 2 + [(7, "b.net", "/es/1", "net/es/", "block")] * 2 + [(8, "", "", None, "allow")]))
+
+
 def test_url_query_is_native_and_matches_sql(spark):
     import duckdb
     from meterline.llm.queries import op9_url_filter
