@@ -19,6 +19,9 @@ from ..functions.cache import column_cache
 from ..config import HARD_FLAG_TYPES, RAW_TRIP_COLUMNS
 
 JSON_KEEP_NULLS = {"ignoreNullFields": "false"}
+#: Column of a stored log with the details as a Variant, which the writer shreds by their fields. The text stays beside it, as a
+#: Variant doesn't keep the order of fields.
+VARIANT = "details_v"
 ERROR_LOG_COLUMNS = ("err_id", "row_num", "err_type", "details", "raw_data", "created_at", "source")
 
 
@@ -94,6 +97,10 @@ def error_log(norm: DataFrame, kept: DataFrame, created_at=None) -> DataFrame:
     return quality_rows(norm, "raw_flags", created_at).unionByName(post_rows(kept, created_at))
 
 
+def with_variant(errors: DataFrame) -> DataFrame:
+    return errors.withColumn(VARIANT, F.try_parse_json("details"))
+
+
 def soft_only(errors: DataFrame) -> DataFrame:
     """Rows the API shows: hard exclusion codes filtered out."""
     return errors.where(~F.col("err_type").isin(*HARD_FLAG_TYPES))

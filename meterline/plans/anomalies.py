@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import ANOMALY_LIST_DEFAULT_LIMIT, ANOMALY_LIST_MAX_LIMIT
 from ..functions.formats import iso_timestamp
 from ..functions.rounding import to_fixed
-from ..operators.errorlog import json_extract_num, soft_only
+from ..operators.errorlog import VARIANT, json_extract_num, soft_only
 from ..operators.joins import cross_scalar
 from ..operators.paging import cursor, follows, page_end, read_cursor
 from ..operators.sorting import clamp_limit, clamp_offset, paginate
@@ -46,14 +46,16 @@ def summary_with_types(t: Tables) -> DataFrame:
 
 
 def _filtered(t: Tables, flag_type: str | None) -> DataFrame:
+    """Flags of the list. Of a stored log the numbers come from its Variant column, of which the scan reads these two only."""
     errors = soft_only(t.error_log)
+    if VARIANT in errors.columns:
+        errors = errors.withColumns({k: F.try_variant_get(VARIANT, f"$.{k}", "double") for k in ("fare", "distance")}).drop(VARIANT)
     return errors.where(F.col("err_type") == F.lit(flag_type)) if flag_type else errors
 
 
 def _shown(rows: DataFrame, *more: str) -> DataFrame:
-    return rows.select("err_id", "row_num", "err_type", "details", iso_timestamp("created_at").alias("created_at"),
-                       json_extract_num(F.col("details"), "fare").alias("fare"),
-                       json_extract_num(F.col("details"), "distance").alias("distance"), *more)
+    numbers = [F.col(k) if k in rows.columns else json_extract_num(F.col("details"), k).alias(k) for k in ("fare", "distance")]
+    return rows.select("err_id", "row_num", "err_type", "details", iso_timestamp("created_at").alias("created_at"), *numbers, *more)
 
 
 def anomaly_list(t: Tables, limit=ANOMALY_LIST_DEFAULT_LIMIT, offset=0, flag_type: str | None = None):

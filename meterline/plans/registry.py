@@ -341,6 +341,7 @@ def queries() -> dict[str, Query]:
         "anomalies_page_after": _t(_second_page),
         "anomalies_page_after_typed": _t(lambda t: _second_page(t, "HIGH_SPEED")),
         "store_anomalies_page_after": _store(_second_page),
+        "store_anomalies_list": _store(lambda t: anomalies.anomaly_list(t)[0]),
         "load_files_trips": lambda spark, sf: _iso_trips(_files(spark, sf).trips),
         "load_files_zone_stats": lambda spark, sf: stats.zone_stats(_files(spark, sf)),
         "store_overview_kpis": _store(overview.overview_kpis),

@@ -7,6 +7,8 @@ tables are the merged partials of all loads: the same doubles as from all trips
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,5 +70,7 @@ def zone_stats(t: Tables) -> DataFrame:
 def refresh_stats(t: Tables, root: str) -> None:
     """Both summary tables anew from the partials of all loads; no trips are read. Readers go over to the new version as a
     whole and keep what they had open."""
-    switch_version(t.zones.sparkSession, root, "hourly_stats", hourly_stats(t))
-    switch_version(t.zones.sparkSession, root, "zone_stats", zone_stats(t))
+    spark = t.zones.sparkSession
+    tables = {"hourly_stats": hourly_stats(t), "zone_stats": zone_stats(t)}
+    with ThreadPoolExecutor(len(tables)) as pool:
+        list(pool.map(lambda name: switch_version(spark, root, name, tables[name]), tables))

@@ -21,9 +21,8 @@ class Tables:
     Members built from the pipeline are created on first use only."""
 
     def __init__(self, trips=None, zones=None, error_log=None, zone_shapes=None, loaded: Loaded | None = None,
-                 features: DataFrame | None = None, partials: dict[str, DataFrame] | None = None,
-                 quarantine: DataFrame | None = None):
-        self._partials, self._quarantine = partials or {}, quarantine
+                 features: DataFrame | None = None, partials: dict[str, DataFrame] | None = None):
+        self._partials = partials or {}
         self._trips, self.zones, self._error_log, self._zone_shapes = trips, zones, error_log, zone_shapes
         self.loaded, self._features = loaded, features
 
@@ -36,7 +35,7 @@ class Tables:
     @property
     def quarantine(self) -> DataFrame:
         """Kept trips whose zone references aren't all known (yet)."""
-        return self.loaded.quarantine if self._quarantine is None else self._quarantine
+        return self.loaded.quarantine
 
     def partials(self, name: str) -> DataFrame | None:
         """Stored partials of all loads, one set of rows per load; None if the store has none for some load."""
@@ -75,14 +74,52 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Tables:
 PARTIALS = ("hourly_partials", "trip_cube", "value_counts", "zone_bitmaps", "flag_counts", "flag_pages")
 
 
+class StoredTables(Tables):
+    """The tables of a store. Each is opened when a query first asks for it."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._spark, self._root, self._opened, self.loaded = spark, root, {}, None
+
+    def _stored(self, name: str, made) -> DataFrame | None:
+        if name not in self._opened:
+            self._opened[name] = made(join_path(self._root, name))
+        return self._opened[name]
+
+    def _read(self, path: str) -> DataFrame | None:
+        return self._spark.read.parquet(path) if path_exists(self._spark, path) else None
+
+    def _loads(self, name: str) -> set[str]:
+        return {n for n in child_names(self._spark, join_path(self._root, name)) if n.startswith("load_id=")}
+
+    @property
+    def trips(self) -> DataFrame:
+        return self._stored("trips", self._read)
+
+    @property
+    def error_log(self) -> DataFrame:
+        return self._stored("error_log", self._read)
+
+    @property
+    def zones(self) -> DataFrame:
+        return self._stored("zones", lambda path: first_stored(self._read(path)))
+
+    @property
+    def zone_shapes(self) -> DataFrame | None:
+        return self._stored("zone_shapes", self._read)
+
+    @property
+    def quarantine(self) -> DataFrame | None:
+        return self._stored("quarantine", lambda path: waiting(self._spark, self._root))
+
+    def partials(self, name: str) -> DataFrame | None:
+        """Only if every load has written some; rows that waited have no flags of their own."""
+        def whole(path: str) -> DataFrame | None:
+            loads = self._loads("error_log" if name.startswith("flag_") else "trips")
+            return self._read(path) if loads and self._loads(name) == loads else None
+        return self._stored(name, whole)
+
+
 def from_store(spark: SparkSession, root: str) -> Tables:
     """Tables previously written by ``operators.sinks.write_loaded`` under ``root``."""
     ensure_conf(spark)
-    p = lambda name: join_path(root, name)
-    loads = lambda name: {n for n in child_names(spark, p(name)) if n.startswith("load_id=")}
-    shapes = spark.read.parquet(p("zone_shapes")) if path_exists(spark, p("zone_shapes")) else None
-    stored = {name: loads(name) for name in ("trips", "error_log", *PARTIALS)}
-    # a table of partials is used only if every load has written one; rows that waited have no flags of their own
-    whole = [name for name in PARTIALS if stored["trips"] and stored[name] == stored["error_log" if name.startswith("flag_") else "trips"]]
-    return Tables(trips=spark.read.parquet(p("trips")), zones=first_stored(spark.read.parquet(p("zones"))), error_log=spark.read.parquet(p("error_log")),
-                  zone_shapes=shapes, partials={name: spark.read.parquet(p(name)) for name in whole}, quarantine=waiting(spark, root))
+    return StoredTables(spark, root)

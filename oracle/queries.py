@@ -345,6 +345,7 @@ def oracle_sql() -> dict[str, str]:
     s["stream_redelivery_counters"] = with_ctes(counters.format(epochs=5, times=2, late="behind"))
     s["store_hourly_stats"] = s["hourly_stats"]
     s["anomalies_page_after"] = s["store_anomalies_page_after"] = with_ctes(_list("", 50, 50))
+    s["store_anomalies_list"] = s["anomalies_list"]
     s["anomalies_page_after_typed"] = s["anomalies_list_typed_page2"]
     by_place = TRIP_SELECT.replace("row_num", "p.place AS row_num", 1)
     s["load_files_trips"] = with_ctes(f"SELECT {by_place} FROM trips JOIN (SELECT row_num AS numbered, CAST(row_number() OVER (ORDER BY row_num) AS BIGINT) AS place FROM raw) p ON row_num = numbered")
