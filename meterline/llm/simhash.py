@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import sized_broadcast
 from .common import fresh, written
 from .components import components
 
@@ -141,4 +142,6 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     best = (prints.join(_components_of(prints), "fp").groupBy("root")
             .agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row")).alias("best"))
             .select(F.col("best.row").alias(component)))
-    return rows.join(best, F.col(rank) == F.col(component), "left_semi").drop(fp, rank)
+    # the numbers of the rows that go are few and short; texts stay where they are, unless even these are too many to send
+    gone = written(prints.select(F.col("row").alias(component)).join(best, component, "left_anti"), "simhash-gone")
+    return rows.join(sized_broadcast(gone), F.col(rank) == F.col(component), "left_anti").drop(fp, rank)
