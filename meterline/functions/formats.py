@@ -61,9 +61,6 @@ def label_spaces(c) -> Column:
     return F.replace(_col(c), F.lit("_"), F.lit(" "))
 
 
-def first_word(c) -> Column:
-    return F.split(_col(c), " ").getItem(0)
-
-
 def default_dash(c) -> Column:
-    return F.coalesce(_col(c), F.lit("—"))
+    """The text, or a dash where there is none."""
+    return F.coalesce(F.nullif(_col(c), F.lit("")), F.lit("—"))

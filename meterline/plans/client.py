@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import BOROUGH_ORDER, FLAG_META
-from ..functions.formats import fixed_text, fmt_hr, fmt_num, fmt_pct, fmt_rpm, fmt_usd
-from ..functions.rounding import exact_sum, to_fixed
+from ..functions.formats import default_dash, fixed_text, fmt_hr, fmt_num, fmt_pct, fmt_rpm, fmt_usd, label_spaces
+from ..functions.rounding import to_fixed
 from ..operators.errorlog import json_extract_num
 from ..operators.joins import cross_scalar, flag_meta_table, lookup_flag_note, sized_broadcast
 from ..operators.sorting import rank_column
@@ -43,8 +43,8 @@ def profit_ranking(t: Tables, limit: int = 20) -> DataFrame:
     top = profitability.top_profitable_zones(t, limit)
     table = top.select(
         "location_id",
-        F.coalesce(F.nullif(F.col("zone_name"), F.lit("")), F.lit("—")).alias("zone_name"),
-        F.coalesce(F.nullif(F.col("borough"), F.lit("")), F.lit("—")).alias("borough"),
+        default_dash("zone_name").alias("zone_name"),
+        default_dash("borough").alias("borough"),
         F.coalesce(F.col("avg_revenue_per_minute"), F.lit(0.0)).alias("rev_min"),
         F.coalesce(F.col("avg_total_amount"), F.lit(0.0)).alias("avg_fare"),
         F.coalesce(F.col("avg_tip_percentage"), F.lit(0.0)).alias("avg_tip"),
@@ -98,7 +98,7 @@ def flag_table(t: Tables, limit: int = 50) -> DataFrame:
 
 def top_flag(t: Tables) -> DataFrame:
     return anomalies.by_type(t).limit(1).select(
-        F.col("err_type").alias("top_flag"), F.replace(F.col("err_type"), F.lit("_"), F.lit(" ")).alias("top_flag_label"))
+        F.col("err_type").alias("top_flag"), label_spaces("err_type").alias("top_flag_label"))
 
 
 def flag_legend(t: Tables) -> DataFrame:
@@ -121,8 +121,8 @@ def top_zones_table(t: Tables, rows: int = 10) -> DataFrame:
     dash = F.lit("—")
     return ranked.select(
         "rank", "location_id",
-        F.coalesce(F.nullif(F.col("zone_name"), F.lit("")), dash).alias("zone_name"),
-        F.coalesce(F.nullif(F.col("borough"), F.lit("")), dash).alias("borough"),
+        default_dash("zone_name").alias("zone_name"),
+        default_dash("borough").alias("borough"),
         fmt_num(F.col("trip_count")).alias("trips_text"),
         F.when(F.coalesce(F.col("avg_fare"), F.lit(0.0)) != 0, fmt_usd(F.col("avg_fare"))).otherwise(dash).alias("fare_text"),
         F.when(F.coalesce(F.col("avg_tip_percentage"), F.lit(0.0)) != 0, fmt_pct(F.col("avg_tip_percentage")))

@@ -237,6 +237,7 @@ def test_files_to_store_in_one_call(spark, scratch):
 def test_numbers_of_the_list_come_from_the_variant(spark, store):
     from meterline.operators.errorlog import VARIANT, json_extract_num
     t = from_store(spark, store)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     page = anomalies.anomaly_list(t, 200)[0]
     schema = page._jdf.queryExecution().executedPlan().toString().split("ReadSchema: ")[1].split("\n")[0]
     assert f"{VARIANT}:struct<0:double,1:double>" in schema and "raw_data" not in schema
