@@ -3,16 +3,13 @@
 A template is any function from a list of turns to a string. Successive prefixes of a conversation are rendered and
 consecutive outputs compared: what the longer one adds is the turn's span; an output that doesn't begin with the one
 before shows a template that rewrites history, which is refused. Inside a span the text is located by rendering the
-turn once more with a probe in its place. Prefixes up to FULL turns are rendered whole. Beyond that the first turn and
-the last few stand for the history, if they gave the spans of the whole prefixes so far; whole prefixes are rendered
-again at each doubling of the turns and at the last one, and must be the joined spans. So the work stays linear in a
-conversation's turns. Where the short history fails or differs, all prefixes since the last one that agreed, and all
-later ones, are rendered whole; only these can show that a template rewrites history. A template that changes its output
-between two such prefixes and back again beyond FULL turns isn't noticed.
+prefix once more with a probe in its last turn's place. Every prefix is rendered whole, however long the conversation:
+nothing is known of a template, so no shorter history can stand for the whole one. The work grows with the square of a
+conversation's turns, never with the number of conversations.
 
 Turns are sorted within Spark's partitions and stream through; a task holds the turns of one conversation, as a whole
-prefix needs them, and gives spans out once a whole prefix has borne them out. Control strings inside
-roles and texts are escaped reversibly, so reading the output back gives the turns that went in.
+prefix needs them. Control strings inside roles and texts are escaped reversibly, so reading the output back gives the
+turns that went in.
 
 Defined results: null roles and texts count as empty; turns sort by turn number (nulls first), then role and text;
 repeated rows are turns of their own; rows with a null conversation id form one conversation; an empty table gives no
@@ -33,10 +30,6 @@ Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
 
 START, END = "<|im_start|>", "<|im_end|>"
-#: Prefixes up to this many turns are rendered whole.
-FULL = 64
-#: Turns that stand for the history beyond that, with the first.
-RECENT = 4
 _PROBE = "probe"
 #: Rows of one output batch.
 _ROWS = 4096
@@ -68,70 +61,32 @@ def _added(before: str, after: str, number: int) -> str:
 
 
 class IncrementalRenderer:
-    """Gives the span of each further turn of one conversation and the place of its text in it. Beyond FULL turns what
-    ``add`` returns is settled by the next whole prefix; ``take`` gives settled spans only."""
+    """Gives the span of each further turn of one conversation and the place of its text in it. ``take`` gives the spans
+    since the last call."""
 
     def __init__(self, template: Template):
-        self.template, self.turns, self.local = template, [], True
-        self.whole = template([])
-        self.opening = self.whole
-        self.open, self.settled = [], []
-
-    @property
-    def count(self) -> int:
-        return len(self.turns)
+        self.template, self.turns = template, []
+        self.opening = self.whole = template([])
+        self.settled = []
 
     def add(self, turn: Turn) -> tuple[str, int, int]:
         """(span, start, end) of the turn's text inside the span."""
+        number, history = len(self.turns), list(self.turns)
         self.turns.append(turn)
-        number = self.count - 1
-        if self.local and number >= FULL:
-            self.open.append(self._short(number))
-            if self.open[-1] is None or self.count & number == 0:
-                self.settle()
-            return self.open[-1] if self.open else self.settled[-1]
-        self.settled.append(self._by_whole(number))
+        now = self.template([*history, turn])
+        span, start, end = self._placed(_added(self.whole, now, number), self.whole, history, turn, number)
+        self.whole = now
+        shift = 0 if number else len(self.opening)
+        self.settled.append(((self.opening if not number else "") + span, start + shift, end + shift))
         return self.settled[-1]
 
     def settle(self) -> None:
-        """Checks the open spans against the whole prefix, to be called at the last turn too."""
-        if not self.open:
-            return
-        spans, self.open = self.open, []
-        if spans[-1] is not None:
-            whole = self.template(self.turns)
-            if whole == self.whole + "".join(span for span, _, _ in spans):
-                self.whole = whole
-                self.settled += spans
-                return
-        self.local = False
-        self.settled += [self._by_whole(number) for number in range(self.count - len(spans), self.count)]
+        """Nothing is left open: every span has been compared with its whole prefix."""
 
     def take(self) -> list[tuple[str, int, int]]:
         out, self.settled = self.settled, []
         return out
 
-    def _by_whole(self, number: int) -> tuple[str, int, int]:
-        history, turn = self.turns[:number], self.turns[number]
-        now = self.template([*history, turn])
-        span = _added(self.whole, now, number)
-        found = self._short(number) if self.local and number > RECENT + 1 else None
-        if found is None or found[0] != span:
-            self.local = self.local and number <= RECENT + 1
-            found = self._placed(span, self.whole, history, turn, number)
-        self.whole = now
-        shift = 0 if number else len(self.opening)
-        return (self.opening if not number else "") + span, found[1] + shift, found[2] + shift
-
-    def _short(self, number: int) -> tuple[str, int, int] | None:
-        """From the first and the last turns as history; None if the template doesn't render these."""
-        recent, turn = [self.turns[0], *self.turns[number - RECENT:number]], self.turns[number]
-        try:
-            base = self.template(recent)
-            return self._placed(_added(base, self.template([*recent, turn]), number), base, recent, turn, number)
-        except Exception:  # whatever a template says of turns that it was never meant to see
-            return None
-
     def _placed(self, span: str, base: str, history: list[Turn], turn: Turn, number: int) -> tuple[str, int, int]:
         probe = _added(base, self.template([*history, (turn[0], _PROBE)]), number)
         start, tail = probe.find(_PROBE), len(probe) - probe.find(_PROBE) - len(_PROBE)

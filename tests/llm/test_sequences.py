@@ -152,6 +152,13 @@ def test_chat_templates_that_look_further_back(spark):
     assert [r["seq"] for r in got] == [*range(150), *range(70)]
 
 
+def test_chat_prefixes_are_compared_at_every_length():
+    turns = [("assistant" if k % 2 else "user", f"t{k}") for k in range(200)]
+    bad = lambda m: chat.chat_template(m).replace("user", "User" if 70 <= len(m) <= 90 else "user")  # noqa: E731  changes back in time for 128 turns
+    with pytest.raises(chat.RewritesHistory):
+        rendered(bad, turns)
+
+
 def test_scan_equals_the_library():
     model, rnd = pieces_scan.piece_model(PIECES), random.Random(2)
     texts = ["a  b   c", " lead", "trail ", "   ", "ab" * 200, "aaaa " * 30, "the" * 100 + " " * 40 + "end", "é日本 \n\n\t🙂" * 20,
