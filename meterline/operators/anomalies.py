@@ -99,8 +99,11 @@ def anomaly_detail(types: Column) -> Column:
 
 def label_trips(featured: DataFrame, rules: Sequence[Rule] = None) -> DataFrame:
     """All rows with ``types`` (labels that hold) and ``detail`` (NULL for clean rows). Callers that read both halves
-    more than once cache or write this frame themselves."""
-    labelled = featured.withColumn("types", detect_anomalies(rules))
+    more than once cache or write this frame themselves.
+
+    The labels come out of an ``explode`` of one element: a filter on them stays above it. Of a plain column the optimizer
+    pushes the filter down to the scan and there writes out every feature and parsed text that a rule reads, once per use."""
+    labelled = featured.select("*", F.explode(F.array(detect_anomalies(rules))).alias("types"))
     return labelled.withColumn("detail", F.when(F.size("types") > 0, anomaly_detail(F.col("types"))))
 
 

@@ -41,3 +41,20 @@ def test_no_cartesian_or_python_in_registered_plans(spark):
         if hits:
             offending[key] = hits
     assert offending == {}
+
+
+def test_both_halves_of_partition_trips_parse_each_text_once(spark):
+    from meterline.operators.anomalies import partition_trips
+    from meterline.operators.features import compute_features
+
+    columns = ("row_num", "pickup_datetime", "dropoff_datetime", "trip_distance", "total_amount", "tip_amount", "fare_amount")
+    rows = [(1, "2019-01-01 10:00:00", "2019-01-01 10:10:00", "1.5", "12", "1", "10"), (2, "2019-01-01 10:00:00", "2019-01-01 10:00:00", "0", "12", "1", "10"),
+            (3, None, "x", None, "", None, "abc"), (3, None, "x", None, "", None, "abc"), (None, "2019-01-01 10:00:00", "2019-01-01 10:01:00", "9", "12", "20", "10")]
+    featured = compute_features(spark.createDataFrame(rows, "row_num long, " + ", ".join(f"{c} string" for c in columns[1:])))
+    clean, bad = partition_trips(featured)
+    assert [r["row_num"] for r in clean.collect()] == [1]
+    assert sorted(((r["row_num"] or 0), r["types"]) for r in bad.collect()) == [
+        (0, ["excessive_speed", "excessive_tip_percentage"]), (2, ["zero_distance_positive_fare", "invalid_duration"]), (3, ["invalid_duration"]), (3, ["invalid_duration"])]
+    for half in (clean, bad):
+        plan = half._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("gettimestamp") == 2 and plan.count("regexp_extract") <= 6  # four amounts, and the two that a rule reads itself
