@@ -108,3 +108,23 @@ def test_windows_are_compacted(spark, zones, scratch, monkeypatch):
     root = stream_arrivals(spark, arrivals, zones, f"{scratch}/out")
     assert len(os.listdir(f"{root}/hour_windows")) <= 3
     assert sorted((r.hour_of_day, r.total_trips) for r in stream_hourly_stats(spark, root).collect()) == [(10, 3), (11, 2)]
+
+
+def test_state_holds_no_whole_rows_and_first_rows_come_from_their_arrival(spark, tmp_path):
+    from meterline.config import RAW_TRIP_COLUMNS
+    from meterline.streaming.ingest import stream_arrivals
+
+    def raw(*rows):
+        base = dict(zip(RAW_TRIP_COLUMNS, [""] * len(RAW_TRIP_COLUMNS)))
+        made = [{**base, "VendorID": v, "tpep_pickup_datetime": f"2019-01-01 10:0{m}:00", "tpep_dropoff_datetime": "2019-01-01 10:30:00", "PULocationID": "1", "DOLocationID": "1",
+                 "total_amount": "9", "tip_amount": tip} for _, v, m, tip in rows]
+        return spark.createDataFrame([(n, *[x[c] for c in RAW_TRIP_COLUMNS]) for (n, *_), x in zip(rows, made)], "row_num long, " + ", ".join(f"{c} string" for c in RAW_TRIP_COLUMNS))
+
+    zones = spark.createDataFrame([(1, "B", "Z", "S")], "id int, borough string, zone_name string, service_zone string")
+    # repeated and null row numbers, a null vendor in the key; the later arrival has the smaller number
+    arrivals = [raw((5, "1", 1, "1"), (5, "1", 1, "1"), (6, "", 2, "2")), raw((1, "1", 1, "7"), (2, "", 2, "7"), (None, "2", 3, "3"), (None, "2", 3, "3"))]
+    root = stream_arrivals(spark, arrivals, zones, str(tmp_path / "out"))
+    trips = spark.read.parquet(f"{root}/trips").select("row_num", "tip").collect()
+    assert sorted((str(r.row_num), r.tip) for r in trips) == [("5", 1.0), ("6", 2.0), ("None", 3.0)]
+    state = spark.read.format("statestore").load(f"{root}/_checkpoint/trips")
+    assert sorted(f.dataType.simpleString() for f in state.schema["value"].dataType) == ["bigint", "timestamp", "timestamp"]
