@@ -258,7 +258,7 @@ def _files(spark, sf) -> Tables:
     def build() -> str:
         raw, zones, features = fixture_inputs(spark, sf)
         at = f"{shared_dir(spark)}/files-{uuid.uuid4().hex}"
-        raw.repartitionByRange(4, "row_num").sortWithinPartitions("row_num").select(*RAW_TRIP_COLUMNS).write.option("header", True).csv(f"{at}/trips")
+        _write_trips_csv(raw, f"{at}/trips")
         named = zones.select(F.col("id").alias("LocationID"), F.col("borough").alias("Borough"), F.col("zone_name").alias("Zone"), "service_zone")
         named.write.option("header", True).csv(f"{at}/zones")
         features.write.json(f"{at}/polygons")
@@ -311,13 +311,23 @@ def _stream_hourly(spark, sf):
     return stream_hourly_stats(spark, _streamed(spark, sf))
 
 
+#: Bytes of trips, as the optimizer estimates them, in one of the files that they are written to.
+_FILE_BYTES = 32 << 20
+
+
+def _write_trips_csv(raw: DataFrame, path: str) -> None:
+    """The raw trips as CSV files in row order: four, and more as the table grows, so that a file's sort stays small."""
+    estimate = int(str(raw._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    files = max(4, -(-estimate // _FILE_BYTES))
+    raw.repartitionByRange(files, "row_num").sortWithinPartitions("row_num").select(*RAW_TRIP_COLUMNS).write.option("header", True).csv(path)
+
+
 def _scan_csv(spark, sf):
     """The fixture written as CSV files (header, in row order, several files) under the shared folder and read
     back with the trip CSV reader: row numbers are the 1-based positions in file order."""
     raw, _, _ = fixture_inputs(spark, sf)
     path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
-    (raw.repartitionByRange(4, "row_num").sortWithinPartitions("row_num").select(*RAW_TRIP_COLUMNS)
-        .write.option("header", True).csv(path))
+    _write_trips_csv(raw, path)
     return scan_trips_csv(spark, path)
 
 

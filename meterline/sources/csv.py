@@ -52,7 +52,8 @@ def number_rows(df: DataFrame, col: str = "row_num", file_order: bool = False, p
         blocks = number_rows(blocks.orderBy(*blk).withColumnsRenamed(plain), "_ml_block", path=path).withColumnsRenamed({v: k for k, v in plain.items()})
     else:
         blocks = blocks.withColumn("_ml_block", F.col("_ml_pid"))
-    numbered = tagged.join(_offsets(blocks).select(*blk, "_ml_first", "_ml_off"), blk)  # one row per block; AQE sizes it
+    # one row per block, that is per partition or split of a file: the rows themselves are not dealt by block
+    numbered = tagged.join(F.broadcast(_offsets(blocks).select(*blk, "_ml_first", "_ml_off")), blk)
     pos = F.col("_ml_mid") - F.col("_ml_first")
     return numbered.select((F.col("_ml_off") + pos + 1).cast("bigint").alias(col), *[c for c in df.columns if c != col])
 

@@ -66,3 +66,20 @@ def test_csv_stream_numbers_rows_across_batches(spark, scratch):
     batch = load(scan_trips_csv(spark, src), zones).summary.first()
     # the dedup outcome depends only on the rows, not on how they were numbered or batched
     assert trips.count() == batch.inserted
+
+
+def test_trip_files_grow_in_number_with_the_table(spark, tmp_path, monkeypatch):
+    from meterline.config import RAW_TRIP_COLUMNS
+    from meterline.plans import registry
+    from meterline.sources.csv import scan_trips_csv
+
+    numbers = [*range(300, 0, -1), 7, 7]
+    raw = spark.createDataFrame([(n, *[str(n)] * len(RAW_TRIP_COLUMNS)) for n in numbers], "row_num long, " + ", ".join(f"{c} string" for c in RAW_TRIP_COLUMNS))
+    raw.coalesce(1).write.parquet(str(tmp_path / "raw"))
+    raw = spark.read.parquet(str(tmp_path / "raw"))
+    monkeypatch.setattr(registry, "_FILE_BYTES", 2_000, raising=False)
+    registry._write_trips_csv(raw, str(tmp_path / "csv"))
+    assert len(list((tmp_path / "csv").glob("part-*"))) > 4
+    back = scan_trips_csv(spark, str(tmp_path / "csv"))
+    assert [r.VendorID for r in back.orderBy("row_num").collect()] == [str(n) for n in sorted(numbers)]
+    assert sorted(r.row_num for r in back.collect()) == list(range(1, len(numbers) + 1))
