@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import TOP_ZONES_DEFAULT_LIMIT, TOP_ZONES_MAX_LIMIT
 from ..functions.formats import iso_timestamp
-from ..functions.rounding import parts_avg, parts_sum, sum_parts, to_fixed
+from ..functions.rounding import merged_parts, parts_avg, parts_sum, sum_parts, to_fixed
 from ..operators.aggs import distinct_from_bitmaps
 from ..operators.joins import cross_scalar, known_zone
 from ..operators.sorting import clamp_limit, result_with_meta, top_n
@@ -17,7 +17,13 @@ from .tables import Tables
 
 
 def overview_kpis(t: Tables) -> DataFrame:
-    trips = rollup(t, {}, METRICS, extremes={"first": "first_pickup", "last": "last_pickup"})
+    if t.partials("trip_cube") is None:  # one pass over the trips for sums and zones: by pair of zones, of which there are few
+        pairs = t.trips.groupBy("pickup_zone", "dropoff_zone").agg(
+            F.count(F.lit(1)).alias("n"), *[sum_parts(m).alias(m) for m in METRICS], F.min("pickup_time").alias("first"), F.max("pickup_time").alias("last"))
+        trips = pairs.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *[merged_parts(m).alias(m) for m in METRICS], F.min("first").alias("first"), F.max("last").alias("last"),
+                          *[F.count_distinct(z).alias(f"unique_{z}s") for z in ("pickup_zone", "dropoff_zone")])
+    else:
+        trips = cross_scalar(rollup(t, {}, METRICS, extremes={"first": "first_pickup", "last": "last_pickup"}), distinct_from_bitmaps(bitmaps(t), ["unique_pickup_zones", "unique_dropoff_zones"]))
     kpis = trips.select(
         F.col("n").alias("total_trips"),
         to_fixed(parts_sum("total"), 2).alias("total_revenue"),
@@ -29,9 +35,10 @@ def overview_kpis(t: Tables) -> DataFrame:
         to_fixed(parts_avg("money_per_min"), 4).alias("avg_revenue_per_minute"),
         iso_timestamp(F.col("first")).alias("earliest_trip"),
         iso_timestamp(F.col("last")).alias("latest_trip"),
+        "unique_pickup_zones", "unique_dropoff_zones",
     )
     flagged = flags(t).agg(F.coalesce(F.sum(F.when(F.col("err_type").isNull(), F.col("count"))), F.lit(0)).alias("flag_rows"))
-    return cross_scalar(kpis, distinct_from_bitmaps(bitmaps(t), ["unique_pickup_zones", "unique_dropoff_zones"]), flagged)
+    return cross_scalar(kpis, flagged)
 
 
 def time_unit(granularity) -> str:

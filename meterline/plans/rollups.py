@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..config import HARD_FLAG_TYPES
 from ..functions.rounding import merged_parts, sum_parts
 from ..operators.aggs import bitmap_partials, join_percentiles, value_counts, with_percentiles
-from ..operators.errorlog import soft_only
+from ..operators.errorlog import explode_flags, soft_only
 from ..operators.joins import join_zone_inner
 from .tables import Tables
 
@@ -68,10 +69,38 @@ def bitmaps(t: Tables) -> DataFrame:
     return zone_bitmaps(t.trips) if stored is None else stored
 
 
+def load_tallies(t: Tables) -> DataFrame | None:
+    """what, err_type, count: the records of each shown flag ('flag'), the rows that have any ('rows', also if there are none) and the
+    trips ('trips') of a load that isn't stored. Raw rows and kept trips are gone through once each, without the log being built. None for a store."""
+    if t.loaded is None:
+        return None
+
+    def mark(what: str, n: int, err_type: Column | None = None, row: Column | None = None) -> Column:
+        return F.struct(F.lit(what).alias("what"), (F.lit(None).cast("string") if err_type is None else err_type).alias("err_type"),
+                        (F.lit(None).cast("bigint") if row is None else row).alias("row"), F.lit(n).cast("bigint").alias("n"))
+
+    def shown(records: int) -> list[Column]:
+        soft = F.col("flag.err_type").isNotNull() & ~F.col("flag.err_type").isin(*HARD_FLAG_TYPES)
+        return [F.when(soft, mark("flag", records, F.col("flag.err_type"))), F.when(soft, mark("rows", 1, row=F.col("row_num").cast("bigint")))]
+
+    trip = F.when((F.coalesce(F.col("pos"), F.lit(0)) == 0) & ~F.col("orphan"), mark("trips", 1))
+    marks = [explode_flags(t.loaded.norm, "raw_flags").select(F.inline(F.array(*shown(1)))),
+             # a post flag of a trip is two records of the log
+             t.loaded.kept.select("row_num", "orphan", F.posexplode_outer("post_flags").alias("pos", "flag")).select(F.inline(F.array(*shown(2), trip))),
+             t.zones.sparkSession.range(1).select(F.inline(F.array(mark("rows", 0))))]
+    marks = marks[0].unionByName(marks[1]).unionByName(marks[2]).where(F.col("what").isNotNull())
+    each = marks.groupBy("what", "err_type", "row").agg(F.sum("n").alias("n"))
+    n = F.when(F.col("what") == "rows", (F.col("n") > 0).cast("bigint")).otherwise(F.col("n"))
+    return each.groupBy("what", "err_type").agg(F.sum(n).alias("count"))
+
+
 def flags(t: Tables) -> DataFrame:
     """``flag_counts`` over all loads."""
     stored = t.partials("flag_counts")
-    return flag_counts(t.error_log) if stored is None else stored.groupBy("err_type").agg(F.sum("count").alias("count"))
+    if stored is not None:
+        return stored.groupBy("err_type").agg(F.sum("count").alias("count"))
+    made = load_tallies(t)
+    return flag_counts(t.error_log) if made is None else made.where(F.col("what") != "trips").select("err_type", "count")
 
 
 def rollup(t: Tables, keys: dict[str, Column], metrics: tuple[str, ...], present: str | None = None, known: Column | None = None,
