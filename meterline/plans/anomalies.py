@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ANOMALY_LIST_DEFAULT_LIMIT, ANOMALY_LIST_MAX_LIMIT
@@ -12,7 +12,7 @@ from ..operators.errorlog import VARIANT, json_extract_num, soft_only
 from ..operators.joins import cross_scalar
 from ..operators.paging import cursor, follows, page_end, read_cursor
 from ..operators.sorting import clamp_limit, clamp_offset, paginate
-from .rollups import flags, rollup
+from .rollups import flags, load_tallies, rollup
 from .tables import Tables
 
 def list_order():
@@ -28,18 +28,32 @@ def by_type(t: Tables) -> DataFrame:
 def summary(t: Tables) -> DataFrame:
     """total_error_records, unique_flagged_rows, flag_rate_percent (flagged rows per 100 trips). Rows of several loads are
     told apart by load and row number."""
+    made = load_tallies(t)
+    if made is not None:
+        return _rated(_totals(made))
     kind = F.col("err_type").isNull()
     totals = flags(t).agg(F.coalesce(F.sum(F.when(~kind, F.col("count"))), F.lit(0)).alias("total_error_records"),
                           F.coalesce(F.sum(F.when(kind, F.col("count"))), F.lit(0)).alias("unique_flagged_rows"))
-    trips = rollup(t, {}, ()).select(F.col("n").alias("_trips"))
+    return _rated(cross_scalar(totals, rollup(t, {}, ()).select(F.col("n").alias("_trips"))))
+
+
+def _totals(tallies: DataFrame, *more: Column) -> DataFrame:
+    of = lambda what: F.coalesce(F.sum(F.when(F.col("what") == what, F.col("count"))), F.lit(0))
+    return tallies.agg(of("flag").alias("total_error_records"), of("rows").alias("unique_flagged_rows"), of("trips").alias("_trips"), *more)
+
+
+def _rated(totals: DataFrame, *more: str) -> DataFrame:
     rate = F.when(F.col("_trips") > 0,
                   to_fixed(F.col("unique_flagged_rows") / F.col("_trips") * F.lit(100), 2)).otherwise(F.lit(0.0))
-    return cross_scalar(totals, trips).select("total_error_records", "unique_flagged_rows",
-                                              rate.alias("flag_rate_percent"))
+    return totals.select("total_error_records", "unique_flagged_rows", rate.alias("flag_rate_percent"), *more)
 
 
 def summary_with_types(t: Tables) -> DataFrame:
     """The summary plus ``by_type`` as an array (bounded by the number of flag codes)."""
+    made = load_tallies(t)
+    if made is not None:
+        each = F.when(F.col("what") == "flag", F.struct(F.col("count"), F.col("err_type")))
+        return _rated(_totals(made, F.sort_array(F.collect_list(each), False).alias("by_type")), "by_type")
     types = by_type(t).agg(F.sort_array(F.collect_list(F.struct(F.col("count"), F.col("err_type"))), False)
                            .alias("by_type"))
     return cross_scalar(summary(t), types)
