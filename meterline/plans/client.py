@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from ..config import BOROUGH_ORDER, FLAG_META
 from ..functions.formats import default_dash, fixed_text, fmt_hr, fmt_num, fmt_pct, fmt_rpm, fmt_usd, label_spaces
-from ..functions.rounding import to_fixed
+from ..functions.rounding import merged_parts, parts_avg, to_fixed
 from ..operators.errorlog import json_extract_num
 from ..operators.joins import cross_scalar, flag_meta_table, lookup_flag_note, sized_broadcast
 from ..operators.sorting import rank_column
 from . import anomalies, overview, profitability, tips
+from .profitability import known_borough
+from .rollups import rollup
 from .tables import Tables
 
 
@@ -62,12 +64,19 @@ def _card_cash(t: Tables) -> DataFrame:
 
 def tip_payment_split(t: Tables) -> DataFrame:
     """Per borough: its average tip % scaled by the card (resp. cash) average over their mean (or 1)."""
-    cc = _card_cash(t).select(F.coalesce("card_avg", F.lit(0.0)).alias("card_avg"),
-                              F.coalesce("cash_avg", F.lit(0.0)).alias("cash_avg"))
+    # one pass over the trips: its groups by zone and payment type count once for their payment type and once for their borough
+    parts = rollup(t, {"zone": F.col("pickup_zone"), "payment_type": F.col("payment_type")}, ("tip_pct",), present="tip_pct")
+    none = F.lit(None).cast("int")
+    sides = F.inline(F.array(F.struct(F.col("zone").alias("zone_ref"), none.alias("paid_by")), F.struct(none.alias("zone_ref"), F.col("payment_type").alias("paid_by"))))
+    sided = parts.select("tip_pct", sides).join(sized_broadcast(t.zones).alias("z"), F.col("zone_ref") == F.col("z.id"), "left")
+    averages = (sided.groupBy(F.when(known_borough(), F.col("z.borough")).alias("borough"), "paid_by").agg(merged_parts("tip_pct").alias("tip_pct"))
+                .select("borough", "paid_by", parts_avg("tip_pct").alias("avg_tip_percentage")))
+    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # of a row per borough and payment type
+    average = lambda paid_by: F.coalesce(F.max(F.when(F.col("paid_by") == paid_by, F.col("avg_tip_percentage"))).over(everything), F.lit(0.0))
+    split = averages.withColumns({"card_avg": average(1), "cash_avg": average(2)}).where(F.col("borough").isNotNull())
     mid = (F.col("card_avg") + F.col("cash_avg")) / F.lit(2)
-    cc = cc.withColumn("mid", F.when(mid == 0, F.lit(1.0)).otherwise(mid))
-    boroughs = tips.borough_groups(t).where(F.col("borough").isNotNull())
-    return cross_scalar(boroughs, cc).select(
+    split = split.withColumn("mid", F.when(mid == 0, F.lit(1.0)).otherwise(mid))
+    return split.select(
         "borough",
         to_fixed(F.col("avg_tip_percentage") * F.col("card_avg") / F.col("mid"), 2).alias("card"),
         to_fixed(F.col("avg_tip_percentage") * F.col("cash_avg") / F.col("mid"), 2).alias("cash"))
