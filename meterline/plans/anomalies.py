@@ -12,6 +12,7 @@ from ..operators.errorlog import VARIANT, json_extract_num, soft_only
 from ..operators.joins import cross_scalar
 from ..operators.paging import cursor, follows, page_end, read_cursor
 from ..operators.sorting import clamp_limit, clamp_offset, paginate
+from ..session import written
 from .rollups import flags, load_tallies, rollup
 from .tables import Tables
 
@@ -72,6 +73,14 @@ def _shown(rows: DataFrame, *more: str) -> DataFrame:
     return rows.select("err_id", "row_num", "err_type", "details", iso_timestamp("created_at").alias("created_at"), *numbers, *more)
 
 
+def with_written_list(t: Tables, flag_type: str | None = None) -> Tables:
+    """The same tables with the flags of the list written once, for callers that read several pages of a log that isn't stored."""
+    if t.loaded is None:
+        return t
+    rows = _filtered(t, flag_type).select("err_id", "row_num", "err_type", "details", "created_at", "source")
+    return Tables(zones=t.zones, error_log=written(rows, "list"))
+
+
 def anomaly_list(t: Tables, limit=ANOMALY_LIST_DEFAULT_LIMIT, offset=0, flag_type: str | None = None):
     """(page, meta). Page columns: err_id, row_num, err_type, details, created_at, fare, distance."""
     n = clamp_limit(limit, ANOMALY_LIST_DEFAULT_LIMIT, ANOMALY_LIST_MAX_LIMIT)

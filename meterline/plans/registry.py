@@ -249,6 +249,7 @@ def _redelivery_counters(spark, sf):
 
 
 def _second_page(t: Tables, flag_type: str | None = None) -> DataFrame:
+    t = anomalies.with_written_list(t, flag_type)
     last = anomalies.anomaly_page(t, 50, None, flag_type).select("cursor").tail(1)
     return anomalies.anomaly_page(t, 50, last[0].cursor if last else None, flag_type).drop("cursor")
 

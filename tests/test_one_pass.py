@@ -71,3 +71,14 @@ def test_tip_split_reads_trips_once(spark):
         assert _raw_scans(split) == 1  # before: 2
         # tips of 20, 20, 20, 20 % by card (of no type: 0 %), 110 and 10 % by cash; borough A: 110, 20, 20, 20; B: 20
         assert sorted(map(tuple, split.collect())) == [("A", 21.25, 63.75), ("B", 10.0, 30.0)]
+
+
+def test_second_page_reads_the_written_list(spark):
+    from meterline.plans.registry import _second_page
+
+    t = _tables(spark, [(n or 5, changes) for n, changes in ROWS])
+    for flag_type in (None, "ZERO_PASS"):
+        once = anomalies.with_written_list(t, flag_type)
+        page = anomalies.anomaly_page(once, 4, None, flag_type)
+        assert _raw_scans(page) == 0 and page.collect() == anomalies.anomaly_page(t, 4, None, flag_type).collect()
+    assert _raw_scans(_second_page(t)) == 0  # before: 2
