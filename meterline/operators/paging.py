@@ -19,7 +19,8 @@ Place = tuple[dt.datetime, int, str, str]
 
 
 def in_ranges(errors: DataFrame) -> DataFrame:
-    """The log in ranges of row_num, sorted, so that files and row groups hold stretches of the list."""
+    """The log in ranges of row_num, sorted, so that files and row groups hold stretches of the list. Its rows are made twice (the
+    ranges are found from a sample): hand over ``flag_rows`` and finish them afterwards."""
     return errors.repartitionByRange(F.col("row_num").desc()).sortWithinPartitions(F.col("row_num").desc(), "err_type", "source")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import child_names, join_path, path_exists, remove_path
-from .errorlog import with_variant
+from .errorlog import error_rows, with_variant
 from .joins import referential_check
 from .paging import in_ranges, page_index
 
@@ -164,7 +164,7 @@ def write_loaded(loaded, zones: DataFrame, root: str, zone_shapes: DataFrame | N
     loaded.created_at = created
     steps = {
         "trips": lambda: write_trips(loaded.trips, root, load_id, created),
-        "error_log": lambda: write_part(in_ranges(with_variant(loaded.error_log)), root, "error_log", load_id),
+        "error_log": lambda: write_part(with_variant(error_rows(in_ranges(loaded.flag_rows), created)), root, "error_log", load_id),
         "quarantine": lambda: write_part(loaded.quarantine, root, "quarantine", load_id),
         "zones": insert_zones,
         "load_summary": lambda: write_part(loaded.summary, root, "load_summary", load_id),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import ANOMALY_LIST_DEFAULT_LIMIT, ANOMALY_LIST_MAX_LIMIT
 from ..functions.formats import iso_timestamp
 from ..functions.rounding import to_fixed
-from ..operators.errorlog import VARIANT, json_extract_num, soft_only
+from ..operators.errorlog import VARIANT, created_time, error_rows, json_extract_num, soft_only
 from ..operators.joins import cross_scalar
 from ..operators.paging import cursor, follows, page_end, read_cursor
 from ..operators.sorting import clamp_limit, clamp_offset, paginate
@@ -61,14 +61,20 @@ def summary_with_types(t: Tables) -> DataFrame:
 
 
 def _filtered(t: Tables, flag_type: str | None) -> DataFrame:
-    """Flags of the list. Of a stored log the numbers come from its Variant column, of which the scan reads these two only."""
-    errors = soft_only(t.error_log)
+    """Flags of the list. Of a stored log the numbers come from its Variant column, of which the scan reads these two only. Those of
+    a load that isn't stored are finished by ``_shown``, when the page is known."""
+    errors = soft_only(t.error_log if t.loaded is None else t.loaded.flag_rows.withColumn("created_at", created_time(t.loaded.created_at)))
     if VARIANT in errors.columns:
         errors = errors.withColumns({k: F.try_variant_get(VARIANT, f"$.{k}", "double") for k in ("fare", "distance")}).drop(VARIANT)
     return errors.where(F.col("err_type") == F.lit(flag_type)) if flag_type else errors
 
 
-def _shown(rows: DataFrame, *more: str) -> DataFrame:
+def _shown(t: Tables, rows: DataFrame, *more: str) -> DataFrame:
+    # The optimizer moves projections below a limit, and over two of them it sorts all rows (and makes them twice, for the ranges of
+    # the sort) instead of taking the first ones. They don't pass a generator.
+    rows = rows.select(F.inline(F.array(F.struct(*rows.columns))))
+    if t.loaded is not None:
+        rows = error_rows(rows, F.col("created_at"), *more)
     numbers = [F.col(k) if k in rows.columns else json_extract_num(F.col("details"), k).alias(k) for k in ("fare", "distance")]
     return rows.select("err_id", "row_num", "err_type", "details", iso_timestamp("created_at").alias("created_at"), *numbers, *more)
 
@@ -77,7 +83,7 @@ def with_written_list(t: Tables, flag_type: str | None = None) -> Tables:
     """The same tables with the flags of the list written once, for callers that read several pages of a log that isn't stored."""
     if t.loaded is None:
         return t
-    rows = _filtered(t, flag_type).select("err_id", "row_num", "err_type", "details", "created_at", "source")
+    rows = error_rows(_filtered(t, flag_type), F.col("created_at")).select("err_id", "row_num", "err_type", "details", "created_at", "source")
     return Tables(zones=t.zones, error_log=written(rows, "list"))
 
 
@@ -86,7 +92,7 @@ def anomaly_list(t: Tables, limit=ANOMALY_LIST_DEFAULT_LIMIT, offset=0, flag_typ
     n = clamp_limit(limit, ANOMALY_LIST_DEFAULT_LIMIT, ANOMALY_LIST_MAX_LIMIT)
     o = clamp_offset(offset)
     page, meta = paginate(_filtered(t, flag_type), list_order(), n, o)
-    return _shown(page), meta
+    return _shown(t, page), meta
 
 
 def anomaly_page(t: Tables, limit=ANOMALY_LIST_DEFAULT_LIMIT, after: str | None = None, flag_type: str | None = None) -> DataFrame:
@@ -103,4 +109,4 @@ def anomaly_page(t: Tables, limit=ANOMALY_LIST_DEFAULT_LIMIT, after: str | None
     if end is not None:
         rows = rows.where((F.col("created_at") > F.lit(end[0])) | ((F.col("created_at") == F.lit(end[0])) & (F.col("row_num") >= F.lit(end[1]))))
     page = rows.orderBy(*list_order()).limit(n)
-    return _shown(page.withColumn("cursor", cursor()), "cursor")
+    return _shown(t, page.withColumn("cursor", cursor()), "cursor")
