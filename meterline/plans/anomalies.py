@@ -70,10 +70,10 @@ def _filtered(t: Tables, flag_type: str | None) -> DataFrame:
 
 
 def _shown(t: Tables, rows: DataFrame, *more: str) -> DataFrame:
-    # The optimizer moves projections below a limit, and over two of them it sorts all rows (and makes them twice, for the ranges of
-    # the sort) instead of taking the first ones. They don't pass a generator.
-    rows = rows.select(F.inline(F.array(F.struct(*rows.columns))))
     if t.loaded is not None:
+        # The optimizer moves projections below a limit, and over two of them it sorts all rows (and makes them twice, for the ranges
+        # of the sort) instead of taking the first ones. They don't pass a generator.
+        rows = rows.select(F.inline(F.array(F.struct(*rows.columns))))
         rows = error_rows(rows, F.col("created_at"), *more)
     numbers = [F.col(k) if k in rows.columns else json_extract_num(F.col("details"), k).alias(k) for k in ("fare", "distance")]
     return rows.select("err_id", "row_num", "err_type", "details", iso_timestamp("created_at").alias("created_at"), *numbers, *more)
