@@ -35,6 +35,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of a batch that a Python worker gets at once. Spark's own limit counts rows, whatever the length of their texts.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Have Spark hand rows to Python workers in batches of at most about BATCH_BYTES, for what the session runs from now on: a worker
+    and its executor hold whole batches, in several forms, and keep that memory for the stages that follow."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name close to ``name`` that ``df`` doesn't have in any case spelling."""
     taken = {c.lower() for c in df.columns}

@@ -32,8 +32,10 @@ WINDOW = 4096
 END_ID = 2
 #: Pieces that one share holds at most on average; a share's last windows are the only ones that stay half empty.
 SHARE = 4096
-#: Strings, and words, that a worker keeps the ids of before it starts anew.
+#: Words that a worker keeps the ids of before it starts anew, and strings before it sets them aside as the older ones. Strings are
+#: mostly words with their punctuation, which are soon put together from known words; so fewer of them are kept.
 _REMEMBERED = 500_000
+_STRINGS = 150_000
 
 
 class WordEncoder:
@@ -79,7 +81,7 @@ class WordEncoder:
             for x in [x for x in set(strings) if x not in known]:
                 known[x] = older.get(x) or self._string(x)
             found = list(map(known.__getitem__, strings))
-            if len(known) > _REMEMBERED:  # the strings of the last while stay at hand
+            if len(known) > _STRINGS:  # the strings of the last while stay at hand
                 self.strings, self.older = {}, known
         return np.frombuffer(b"".join(found), self.kind).astype("<u4")
 

@@ -261,3 +261,34 @@ def test_pipeline_stages_take_effect(spark):
             root[a] = least
     packed = corpus_pipeline.run(spark, SF)
     assert sorted({r["doc_id"] for r in packed.collect()}) == sorted(set(root.values()))
+
+
+def test_pipeline_hands_batches_of_bounded_bytes_to_its_workers(spark, scratch, monkeypatch):
+    import corpus_pipeline
+    import pyarrow as pa
+    limit = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    rows = spark.range(0, 6000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("long text "), 400).alias("text"))
+    rows.write.parquet(f"{scratch}/documents.parquet")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    probe = lambda spark, docs, sf: docs.coalesce(1).mapInArrow(sizes, "n bigint, bytes bigint")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("first", probe), ("last", lambda spark, docs, sf: docs)])
+    try:
+        got = corpus_pipeline.run(spark, scratch).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", limit)
+    assert sum(r["n"] for r in got) == 6000
+    assert max(r["bytes"] for r in got) < 8 << 20  # all 24 MB came in one batch
+
+
+def test_word_encoder_keeps_fewer_strings_than_words(monkeypatch):
+    monkeypatch.setattr(packing, "_STRINGS", 50, raising=False)
+    encoder = packing.WordEncoder(TOKENIZER)
+    texts = [" ".join(f"{word}{end}" for word in ("red", "green", "blue") for end in (",", ".", "!" * (n + 1))) for n in range(100)]
+    for text in texts * 2:
+        assert encoder.ids(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(encoder.strings) + len(encoder.older) <= 2 * (50 + 9)
+    assert {"red", "green", "blue", "!!"} <= set(encoder.words)
