@@ -26,12 +26,18 @@ def _col(c) -> Column:
 
 def parse_int(c) -> Column:
     """``parseInt(s, 10)``; NULL where JavaScript gives NaN."""
-    return F.regexp_extract(_col(c), INT_PREFIX, 1).try_cast("bigint")
+    c = _col(c)
+    # a sign and digits alone mean the same to a cast, which reads them without a pattern; a cast alone would strip more than \s
+    plain = F.when(F.ascii(c).between(ord("+"), ord("9")), c.try_cast("bigint"))
+    return F.coalesce(plain, F.regexp_extract(c, INT_PREFIX, 1).try_cast("bigint"))
 
 
 def parse_float(c) -> Column:
     """``parseFloat(s)``; NULL where JavaScript gives NaN (and for Infinity, a declared deviation)."""
-    return F.regexp_extract(_col(c), FLOAT_PREFIX, 1).try_cast("double")
+    c = _col(c)
+    # what begins with a digit or a point and casts as a whole is its own longest prefix, but for hexadecimal numbers
+    digit = F.ascii(c).between(ord("."), ord("9")) & ~c.startswith("0x") & ~c.startswith("0X")
+    return F.coalesce(F.when(digit, c.try_cast("double")), F.regexp_extract(c, FLOAT_PREFIX, 1).try_cast("double"))
 
 
 def int_or_null(c) -> Column:

@@ -37,6 +37,10 @@ def cost_per_mile(total: Column, distance: Column) -> Column:
     return F.when(distance > 0, to_fixed(total / distance, 4))
 
 
+#: What ``enrich`` adds.
+ENRICHED = ("duration_min", "speed_mph", "money_per_min", "tip_pct", "cost_per_mile")
+
+
 def enrich(trips: DataFrame) -> DataFrame:
     """Adds duration_min, speed_mph, money_per_min, tip_pct, cost_per_mile to normalised trips."""
     ms, dur, rest = _enrich_columns()

@@ -11,7 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import child_names, join_path, path_exists, remove_path
+from ..session import child_names, free_shuffles, join_path, path_exists, remove_path
 from .errorlog import error_rows, with_variant
 from .joins import referential_check
 from .paging import in_ranges, page_index
@@ -122,12 +122,13 @@ _AT_ONCE = 4
 
 
 def write_loaded(loaded, zones: DataFrame, root: str, zone_shapes: DataFrame | None = None,
-                 timings: dict | None = None, load_id: str | None = None) -> dict:
+                 timings: dict | None = None, load_id: str | None = None, read_once: str | None = None) -> dict:
     """Persist one load beside earlier ones: trips, quarantine, error_log, load_summary and the zones not stored yet, each
     under ``load_id`` (a new one by default; a given one replaces that load only). zone_shapes is replaced as a whole.
     Rows of other loads that waited for a zone of this one become trips. The load's partials are written from its own trips, the
     two summary tables are merged from the partials of all loads, and
-    the load's staged tables removed. ``timings`` (optional dict) receives seconds per step."""
+    the load's staged tables removed. ``timings`` (optional dict) receives seconds per step. ``read_once`` is a folder that nothing
+    reads but ``loaded``: it goes as soon as the load is staged."""
     from ..plans.stats import refresh_stats
     from ..plans.tables import PARTIALS, from_store
 
@@ -162,6 +163,9 @@ def write_loaded(loaded, zones: DataFrame, root: str, zone_shapes: DataFrame | N
     staging = load_path(root, "_staged", load_id)
     loaded = step("stage", lambda: loaded.staged(staging, zones))
     loaded.created_at = created
+    if read_once is not None:
+        remove_path(spark, read_once)
+    free_shuffles(spark)
     steps = {
         "trips": lambda: write_trips(loaded.trips, root, load_id, created),
         "error_log": lambda: write_part(with_variant(error_rows(in_ranges(loaded.flag_rows), created)), root, "error_log", load_id),
@@ -172,6 +176,7 @@ def write_loaded(loaded, zones: DataFrame, root: str, zone_shapes: DataFrame | N
     if zone_shapes is not None:
         steps["zone_shapes"] = lambda: write_table(zone_shapes, root, "zone_shapes")
     out = together(steps)
+    free_shuffles(spark)
     flags = spark.read.parquet(out["error_log"])
     # from the staged trips, which stand in fewer files than those written by day
     out |= together(write_partials(root, load_id, loaded.trips, flags))

@@ -24,8 +24,9 @@ def load_files(spark: SparkSession, root: str, trips_csv: str, zones_csv: str, p
     new = scan_zones_csv(spark, zones_csv, numbered=True, path=numbered)
     stored = first_stored(spark.read.parquet(join_path(root, "zones"))) if path_exists(spark, join_path(root, "zones")) else None
     zones = zones_if_absent(new, stored)
-    raw = scan_trips_csv(spark, trips_csv, path=numbered)
+    trips = load_path(root, "_staged", f"numbered-trips-{load_id}")
+    raw = scan_trips_csv(spark, trips_csv, path=trips)
     shapes = zone_shapes(scan_zone_polygons(spark, polygons_json)) if polygons_json else None
-    out = write_loaded(load(raw, zones, created_at=created_at, **options), zones, root, shapes, timings, load_id)
+    out = write_loaded(load(raw, zones, created_at=created_at, **options), zones, root, shapes, timings, load_id, read_once=trips)
     remove_path(spark, numbered)
     return out

@@ -26,7 +26,7 @@ from ..operators.normalise import hard_exclusion
 from ..operators.geo import zone_shapes
 from ..operators.sinks import write_loaded
 from ..operators.sorting import sort_by_any_column, stable_sort
-from ..session import path_exists, shared_dir
+from ..session import free_shuffles, path_exists, shared_dir
 from ..sources.csv import number_rows, scan_trips_csv, scan_zones_csv
 from ..sources.polygons import scan_zone_polygons
 from ..sources.tables import read_table
@@ -255,7 +255,7 @@ def _second_page(t: Tables, flag_type: str | None = None) -> DataFrame:
 
 
 def _files(spark, sf) -> Tables:
-    """The fixture as files (trips in several, in row order), loaded by one call from their paths."""
+    """The fixture as files (trips in several, in row order, compressed), loaded by one call from their paths."""
     def build() -> str:
         raw, zones, features = fixture_inputs(spark, sf)
         at = f"{shared_dir(spark)}/files-{uuid.uuid4().hex}"
@@ -320,7 +320,8 @@ def _write_trips_csv(raw: DataFrame, path: str) -> None:
     """The raw trips as CSV files in row order: four, and more as the table grows, so that a file's sort stays small."""
     estimate = int(str(raw._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     files = max(4, -(-estimate // _FILE_BYTES))
-    raw.repartitionByRange(files, "row_num").sortWithinPartitions("row_num").select(*RAW_TRIP_COLUMNS).write.option("header", True).csv(path)
+    raw.repartitionByRange(files, "row_num").sortWithinPartitions("row_num").select(*RAW_TRIP_COLUMNS).write.option("header", True).option("compression", "gzip").csv(path)
+    free_shuffles(raw.sparkSession)
 
 
 def _scan_csv(spark, sf):
