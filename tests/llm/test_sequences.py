@@ -284,6 +284,20 @@ def test_pipeline_hands_batches_of_bounded_bytes_to_its_workers(spark, scratch,
     assert max(r["bytes"] for r in got) < 8 << 20  # all 24 MB came in one batch
 
 
+def test_each_pipeline_stage_bounds_its_batches(spark):
+    import corpus_pipeline
+    from meterline.llm.common import BATCH_BYTES
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    limit, docs = spark.conf.get(key), spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    try:
+        for name, stage in corpus_pipeline.STAGES:  # run by themselves, not through run()
+            spark.conf.set(key, str(64 << 20))
+            stage(spark, docs, SF)
+            assert int(spark.conf.get(key)) == BATCH_BYTES, name
+    finally:
+        spark.conf.set(key, limit)
+
+
 def test_word_encoder_keeps_fewer_strings_than_words(monkeypatch):
     monkeypatch.setattr(packing, "_STRINGS", 50, raising=False)
     encoder = packing.WordEncoder(TOKENIZER)
